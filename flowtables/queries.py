@@ -163,7 +163,7 @@ def record_min(spark, folder):
     return ag.record_min(_slim(spark, folder), ["user_id"], "value", ["event_id"])
 
 
-@query("SELECT user_id, sum(event_id) AS event_id FROM events GROUP BY user_id")
+@query("SELECT user_id, CAST(sum(event_id) AS BIGINT) AS event_id FROM events GROUP BY user_id")
 def keyed_reduce(spark, folder):
     """Fold of every user's values with a two-value function."""
     return ag.reduce_by(_slim(spark, folder), ["user_id"], "event_id", ["event_id"], lambda a, b: a + b, fan_in=32)
@@ -373,12 +373,14 @@ def _orders(spark, folder):
 
 def _details(spark, folder):
     d = load(spark, folder, "lineitem")
-    return d.select(F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey", "l_shipdate",
+    return d.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("string").alias("detail_id"),
+                    F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("goods_name"), "l_shipdate",
                     F.col("l_quantity").alias("goods_number"), F.col("l_extendedprice").alias("detail_money"))
 
 
 _ORDER_PARTS = """o AS (SELECT o_orderkey AS order_id, o_custkey, o_orderdate, o_totalprice FROM orders),
-d AS (SELECT l_orderkey AS order_id, l_linenumber, l_partkey, l_shipdate, l_quantity AS goods_number,
+d AS (SELECT l_orderkey AS order_id, CAST(l_linenumber AS VARCHAR) AS detail_id,
+      'part ' || l_partkey AS goods_name, l_shipdate, l_quantity AS goods_number,
       l_extendedprice AS detail_money FROM lineitem)"""
 _W_ORDER = _pane("epoch_us(o_orderdate)", 90 * DAY)
 _W_DETAIL = _pane("epoch_us(l_shipdate)", 90 * DAY)
@@ -390,7 +392,7 @@ def _dates(df):
 
 
 @query(f"""WITH {_ORDER_PARTS}
-SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, l_linenumber, l_partkey, goods_number, detail_money,
+SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, detail_id, goods_name, goods_number, detail_money,
 {_at(_W_ORDER)} AS window_start, {_at(_W_ORDER + f' + {90 * DAY}')} AS window_end
 FROM o JOIN d ON o.order_id = d.order_id AND {_W_ORDER} = {_W_DETAIL}""")
 def window_join(spark, folder):
@@ -400,7 +402,7 @@ def window_join(spark, folder):
 
 
 @query(f"""WITH {_ORDER_PARTS}
-SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, l_linenumber, l_partkey,
+SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, detail_id, goods_name,
 coalesce(goods_number, 0) AS goods_number, coalesce(detail_money, 0) AS detail_money,
 {_at(_W_ORDER)} AS window_start, {_at(_W_ORDER + f' + {90 * DAY}')} AS window_end
 FROM o LEFT JOIN d ON o.order_id = d.order_id AND {_W_ORDER} = {_W_DETAIL}""")
@@ -411,7 +413,7 @@ def window_cogroup(spark, folder):
 
 
 @query(f"""WITH {_ORDER_PARTS}
-SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, l_linenumber, l_partkey, goods_number, detail_money
+SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, detail_id, goods_name, goods_number, detail_money
 FROM o JOIN d ON o.order_id = d.order_id
 AND l_shipdate BETWEEN o_orderdate - INTERVAL 1 DAY AND o_orderdate + INTERVAL 120 DAY""")
 def interval_join(spark, folder):
@@ -541,7 +543,7 @@ def time_keys(spark, folder):
 
 
 @query("""SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS local_time,
-epoch_ms(ts) AS ms, event_id FROM events""")
+epoch_us(ts) // 1000 AS ms, event_id FROM events""")
 def time_texts(spark, folder):
     """Time to epoch to time to text in another zone."""
     ms = events(spark, folder).select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
@@ -555,7 +557,7 @@ def json_props(spark, folder):
     return e.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("""SELECT 'chrome' AS browser_type, user_id, epoch_ms(ts) AS entry_time, event_type AS source
+@query("""SELECT 'chrome' AS browser_type, user_id, epoch_us(ts) // 1000 AS entry_time, event_type AS source
 FROM events WHERE event_type <> 'error'""")
 def click_log(spark, folder):
     """Events as JSON click lines, read back with other column names and filtered by browser."""
@@ -617,7 +619,7 @@ def kafka_json_out(spark, folder):
 
 
 @query("""SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS tag, count(*) AS n,
-sum(event_id) AS total FROM events GROUP BY ALL
+CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY ALL
 UNION ALL SELECT 'main', count(*), CAST(sum(CAST(event_id AS HUGEINT) * event_id) AS BIGINT) FROM events""")
 def side_outputs(spark, folder):
     """Squares as the main output, odd and even numbers as side outputs."""
@@ -743,8 +745,9 @@ def stream_interval_join(spark, folder):
     main = tables.parquet_stream(spark, folder, "orders", o.schema).select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice")
     detail = tables.parquet_stream(spark, folder, "lineitem", d.schema).select(
-        F.col("l_orderkey").alias("order_id"), "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp"),
-        F.col("l_quantity").alias("goods_number"), F.col("l_extendedprice").alias("detail_money"))
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("string").alias("detail_id"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("goods_name"),
+        F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").alias("goods_number"), F.col("l_extendedprice").alias("detail_money"))
     out = jn.interval_join(main.withWatermark("o_orderdate", "0 seconds"),
                            detail.withWatermark("l_shipdate", "0 seconds"), ["order_id"], "o_orderdate", "l_shipdate",
                            "-1 days", "120 days")

@@ -14,22 +14,28 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # transformWithState keeps several state variables per key and needs the RocksDB provider.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Keyed state needs a store with several state variables per key; it also keeps large state out of the heap.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
 
 def build_session(app: str = "flowtables", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library's defaults; `conf` entries (dots written as `__`) win over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**DEFAULTS, **dict([STATE_STORE]), **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def use_state_store(spark: SparkSession) -> None:
+    """Choose the RocksDB store for streams started from now on; running streams keep the store they began with."""
+    spark.conf.set(*STATE_STORE)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir`.
 

@@ -15,8 +15,8 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def parquet_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
-    """The same table as a stream of files."""
-    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """The same table as a stream of files. The name is given as a pattern, which may also match a single file."""
+    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")
 
 
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:

@@ -1,15 +1,17 @@
 """Keyed state on streams: running values with or without time to live, and order timeouts.
 
-State is held per key in the RocksDB store, which the session must be set to (see `session.DEFAULTS`). Each call
-gets the rows of one key in a micro-batch as an iterator of frames, so a hot key never has to fit into memory.
+State is held per key in the RocksDB store, which these functions choose for the session. Each call gets
+the rows of one key in a micro-batch as an iterator of frames, so a hot key never has to fit into memory.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowtables.functions.times import micros
 from flowtables.operators.timeouts import CANCELLED, UNPAID
+from flowtables.session import use_state_store
+
+# Workers get the processors themselves, not their import path: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class _RunningValue(StatefulProcessor):
@@ -60,6 +66,7 @@ def _running(stream: DataFrame, kind: str, keys: Sequence[str], value: str, out:
         state_type = kind_of_value
     else:
         raise TypeError("running values on streams are whole numbers or doubles")
+    use_state_store(stream.sparkSession)
     schema = T.StructType([*stream.schema.fields, T.StructField(out, state_type)])
     processor = _RunningValue(kind, list(keys), list(order), value, out, schema.names, state_type.simpleString(),
                               None if ttl is None else micros(ttl) // 1_000)
@@ -136,6 +143,7 @@ def stream_cancel_unpaid(stream: DataFrame, order_id: str = "order_id", ordered_
     Time is event time: `ordered_at` must be a timestamp, and later rows of an order (its payments) carry theirs.
     Write the result by key, so that the second row replaces the first.
     """
+    use_state_store(stream.sparkSession)
     marked = stream.withWatermark(ordered_at, bound)
     processor = _UnpaidOrders(stream.schema, order_id, ordered_at, status, micros(wait) // 1_000)
     return marked.groupBy(order_id).transformWithStateInPandas(processor, stream.schema, "append", "EventTime")
