@@ -41,6 +41,11 @@ def epoch_micros(ts: ColumnLike) -> Column:
     return F.unix_micros(_col(ts).cast("timestamp"))
 
 
+def unmarked(ts: ColumnLike) -> Column:
+    """The same instant as plain data, without the event-time mark that a watermark puts on a stream's column."""
+    return F.timestamp_micros(F.unix_micros(_col(ts)))
+
+
 def from_text(c: ColumnLike, pattern: str = TEXT_FORMAT) -> Column:
     """Event time of a text; a text that does not fit gives NULL."""
     return F.try_to_timestamp(_col(c), F.lit(pattern))

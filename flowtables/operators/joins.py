@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.functions.times import epoch_micros, micros, shift, tumbling
+from flowtables.functions.times import epoch_micros, micros, shift, tumbling, unmarked
 from flowtables.operators.changelog import latest_per_key
 from flowtables.plans.broadcasting import Limit, broadcast_if_small
 from flowtables.plans.chunks import Split
@@ -30,6 +30,11 @@ def window_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: s
     """
     a = left.withColumn("__w", tumbling(left_ts, size))
     b = right.withColumn("__w", tumbling(right_ts, size))
+    # A stream may have one event time only, and in this join it is the window.
+    if left.isStreaming:
+        a = a.withColumn(left_ts, unmarked(left_ts))
+    if right.isStreaming:
+        b = b.withColumn(right_ts, unmarked(right_ts))
     joined = a.join(b, [*on, "__w"], how)
     rest = [c for c in [*left.columns, *right.columns] if c not in on]
     return _with_defaults(joined, defaults).select(

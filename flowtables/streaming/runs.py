@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flowtables.functions.times import unmarked
 from flowtables.operators.changelog import latest_per_key
 from flowtables.session import new_folder
 
@@ -27,9 +30,15 @@ def drain(stream: DataFrame, on_batch: OnBatch, checkpoint: str, mode: str = "ap
             timeout)
 
 
+def without_marks(df: DataFrame) -> DataFrame:
+    """Time columns as plain data. A join of two streams has two event times, and a file sink takes one at most."""
+    return df.select(*[unmarked(f.name).alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name) for f in df.schema.fields])
+
+
 def drain_to_files(stream: DataFrame, path: str, checkpoint: str, timeout: int = 600) -> DataFrame:
     """Append all results to Parquet files, then read them."""
-    _finish(stream.writeStream.format("parquet").outputMode("append").option("path", path)
+    _finish(without_marks(stream).writeStream.format("parquet").outputMode("append").option("path", path)
             .option("checkpointLocation", checkpoint), timeout)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 

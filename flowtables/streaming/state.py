@@ -13,7 +13,6 @@ from typing import Any
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -28,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class _RunningValue(StatefulProcessor):
     """One value per key; an output row per input row."""
 
-    def __init__(self, kind: str, keys: list[str], order: list[str], value: str, out: str, names: list[str],
+    def __init__(self, kind: str, keys: list[str], order: list[str], value: str | None, out: str, names: list[str],
                  state_type: str, ttl_ms: int | None):
         self.kind, self.keys, self.order, self.value = kind, keys, order, value
         self.out, self.names, self.state_type, self.ttl_ms = out, names, state_type, ttl_ms
@@ -41,7 +40,7 @@ class _RunningValue(StatefulProcessor):
         current = None if held is None else held[0]
         for frame in rows:
             frame = frame.sort_values(self.order, kind="stable") if self.order else frame
-            values = frame[self.value]
+            values = pd.Series(1, index=frame.index) if self.value is None else frame[self.value]
             if self.kind == "sum":
                 result = values.cumsum() + (0 if current is None else current)
             else:
@@ -57,9 +56,9 @@ class _RunningValue(StatefulProcessor):
         pass
 
 
-def _running(stream: DataFrame, kind: str, keys: Sequence[str], value: str, out: str, order: Sequence[str],
+def _running(stream: DataFrame, kind: str, keys: Sequence[str], value: str | None, out: str, order: Sequence[str],
              ttl: str | None) -> DataFrame:
-    kind_of_value = stream.schema[value].dataType
+    kind_of_value = T.LongType() if value is None else stream.schema[value].dataType
     if isinstance(kind_of_value, (T.LongType, T.IntegerType, T.ShortType)):
         state_type: T.DataType = T.LongType()
     elif isinstance(kind_of_value, T.DoubleType):
@@ -86,8 +85,7 @@ def stream_running_sum(stream: DataFrame, keys: Sequence[str], value: str, out:
 
 def stream_running_count(stream: DataFrame, keys: Sequence[str], out: str = "running_count",
                          order: Sequence[str] = (), ttl: str | None = None) -> DataFrame:
-    return _running(stream.withColumn("__one", F.lit(1).cast("long")), "sum", keys, "__one", out, order,
-                    ttl).drop("__one")
+    return _running(stream, "sum", keys, None, out, order, ttl)
 
 
 def stream_running_max(stream: DataFrame, keys: Sequence[str], value: str, out: str = "running_max",
