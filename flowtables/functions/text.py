@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ColumnLike = Column | str
+_CONTROL = "".join(map(chr, range(0x21)))
 
 
 def _col(c: ColumnLike) -> Column:
@@ -15,8 +17,8 @@ def _col(c: ColumnLike) -> Column:
 
 
 def trim_control(c: ColumnLike) -> Column:
-    """Strip every character up to U+0020 from both ends (SQL `trim` strips blanks only)."""
-    return F.regexp_replace(_col(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """Strip every character up to U+0020 from both ends (plain SQL `trim` strips blanks only)."""
+    return F.btrim(_col(c), F.lit(_CONTROL))
 
 
 def is_blank(c: ColumnLike) -> Column:
@@ -32,17 +34,29 @@ def tokens(c: ColumnLike, pattern: str = r"\s+", trim: bool = True) -> Column:
     return F.split(text, pattern)
 
 
+def _without_empty_end(c: Column, sep: str) -> Column:
+    return F.rtrim(c, F.lit(sep)) if len(sep) == 1 else F.regexp_replace(c, f"(?:{re.escape(sep)})+$", "")
+
+
+def all_fields(c: ColumnLike, sep: str = ",") -> Column:
+    """Fields of a delimited record, empty ones at the end included."""
+    return F.split(_col(c), re.escape(sep))
+
+
 def fields(c: ColumnLike, sep: str = ",") -> Column:
     """Fields of a delimited record; empty fields at the end are not fields."""
-    quoted = f"\\Q{sep}\\E"
-    stripped = F.regexp_replace(_col(c), f"(?:{quoted})+$", "")
+    stripped = _without_empty_end(_col(c), sep)
     only_separators = (F.length(stripped) == 0) & (F.length(_col(c)) > 0)
-    return F.when(only_separators, F.array().cast("array<string>")).otherwise(F.split(stripped, quoted))
+    return F.when(only_separators, F.array().cast("array<string>")).otherwise(all_fields(stripped, sep))
 
 
 def field_count(c: ColumnLike, sep: str = ",") -> Column:
     """Number of fields of the trimmed record."""
-    return F.size(fields(trim_control(c), sep))
+    text = trim_control(c)
+    stripped = _without_empty_end(text, sep)
+    separators = (F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit("")))) / len(sep)
+    only_separators = (F.length(stripped) == 0) & (F.length(text) > 0)
+    return F.when(only_separators, F.lit(0)).otherwise(separators.cast("int") + 1)
 
 
 def window_line(key: ColumnLike, value: ColumnLike, start: ColumnLike, end: ColumnLike) -> Column:

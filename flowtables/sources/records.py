@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.functions.text import ColumnLike, _col, field_count, fields, trim_control
+from flowtables.functions.text import ColumnLike, _col, all_fields, field_count, trim_control
 from flowtables.schemas import CLICK_JSON, CLICK_NAMES, USER_CHANGE
 
 
@@ -28,10 +28,10 @@ def click_log(df: DataFrame, text: str = "value") -> DataFrame:
     return json_columns(df, CLICK_JSON, text, CLICK_NAMES)
 
 
-def _typed(parts: Column, schema: T.StructType, strip: bool) -> list[Column]:
+def _typed(schema: T.StructType, strip: bool) -> list[Column]:
     out = []
     for i, f in enumerate(schema.fields):
-        part = F.try_element_at(parts, F.lit(i + 1))
+        part = F.try_element_at(F.col("__f"), F.lit(i + 1))
         if strip or not isinstance(f.dataType, T.StringType):
             part = trim_control(part)
         out.append(part.try_cast(f.dataType).alias(f.name))
@@ -46,18 +46,18 @@ def parse_delimited(df: DataFrame, schema: T.StructType, text: str = "value", se
     columns of the input to carry along.
     """
     right = df.where(field_count(text, sep) == len(schema.fields))
-    return right.select(*keep, *_typed(fields(text, sep), schema, strip))
+    return right.select(*keep, all_fields(text, sep).alias("__f")).select(*keep, *_typed(schema, strip))
 
 
 def rejected(df: DataFrame, schema: T.StructType, text: str = "value", sep: str = ",") -> DataFrame:
     """Records with the wrong number of fields or a field that is no value of its type, with the `reason`."""
-    parts = fields(text, sep)
+    checked = df.select(F.col(text), field_count(text, sep).alias("__n"), all_fields(text, sep).alias("__f"))
     bad = F.lit(False)
-    for i, (f, typed) in enumerate(zip(schema.fields, _typed(parts, schema, False), strict=True)):
+    for i, (f, typed) in enumerate(zip(schema.fields, _typed(schema, False), strict=True)):
         if not isinstance(f.dataType, T.StringType):
-            bad = bad | (F.try_element_at(parts, F.lit(i + 1)).isNotNull() & typed.isNull())
-    reason = F.when(field_count(text, sep) != len(schema.fields), "field count").when(bad, "field value")
-    return df.select(F.col(text), reason.alias("reason")).where(F.col("reason").isNotNull())
+            bad = bad | (F.try_element_at(F.col("__f"), F.lit(i + 1)).isNotNull() & typed.isNull())
+    reason = F.when(F.col("__n") != len(schema.fields), "field count").when(bad, "field value")
+    return checked.select(F.col(text), reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def message_csv(df: DataFrame, schema: T.StructType, sep: str = ",", comment: str | None = None,
