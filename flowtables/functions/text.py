@@ -52,11 +52,14 @@ def fields(c: ColumnLike, sep: str = ",") -> Column:
 
 def field_count(c: ColumnLike, sep: str = ",") -> Column:
     """Number of fields of the trimmed record."""
-    text = trim_control(c)
-    stripped = _without_empty_end(text, sep)
-    separators = (F.length(stripped) - F.length(F.replace(stripped, F.lit(sep), F.lit("")))) / len(sep)
-    only_separators = (F.length(stripped) == 0) & (F.length(text) > 0)
-    return F.when(only_separators, F.lit(0)).otherwise(separators.cast("int") + 1)
+    return F.size(fields(trim_control(c), sep))
+
+
+def has_fields(c: ColumnLike, n: int, sep: str = ",") -> Column:
+    """Does the trimmed record have exactly `n` fields?"""
+    stripped = _without_empty_end(trim_control(c), sep)
+    right = F.size(all_fields(stripped, sep)) == n
+    return right & (field_count(c, sep) == n) if n < 2 else right
 
 
 def window_line(key: ColumnLike, value: ColumnLike, start: ColumnLike, end: ColumnLike) -> Column:

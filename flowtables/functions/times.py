@@ -31,6 +31,12 @@ def micros(duration: str) -> int:
     return total
 
 
+def floor_div(number: ColumnLike, by: int) -> Column:
+    """Whole-number division that rounds down, for negative numbers too."""
+    n = _col(number)
+    return F.call_function("div", n - F.pmod(n, F.lit(by)), F.lit(by))
+
+
 def shift(ts: ColumnLike, duration: str) -> Column:
     """Timestamp moved by a duration, which may be negative."""
     us = micros(duration)
@@ -46,6 +52,11 @@ def unmarked(ts: ColumnLike) -> Column:
     return F.timestamp_micros(F.unix_micros(_col(ts)))
 
 
+def ingest_time() -> Column:
+    """Time at which a row (on a stream: its micro-batch) is read; windows on it are processing-time windows."""
+    return F.current_timestamp()
+
+
 def from_text(c: ColumnLike, pattern: str = TEXT_FORMAT) -> Column:
     """Event time of a text; a text that does not fit gives NULL."""
     return F.try_to_timestamp(_col(c), F.lit(pattern))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.functions.times import epoch_micros, micros, shift, tumbling, unmarked
+from flowtables.functions.times import epoch_micros, floor_div, micros, shift, tumbling, unmarked
 from flowtables.operators.changelog import latest_per_key
 from flowtables.plans.broadcasting import Limit, broadcast_if_small
 from flowtables.plans.chunks import Split
@@ -68,8 +68,8 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts:
     width = max(reach, 1)
     low, high = micros(lower), micros(upper)
     a = left.withColumn("__a", epoch_micros(left_ts)).withColumn(
-        "__bucket", F.explode(F.sequence(F.floor((F.col("__a") + low) / width), F.floor((F.col("__a") + high) / width))))
-    b = right.withColumn("__b", epoch_micros(right_ts)).withColumn("__bucket", F.floor(F.col("__b") / width))
+        "__bucket", F.explode(F.sequence(floor_div(F.col("__a") + low, width), floor_div(F.col("__a") + high, width))))
+    b = right.withColumn("__b", epoch_micros(right_ts)).withColumn("__bucket", floor_div("__b", width))
     both = a.join(b, [*on, "__bucket"])
     close = (F.col("__b") - F.col("__a")).between(low, high)
     return both.where(close).drop("__a", "__b", "__bucket")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtables.functions.times import micros, shift, sliding, tumbling
+from flowtables.functions.times import floor_div, micros, shift, sliding, tumbling
 from flowtables.operators.aggregates import Measures
 
 
@@ -76,10 +76,10 @@ def session_agg(df: DataFrame, ts: str, gap: str, measures: Measures, keys: Sequ
         return starts.withColumn("__sid", F.sum("__starts").over(part.rowsBetween(Window.unboundedPreceding, 0)))
 
     dense = (df.withColumn("__us", us)
-             .groupBy(*keys, F.floor(F.col("__us") / width).alias("__bucket"))
+             .groupBy(*keys, floor_div("__us", width).alias("__bucket"))
              .agg(F.min("__us").alias("__first"), F.max("__us").alias("__last"),
                   *[m.whole().alias(n) for n, m in measures.items()])
-             .withColumn("__run", F.floor(F.col("__bucket") / buckets)))
+             .withColumn("__run", floor_div("__bucket", buckets)))
     run = [*keys, "__run"]
     local = numbered(dense, run).withColumn("__n", F.max("__sid").over(Window.partitionBy(*run)))
     pieces = merged(local, [*run, "__n", "__sid"])

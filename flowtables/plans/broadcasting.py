@@ -14,11 +14,10 @@ class Limit:
     bytes: int = 64 * 1024 * 1024
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Row count and text size of a frame, as one distributed aggregate."""
-    row = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).cast("long").alias("b")).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
-    return row[0], row[1]
+def text_size(df: DataFrame) -> int:
+    """Bytes of all rows as JSON text, summed where the rows are."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))).cast("long")
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, limit: Limit = Limit()) -> DataFrame:
@@ -29,5 +28,7 @@ def broadcast_if_small(df: DataFrame, limit: Limit = Limit()) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    rows, size = measure(df)
-    return F.broadcast(df) if rows <= limit.rows and size <= limit.bytes else df
+    # Counting reads no columns; the rows are only looked at when there are few.
+    if df.count() > limit.rows:
+        return df
+    return F.broadcast(df) if text_size(df) <= limit.bytes else df

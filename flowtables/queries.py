@@ -19,7 +19,8 @@ from flowtables.operators import (aggregates as ag, changelog as cl, count_windo
                                   outputs as op, partitioning as pt, running as rn, timeouts as to, windows as wn)
 from flowtables.operators.aggregates import Measure
 from flowtables.plans.chunks import Split
-from flowtables.sinks import external, files as file_sinks
+from flowtables.session import new_folder
+from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables.sources import records, tables
 from flowtables.streaming import runs, state, windows as sw
 
@@ -276,6 +277,19 @@ def ttl_count(spark, folder):
     return out.select("event_id", "user_id", "running_count")
 
 
+@query(f"""WITH g AS (
+  SELECT *, CASE WHEN {_US} - lag({_US}) OVER (PARTITION BY event_type ORDER BY ts, event_id) < {30 * MINUTE}
+    THEN 0 ELSE 1 END AS starts FROM events),
+r AS (SELECT *, sum(starts) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT event_id, event_type, CAST(sum({_MONEY}) OVER (PARTITION BY event_type, run ORDER BY event_id
+  ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_sum FROM r""")
+def ttl_sum_hot_keys(spark, folder):
+    """Sum per type that starts again after half an hour without a row, with every key cut into chunks."""
+    out = rn.expiring_sum(events(spark, folder), ["event_type"], "ts", "30 minutes", money("value"), ["event_id"],
+                          "running_sum", CUT)
+    return plain(out, "running_sum").select("event_id", "event_type", "running_sum")
+
+
 # --- time, session and count windows ----------------------------------------------------------------------------
 
 @query(f"""SELECT user_id, {_at(_pane(_US, HOUR))} AS window_start, {_at(_pane(_US, HOUR) + f' + {HOUR}')} AS window_end,
@@ -681,6 +695,15 @@ def hour_buckets(spark, folder):
     return out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT count(*) AS rows, count(*) FILTER (event_type = 'error') AS errors FROM events")
+def row_counters(spark, folder):
+    """Counters filled beside another job, here the write of a table."""
+    counted, seen = ag.counted(events(spark, folder), "rows_seen", errors=F.col("event_type") == "error")
+    counted.write.parquet(new_folder(spark, "row_counters"))
+    numbers = seen.get
+    return spark.range(1).select(*[F.lit(numbers[n]).cast("long").alias(n) for n in ("rows", "errors")])
+
+
 # --- keyed tables -----------------------------------------------------------------------------------------------
 
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (
@@ -716,6 +739,18 @@ def cancel_unpaid(spark, folder):
     return out.withColumn("o_orderdate", tm.to_text("o_orderdate", "yyyy-MM-dd"))
 
 
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'O' THEN '取消' ELSE o_orderstatus END AS o_orderstatus
+FROM orders""")
+def upsert_table(spark, folder):
+    """A table by key, with a second round that changes some of its rows."""
+    path = new_folder(spark, "orders")
+    o = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(0).alias("seq"))
+    keyed.upsert(path, o, ["o_orderkey"], ["seq"], 8)
+    keyed.upsert(path, o.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("取消")), ["o_orderkey"],
+                 ["seq"], 8)
+    return keyed.read_table(spark, path).drop("seq")
+
+
 # --- streams: the same operators on a stream of files, run over all input that is there --------------------------
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -738,26 +773,29 @@ def stream_tumbling_sum(spark, folder):
     return plain(runs.result_table(out, "tumbling", ["user_id", "window_start"]), "total")
 
 
-@query(ORACLE["interval_join"])
-def stream_interval_join(spark, folder):
-    """Join of two streams; both are read to their end."""
+def _order_streams(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     o, d = load(spark, folder, "orders"), load(spark, folder, "lineitem")
     main = tables.parquet_stream(spark, folder, "orders", o.schema).select(
         F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice")
     detail = tables.parquet_stream(spark, folder, "lineitem", d.schema).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("string").alias("detail_id"),
         F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("goods_name"),
-        F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").alias("goods_number"), F.col("l_extendedprice").alias("detail_money"))
-    out = jn.interval_join(main.withWatermark("o_orderdate", "0 seconds"),
-                           detail.withWatermark("l_shipdate", "0 seconds"), ["order_id"], "o_orderdate", "l_shipdate",
-                           "-1 days", "120 days")
+        F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").alias("goods_number"),
+        F.col("l_extendedprice").alias("detail_money"))
+    return main.withWatermark("o_orderdate", "0 seconds"), detail.withWatermark("l_shipdate", "0 seconds")
+
+
+@query(ORACLE["interval_join"])
+def stream_interval_join(spark, folder):
+    """Join of two streams; both are read to their end."""
+    main, detail = _order_streams(spark, folder)
+    out = jn.interval_join(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "-1 days", "120 days")
     return _dates(runs.result_table(out, "interval_join"))
 
 
 @query(ORACLE["late_rows"])
 def stream_late_rows(spark, folder):
     """Late rows of a stream, found micro-batch by micro-batch."""
-    from flowtables.session import new_folder
     base = new_folder(spark, "late_rows")
     stream = arrivals(event_stream(spark, folder)).select("event_id", "user_id", "ts", "arr")
     on_batch = sw.split_late_batches("ts", ["arr", "event_id"], RULE, runs.keep_updates(f"{base}/main"),
@@ -774,3 +812,76 @@ def stream_running_max(spark, folder):
         "event_id", "user_id", (F.col("event_id") * 7919 % 7200).alias("off"))
     out = state.stream_running_max(stream, ["user_id"], "off", order=["event_id"])
     return runs.result_table(out, "running_max").select("event_id", "user_id", "running_max")
+
+
+@query(ORACLE["sliding_sum"])
+def stream_sliding_sum(spark, folder):
+    out = wn.sliding_agg(sw.watermarked(event_stream(spark, folder), "ts"), "ts", "10 minutes", "5 minutes",
+                         SUM_VALUE, ["user_id"])
+    return plain(runs.result_table(out, "sliding", ["user_id", "window_start"]), "total")
+
+
+@query(ORACLE["window_join"])
+def stream_window_join(spark, folder):
+    main, detail = _order_streams(spark, folder)
+    out = jn.window_join(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "90 days")
+    return plain(_dates(runs.result_table(out, "window_join")))
+
+
+@query(f"SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY event_id "
+       "ROWS UNBOUNDED PRECEDING) AS running_count FROM events")
+def stream_running_count(spark, folder):
+    stream = event_stream(spark, folder).select("event_id", "event_type")
+    return runs.result_table(state.stream_running_count(stream, ["event_type"], order=["event_id"]), "running_count")
+
+
+@query(ORACLE["changelog_state"])
+def stream_changelog(spark, folder):
+    """Stream of changes folded into a table; `error` stands for a delete."""
+    base = new_folder(spark, "changelog")
+    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type", "value")
+    on_batch = keyed.changelog_batches(f"{base}/table", ["user_id"], ["event_id"], "event_type", ["error"], 4)
+    runs.drain(stream, on_batch, f"{base}/checkpoint")
+    return keyed.read_table(spark, f"{base}/table", "deleted")
+
+
+@query(ORACLE["hour_buckets"])
+def stream_hour_buckets(spark, folder):
+    """Files in hourly folders."""
+    base = new_folder(spark, "buckets")
+    stream = event_stream(spark, folder).select("event_id", "ts")
+    written = file_sinks.rolling_files(stream, f"{base}/out", f"{base}/checkpoint", "ts", available_now=True)
+    written.awaitTermination()
+    out = spark.read.parquet(f"{base}/out").withColumn("bucket", F.col("bucket").cast("string"))
+    return out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT user_id, event_id, event_type, coalesce(signup_value, -1) AS signup_value FROM
+(SELECT * FROM events WHERE event_type <> 'signup') e LEFT JOIN (SELECT user_id AS u, arg_max(value, event_id)
+  AS signup_value FROM events WHERE event_type = 'signup' GROUP BY user_id) d ON e.user_id = d.u""")
+def stream_newest_dim(spark, folder):
+    """Stream of log rows with the newest version of their user at the time of each micro-batch."""
+    base = new_folder(spark, "newest_dim")
+    stream = event_stream(spark, folder).where("event_type <> 'signup'").select("user_id", "event_id", "event_type")
+
+    def versions():
+        return _slim(spark, folder).where("event_type = 'signup'").select(
+            "user_id", F.col("event_id").alias("version"), F.col("value").alias("signup_value"))
+
+    on_batch = sw.enrich_batches(versions, ["user_id"], ["version"], runs.keep_updates(f"{base}/out"),
+                                 {"signup_value": -1.0})
+    runs.drain(stream, on_batch, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN '未付款' ELSE o_orderstatus END AS o_orderstatus
+FROM orders UNION ALL SELECT o_orderkey, '取消' FROM orders WHERE o_orderstatus = 'O'
+AND o_orderdate + INTERVAL 15 SECOND <= (SELECT max(o_orderdate) FROM orders)""")
+def stream_cancel_unpaid(spark, folder):
+    """All orders, and a cancelled copy of those still unpaid at their deadline, by timers in event time."""
+    o = load(spark, folder, "orders")
+    status = F.when(F.col("o_orderstatus") == "O", to.UNPAID).otherwise(F.col("o_orderstatus"))
+    stream = tables.parquet_stream(spark, folder, "orders", o.schema).select(
+        "o_orderkey", status.alias("o_orderstatus"), F.col("o_orderdate").cast("timestamp"))
+    out = state.stream_cancel_unpaid(stream, "o_orderkey", "o_orderdate", "o_orderstatus")
+    return runs.result_table(out, "cancel_unpaid").drop("o_orderdate")

@@ -62,3 +62,11 @@ def upsert_batches(path: str, keys: Sequence[str], order: Sequence[str],
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         upsert(path, batch, keys, order, buckets)
     return on_batch
+
+
+def changelog_batches(path: str, keys: Sequence[str], order: Sequence[str], op: str = "op",
+                      deletes: Sequence[str] = ("d",), buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Fold a stream of change records into a table; read it with `read_table(..., deleted="deleted")`."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        upsert(path, batch.withColumn("deleted", F.col(op).isin(*deletes)).drop(op), keys, order, buckets)
+    return on_batch

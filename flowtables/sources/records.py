@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowtables.functions.text import ColumnLike, _col, all_fields, field_count, trim_control
+from flowtables.functions.text import ColumnLike, _col, all_fields, has_fields, trim_control
 from flowtables.schemas import CLICK_JSON, CLICK_NAMES, USER_CHANGE
 
 
@@ -45,18 +45,18 @@ def parse_delimited(df: DataFrame, schema: T.StructType, text: str = "value", se
     A field that is no value of its type becomes NULL; `rejected` lists such records. `keep` names further
     columns of the input to carry along.
     """
-    right = df.where(field_count(text, sep) == len(schema.fields))
+    right = df.where(has_fields(text, len(schema.fields), sep))
     return right.select(*keep, all_fields(text, sep).alias("__f")).select(*keep, *_typed(schema, strip))
 
 
 def rejected(df: DataFrame, schema: T.StructType, text: str = "value", sep: str = ",") -> DataFrame:
     """Records with the wrong number of fields or a field that is no value of its type, with the `reason`."""
-    checked = df.select(F.col(text), field_count(text, sep).alias("__n"), all_fields(text, sep).alias("__f"))
+    checked = df.select(F.col(text), has_fields(text, len(schema.fields), sep).alias("__n"), all_fields(text, sep).alias("__f"))
     bad = F.lit(False)
     for i, (f, typed) in enumerate(zip(schema.fields, _typed(schema, False), strict=True)):
         if not isinstance(f.dataType, T.StringType):
             bad = bad | (F.try_element_at(F.col("__f"), F.lit(i + 1)).isNotNull() & typed.isNull())
-    reason = F.when(F.col("__n") != len(schema.fields), "field count").when(bad, "field value")
+    reason = F.when(~F.col("__n"), "field count").when(bad, "field value")
     return checked.select(F.col(text), reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
