@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.functions.text import row_key
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last record of every key. Map tasks keep one record per key, so hot keys cost nothing extra."""
+    """The last record of every key.
+
+    Map tasks keep one record per key (Spark limits a filtered row number before the shuffle), so hot keys cost
+    nothing extra. On a stream, where there are no row numbers, it is an aggregate that does the same.
+    """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
+    if not df.isStreaming:
+        newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+        return df.withColumn("__rn", F.row_number().over(newest)).where("__rn = 1").drop("__rn")
     out = df.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("__r"))
     return out.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])

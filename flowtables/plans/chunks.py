@@ -51,23 +51,45 @@ class Chunked:
         """Rows of the groups that were cut."""
         if not self.keys:
             return self.df
+        if len(self.keys) == 1:
+            key = F.col(self.keys[0])
+            values = [k[0] for k in self.keys_cut if k[0] is not None]
+            wanted = key.isin(values) if values else F.lit(False)
+            return self.df.where((wanted | key.isNull()) if len(values) < len(self.keys_cut) else wanted)
         types = {f.name: f.dataType for f in self.df.schema.fields}
         wanted = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, key, strict=True)])
                   for key in self.keys_cut]
         return self.df.where(F.struct(*[F.col(k) for k in self.keys]).isin(wanted))
 
 
-def _chunk_of(value: Column, bounds: Column, n: int) -> Column:
-    """How many of the `n` sorted bounds are <= value, by binary search."""
-    steps, step = [], 1
-    while step <= n:
-        steps.append(step)
+def _at_most(bound: Sequence[Column], row: Sequence[Column]) -> Column:
+    """Is the bound <= the row, column by column, NULL before everything else?"""
+    out = F.lit(True)
+    for b, v in reversed(list(zip(bound, row, strict=True))):
+        less = F.coalesce(b < v, b.isNull() & v.isNotNull())
+        out = less | (b.eqNullSafe(v) & out)
+    return out
+
+
+def _with_chunk(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType],
+                bounds: Sequence[tuple]) -> DataFrame:
+    """Number of bounds that are <= the row, by binary search.
+
+    Every halving is a projection of its own over one literal array per column. Unlike one expression with a
+    lambda function, the projections are compiled together with the scan.
+    """
+    arrays = [F.array(*[F.lit(b[i]) for b in bounds]).cast(T.ArrayType(t)) for i, t in enumerate(types)]
+    row = [F.col(c) for c in columns]
+    step = 1
+    while step * 2 <= len(bounds):
         step *= 2
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]),
-        F.lit(0),
-        lambda at, s: F.when((at + s <= n) & (F.try_element_at(bounds, at + s) <= value), at + s).otherwise(at),
-    )
+    out = df.withColumn(CHUNK, F.lit(0))
+    while step:
+        at = F.col(CHUNK) + step
+        below = _at_most([F.try_element_at(a, at) for a in arrays], row)
+        out = out.withColumn(CHUNK, F.when((at <= len(bounds)) & below, at).otherwise(F.col(CHUNK)))
+        step //= 2
+    return out
 
 
 def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = Split()) -> Chunked:
@@ -104,10 +126,5 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
     if not bounds:
         return whole
 
-    array = F.array(*[
-        F.struct(*[F.lit(v) if v is not None else F.lit(None).cast(t) for v, t in zip(bound, types, strict=True)])
-        for bound in bounds
-    ]).cast(T.ArrayType(narrow.schema))
-    value = F.struct(*[F.col(c) for c in columns])
-    chunked = df.withColumn(CHUNK, _chunk_of(value, array, len(bounds)))
+    chunked = _with_chunk(df, columns, types, bounds)
     return Chunked(chunked, keys, order, rows, len(bounds) + 1, tuple(dict.fromkeys(b[:width] for b in bounds)))
