@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.times import floor_div, micros, shift, sliding, tumbling
 from flowtables.operators.aggregates import Measures
+from flowtables.plans.chunks import Split, ordered_chunks
 
 
 def _windowed(df: DataFrame, window: Column, keys: Sequence[str], measures: Measures) -> DataFrame:
@@ -30,10 +31,10 @@ def sliding_agg(df: DataFrame, ts: str, size: str, slide: str, measures: Measure
                 keys: Sequence[str] = ()) -> DataFrame:
     """Measures per overlapping window.
 
-    On bounded input whose window length is a multiple of the slide, rows are aggregated to slide-long panes first
-    and only panes are repeated per window they belong to.
+    Without keys, where panes are few, bounded rows are aggregated to slide-long panes first and only panes are
+    repeated per window they belong to. With keys a second shuffle would cost more than repeating rows.
     """
-    if df.isStreaming or micros(size) % micros(slide):
+    if df.isStreaming or keys or micros(size) % micros(slide):
         return _windowed(df, sliding(ts, size, slide), keys, measures)
     panes = tumbling_agg(df, ts, slide, measures, keys)
     n = micros(size) // micros(slide)
@@ -50,16 +51,32 @@ def daily_agg(df: DataFrame, ts: str, measures: Measures, keys: Sequence[str] =
 
 
 def session_agg(df: DataFrame, ts: str, gap: str, measures: Measures, keys: Sequence[str] = (),
-                buckets: int = 4_096) -> DataFrame:
+                buckets: int = 4_096, split: Split = Split()) -> DataFrame:
     """Measures per session: rows at most `gap` apart belong together. `window_end` is the last row plus the gap.
 
-    Bounded input goes three steps. Rows of one gap-long time bucket are always one session, so they are
+    Spark's session windows sort each key in one task. That is the faster way for keys of a usual size; keys larger
+    than `split.rows`, and bounded input without a key, are computed in pieces instead.
+    """
+    plain = F.session_window(F.col(ts), f"{micros(gap)} microseconds")
+    if df.isStreaming:
+        return _windowed(df, plain, keys, measures)
+    df = df.where(F.col(ts).isNotNull())
+    if not keys:
+        return _pieced_sessions(df, ts, gap, measures, keys, buckets)
+    chunked = ordered_chunks(df, keys, [ts], split)
+    if not chunked.is_cut:
+        return _windowed(df, plain, keys, measures)
+    usual = _windowed(chunked.uncut_rows(), plain, keys, measures)
+    return usual.unionByName(_pieced_sessions(chunked.cut_rows(), ts, gap, measures, keys, buckets))
+
+
+def _pieced_sessions(df: DataFrame, ts: str, gap: str, measures: Measures, keys: Sequence[str],
+                     buckets: int) -> DataFrame:
+    """Sessions in three steps. Rows of one gap-long time bucket are always one session, so they are
     aggregated first. Sessions are then found inside runs of `buckets` time buckets. Only the first and the last
     session of a run can continue in a neighbour, so only these meet per key. A key, or the whole input if there
     is none, is thus never sorted by one task.
     """
-    if df.isStreaming:
-        return _windowed(df, F.session_window(F.col(ts), f"{micros(gap)} microseconds"), keys, measures)
     keys = list(keys)
     width = micros(gap)
     us = F.unix_micros(F.col(ts).cast("timestamp"))

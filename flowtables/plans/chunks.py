@@ -47,19 +47,25 @@ class Chunked:
     def is_cut(self) -> bool:
         return self.chunks > 1
 
-    def cut_rows(self) -> DataFrame:
-        """Rows of the groups that were cut."""
+    def in_cut_group(self) -> Column:
+        """Does the row belong to a group that was cut? Never NULL."""
         if not self.keys:
-            return self.df
+            return F.lit(self.is_cut)
         if len(self.keys) == 1:
             key = F.col(self.keys[0])
             values = [k[0] for k in self.keys_cut if k[0] is not None]
-            wanted = key.isin(values) if values else F.lit(False)
-            return self.df.where((wanted | key.isNull()) if len(values) < len(self.keys_cut) else wanted)
+            found = F.coalesce(key.isin(values), F.lit(False)) if values else F.lit(False)
+            return (found | key.isNull()) if len(values) < len(self.keys_cut) else found
         types = {f.name: f.dataType for f in self.df.schema.fields}
         wanted = [F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(self.keys, key, strict=True)])
                   for key in self.keys_cut]
-        return self.df.where(F.struct(*[F.col(k) for k in self.keys]).isin(wanted))
+        return F.struct(*[F.col(k) for k in self.keys]).isin(wanted) if wanted else F.lit(False)
+
+    def cut_rows(self) -> DataFrame:
+        return self.df.where(self.in_cut_group())
+
+    def uncut_rows(self) -> DataFrame:
+        return self.df.where(~self.in_cut_group())
 
 
 def _at_most(bound: Sequence[Column], row: Sequence[Column]) -> Column:

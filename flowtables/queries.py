@@ -345,6 +345,20 @@ def session_sum(spark, folder):
     return plain(out, "total")
 
 
+@query(_sessions("PARTITION BY event_type", "event_type,", 10 * MINUTE))
+def session_sum_hot_keys(spark, folder):
+    """Five keys hold everything: every key's sessions are put together from pieces."""
+    out = wn.session_agg(events(spark, folder), "ts", "10 minutes", SUM_VALUE, ["event_type"], 64, CUT)
+    return plain(out, "total")
+
+
+@query(f"""WITH s AS (SELECT value, {_pane(_US, 10 * MINUTE)} - k * {10 * MINUTE} AS us FROM events, range(6) t(k))
+SELECT {_at('us')} AS window_start, {_at(f'us + {HOUR}')} AS window_end, {_SUM} FROM s GROUP BY ALL""")
+def sliding_all(spark, folder):
+    """Overlapping windows without a key."""
+    return plain(wn.sliding_agg(events(spark, folder), "ts", "1 hour", "10 minutes", SUM_VALUE), "total")
+
+
 @query(_sessions("", "", 5 * MINUTE))
 def session_all(spark, folder):
     """Sessions without a key."""
