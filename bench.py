@@ -1,4 +1,4 @@
-"""Time the headline queries: warm, best of the rounds, results computed in full and thrown away.
+"""Time the headline queries: one warm-up run, then best of all runs, results computed in full and thrown away.
 
 Prints one JSON line. BENCH_SF_DIR names the tables, BENCH_CPUS the number of local tasks, BENCH_ROUNDS the rounds,
 BENCH_QUERIES (comma separated) other queries.
@@ -21,7 +21,7 @@ HEADLINE = [name for name in QUERIES if not name.startswith("stream_")] + STREAM
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    rounds = int(os.environ.get("BENCH_ROUNDS", "2"))
+    rounds = int(os.environ.get("BENCH_ROUNDS", "1"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
                           spark__ui__showConsoleProgress="false", spark__driver__memory="12g")

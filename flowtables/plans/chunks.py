@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
+TREE = 64  # bounds that still make a decision tree of a size the compiler takes
 
 
 @dataclass(frozen=True)
@@ -68,34 +69,51 @@ class Chunked:
         return self.df.where(~self.in_cut_group())
 
 
-def _at_most(bound: Sequence[Column], row: Sequence[Column]) -> Column:
+def _reached(bound: Sequence, row: Sequence[Column], types: Sequence[T.DataType]) -> Column:
     """Is the bound <= the row, column by column, NULL before everything else?"""
     out = F.lit(True)
-    for b, v in reversed(list(zip(bound, row, strict=True))):
-        less = F.coalesce(b < v, b.isNull() & v.isNotNull())
-        out = less | (b.eqNullSafe(v) & out)
+    for b, v, t in reversed(list(zip(bound, row, types, strict=True))):
+        if b is None:
+            out = v.isNotNull() | out
+        else:
+            b = F.lit(b).cast(t)
+            out = F.coalesce((b < v) | ((b == v) & out), F.lit(False))
     return out
 
 
-def _with_chunk(df: DataFrame, columns: Sequence[str], types: Sequence[T.DataType],
-                bounds: Sequence[tuple]) -> DataFrame:
-    """Number of bounds that are <= the row, by binary search.
+def _by_tree(row: Sequence[Column], types: Sequence[T.DataType], bounds: Sequence[tuple]) -> Column:
+    def node(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(_reached(bounds[middle], row, types), node(middle + 1, high)).otherwise(node(low, middle))
+    return node(0, len(bounds))
 
-    Every halving is a projection of its own over one literal array per column. Unlike one expression with a
-    lambda function, the projections are compiled together with the scan.
+
+def _by_search(row: Sequence[Column], schema: T.StructType, bounds: Sequence[tuple]) -> Column:
+    value = F.struct(*row)
+    array = F.array(*[
+        F.struct(*[F.lit(v) if v is not None else F.lit(None).cast(f.dataType)
+                   for v, f in zip(bound, schema.fields, strict=True)])
+        for bound in bounds]).cast(T.ArrayType(schema))
+    steps = [1]
+    while steps[-1] * 2 <= len(bounds):
+        steps.append(steps[-1] * 2)
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in reversed(steps)]), F.lit(0),
+        lambda at, s: F.when((at + s <= len(bounds)) & (F.try_element_at(array, at + s) <= value), at + s).otherwise(at))
+
+
+def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple]) -> DataFrame:
+    """Number of bounds that are <= the row.
+
+    Few bounds become one decision tree, which is compiled with the scan. A tree of many bounds would be too
+    large to compile; they are searched in an array.
     """
-    arrays = [F.array(*[F.lit(b[i]) for b in bounds]).cast(T.ArrayType(t)) for i, t in enumerate(types)]
-    row = [F.col(c) for c in columns]
-    step = 1
-    while step * 2 <= len(bounds):
-        step *= 2
-    out = df.withColumn(CHUNK, F.lit(0))
-    while step:
-        at = F.col(CHUNK) + step
-        below = _at_most([F.try_element_at(a, at) for a in arrays], row)
-        out = out.withColumn(CHUNK, F.when((at <= len(bounds)) & below, at).otherwise(F.col(CHUNK)))
-        step //= 2
-    return out
+    row = [F.col(c) for c in schema.names]
+    if len(bounds) <= TREE:
+        return df.withColumn(CHUNK, _by_tree(row, [f.dataType for f in schema.fields], bounds))
+    return df.withColumn(CHUNK, _by_search(row, schema, bounds))
 
 
 def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = Split()) -> Chunked:
@@ -107,7 +125,6 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
     columns = list(dict.fromkeys(keys + order))
     narrow = df.select(*columns)
     rows = narrow.count()
-    types = [f.dataType for f in narrow.schema.fields]
     wanted = -(-rows // split.rows)
     if not keys:
         # Without a key nothing else spreads the rows, so use the cores there are.
@@ -132,5 +149,5 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
     if not bounds:
         return whole
 
-    chunked = _with_chunk(df, columns, types, bounds)
+    chunked = _with_chunk(df, narrow.schema, bounds)
     return Chunked(chunked, keys, order, rows, len(bounds) + 1, tuple(dict.fromkeys(b[:width] for b in bounds)))

@@ -81,12 +81,14 @@ def by_key(data):
     return groups
 
 
-def test_cut_scan_equals_plain_python(rows):
+@pytest.mark.parametrize("split", [TINY, Split(rows=2)])  # few bounds and many
+def test_cut_scan_equals_plain_python(rows, split):
     df, data = skewed(rows)
     values = {"total": s.total("v"), "no": s.row_number(), "high": s.highest("v"), "low": s.lowest("v"),
               "prev_high": s.highest("v", before=True), "seen": s.latest("v", ["seq"]),
               "first": s.first("v", ["seq"]), "prev": s.latest("v", ["seq"], before=True)}
-    chunked = ordered_chunks(df, ["k"], ["seq"], TINY)
+    chunked = ordered_chunks(df, ["k"], ["seq"], split)
+    assert (chunked.chunks > 64) == (split.rows == 2)
     assert chunked.is_cut and ("hot",) in chunked.keys_cut
     assert chunked.df.groupBy("k", CHUNK).count().agg(F.max("count")).first()[0] < 40
     got = {r.seq: r for r in s.scan_chunked(chunked, values).df.collect()}
