@@ -11,7 +11,7 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-# Names as they stand in the file; `textio` names as used in frames follow in CLICK_NAMES.
+# CLICK_JSON has the names as they stand in the file, CLICK_NAMES those used in frames, in the same order.
 CLICK_JSON = _schema(browserType=_S, categoryID=_L, channelID=_L, city=_S, country=_S, entryTime=_L, leaveTime=_L,
                      network=_S, produceID=_L, province=_S, source=_S, userID=_L)
 CLICK_NAMES = ("browser_type", "category_id", "channel_id", "city", "country", "entry_time", "leave_time",
