@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import packing
+from flowtables.llm import exactdedup, packing, simhash
 from flowtables.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,22 @@ def vocabulary() -> str:
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), vocabulary())
+
+
+@query
+def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exactdedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+ORACLE["op9_exact_dedup"] = r"""
+with texts as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as content from documents)
+select doc_id, min(doc_id) over (partition by content) as keep_id, count(*) over (partition by content) as group_size,
+  doc_id = min(doc_id) over (partition by content) as kept, sha256(content) as text_sha256
+from texts
+"""
+
+
+@query
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
