@@ -15,6 +15,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,6 @@ from flowtables.llm.common import prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
 CACHED = 1_500_000  # words a worker remembers; then it starts anew
-BUCKET_ROWS = 200_000
 _workers: dict[str, Encoder] = {}
 
 
@@ -268,7 +268,7 @@ def pack(pieces: DataFrame, capacity: int = 2_048, size: str = "length", key: tu
 
 def _ranked(pieces: DataFrame, size: str, key: tuple[str, ...], rows: int) -> DataFrame:
     """Add __rank from 0 among the rows of the same size."""
-    buckets = -(-rows // BUCKET_ROWS)
+    buckets = isqrt(rows) + 1  # about as many buckets as a bucket has rows, so neither outgrows a task
     spread = pieces.withColumn("__bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     within = Window.partitionBy(size, "__bucket").orderBy(*key)
     before = Window.partitionBy(size).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import exactdedup, packing, simhash
+from flowtables.llm import exactdedup, lattice, mixing, packing, simhash
 from flowtables.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,30 @@ from texts
 @query
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"))
+
+
+@query
+def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, folder, "embeddings"))
+
+
+ORACLE["op2_embedding_near_dedup"] = """
+with recursive usable as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, x -> x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b
+  on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where case when len(a.v) = len(b.v) then list_cosine_similarity(a.v, b.v) >= 0.9 end),
+reached(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reached r join links l on r.b = l.a)
+select vec_id, (select count(*) from links where a = vec_id) as n_links,
+  (select min(b) from reached where a = vec_id) as component_id,
+  vec_id = (select min(b) from reached where a = vec_id) as kept
+from embeddings
+"""
