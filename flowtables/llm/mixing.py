@@ -205,17 +205,17 @@ def placed(rows: DataFrame, sources: Sequence[Source]) -> DataFrame:
 
 
 def _overlaps(rows: DataFrame, mix: Mix) -> tuple[DataFrame, list[Source]]:
-    """One row per document and slot that share words, and at least one per document: __from and __to in its words."""
+    """One row per document and slot of its blocks, at least one per document: __from and __to in its words, NULL if none."""
     sources = sources_of(rows, mix)
     at = placed(rows.select("__row", "__doc", "__source", "__size"), sources)
     last = F.floor((F.col("__start") + F.col("__size") - 1) / mix.block)
     parts = at.withColumn("block", F.explode_outer(F.when(
         F.col("__size") > 0, F.sequence(F.floor(F.col("__start") / mix.block), last))))
     met = parts.join(slots(rows, sources, mix).drop("shard"), ["source", "block"], "left")
-    start, end = F.col("__start"), F.col("__start") + F.col("__size")
+    start, end, used = F.col("__start"), F.col("__start") + F.col("__size"), F.col("low").isNotNull()
     return met.select(
-        "__row", "__doc", "source", "__size", "turn", (F.greatest(start, "low") - start).alias("__from"),
-        (F.least(end, "high") - start).alias("__to")), sources
+        "__row", "__doc", "source", "__size", "turn", F.when(used, F.greatest(start, "low") - start).alias("__from"),
+        F.when(used, F.least(end, "high") - start).alias("__to")), sources
 
 
 def mixture(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", text: str = "text", source: str = "source"

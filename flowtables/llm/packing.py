@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 from flowtables.llm.common import prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
-CACHED = 1_500_000  # words a worker remembers; then it starts anew
+CACHED = 1_000_000  # words a worker remembers; then it starts anew
 _workers: dict[str, Encoder] = {}
 
 
@@ -34,12 +34,14 @@ class Encoder:
     """Ids of whole texts by a byte-level vocabulary file, as little-endian 32-bit numbers.
 
     A space or line break between two visible characters always begins a new unit of this kind of vocabulary, so plain
-    text can be encoded word by word and remembered. Other white space, scripts outside Latin, Greek and Cyrillic,
-    and texts with the special token's string go through the tokenizer as a whole.
+    text can be encoded word by word and remembered, and so does a punctuation mark after a letter. Other white space,
+    scripts outside Latin, Greek and Cyrillic, and the special token's string go through the tokenizer as a whole.
     """
 
     PLAIN = re.compile("[\\n -~¡-ȳΑ-ΡΣ-ϿА-я‐-‧‰-⁞€]*")
-    ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
+    LATIN = bytes([10, *range(32, 127), *range(161, 256)])
+    ODD_SPACE = ("  ", " \n", "\n ", "\n\n")
+    MARKS = ".,;:!?#$%&*|)-"  # never part of the unit that a letter before them belongs to
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -52,19 +54,41 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def plain(self, text: str) -> bool:
+        if not text or text[0] in " \n" or text[-1] in " \n" or SPECIAL in text or any(x in text for x in self.ODD_SPACE):
+            return False
+        try:
+            return not text.encode("latin-1").translate(None, self.LATIN)
+        except UnicodeEncodeError:
+            return self.PLAIN.fullmatch(text) is not None
+
+    def _ids(self, words: list[str], prefix: str) -> list[bytes]:
+        """Ids of every prefixed word: one text with a line each, cut at the line breaks' ids."""
+        ids = np.asarray(self.tokenizer.encode_batch_fast(
+            ["\n".join([prefix + w for w in words])], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(ids == int.from_bytes(self.newline, "little")).tolist()
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
+
     def _learn(self, words: set[str], known: dict[str, bytes], prefix: str) -> None:
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > CACHED:
-                known.clear()
-                new = list(words)
-            for word, e in zip(new, self.tokenizer.encode_batch_fast([prefix + w for w in new], add_special_tokens=False),
-                               strict=True):
-                known[word] = np.asarray(e.ids, dtype="<u4").tobytes()
+        new = words - known.keys()
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = words
+        if not new:
+            return
+        stems = {w: w.rstrip(self.MARKS) or w for w in new}
+        bare = list(set(stems.values()) - known.keys())
+        if bare:
+            known.update(zip(bare, self._ids(bare, prefix), strict=True))
+        marks = list({w[len(s):] for w, s in stems.items()} - {""})
+        ends = dict(zip(marks, self._ids(marks, ""), strict=True)) if marks else {}
+        ends[""] = b""
+        for word, stem in stems.items():
+            known[word] = known[stem] + ends[word[len(stem):]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [bool(t) and self.PLAIN.fullmatch(t) is not None and self.ODD_SPACE.search(t) is None
-                 and SPECIAL not in t for t in texts]
+        plain = [self.plain(t) for t in texts]
         lines = [[line.split(" ") for line in t.split("\n")] if p else None for t, p in zip(texts, plain, strict=True)]
         self._learn({line[0] for ls in lines if ls for line in ls}, self.first, "")
         later: set[str] = set()

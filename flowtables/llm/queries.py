@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowtables.llm import exactdedup, lattice, mixing, packing, simhash
-from flowtables.llm.common import table
+from flowtables.llm import exactdedup, language, lattice, mixing, packing, quality, simhash
+from flowtables.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,8 +61,8 @@ def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op2_embedding_near_dedup"] = """
 with recursive usable as (
   select vec_id, embedding::double[] as v from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0),
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (
   select a.vec_id as a, b.vec_id as b from usable a join usable b
   on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
@@ -72,3 +73,18 @@ select vec_id, (select count(*) from links where a = vec_id) as n_links,
   vec_id = (select min(b) from reached where a = vec_id) as kept
 from embeddings
 """
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.trained(docs.where(~held_out(3, 1)))
+    return language.with_language(docs, model, keep=["doc_id", held_out(3, 1).alias("held_out")])
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").select("doc_id", "quality").where(~held_out(5, 0) & F.col("quality").isNotNull())
+    model = quality.fitted(docs.select("doc_id", "text").join(labels.distinct(), "doc_id"))
+    return quality.scored(docs, model, ("doc_id", held_out(5, 0).alias("held_out")))
