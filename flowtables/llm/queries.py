@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import exactdedup, language, lattice, mixing, packing, quality, simhash
+from flowtables.llm import exactdedup, html, language, lattice, mixing, packing, quality, simhash
 from flowtables.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", "quality").where(~held_out(5, 0) & F.col("quality").isNotNull())
     model = quality.fitted(docs.select("doc_id", "text").join(labels.distinct(), "doc_id"))
     return quality.scored(docs, model, ("doc_id", held_out(5, 0).alias("held_out")))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extracted(table(spark, folder, "pages"), keep=("page_id", "url"))
