@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import exactdedup, html, language, lattice, mixing, packing, quality, simhash
+from flowtables.llm import exactdedup, html, language, lattice, licences, mixing, packing, quality, simhash
 from flowtables.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,11 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(table(spark, folder, "pages"), keep=("page_id", "url"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.license_scan(table(spark, folder, "documents"), keep=["doc_id"])
+
+
+ORACLE["op1_license_scan"] = licences.oracle()
