@@ -133,7 +133,8 @@ def _cosine(a: str, b: str) -> Column:
 def links(classes: DataFrame, least: float, lattice: Lattice = Lattice()) -> DataFrame:
     """Pairs (a, b), a < b, of classes (class, vector) whose cosine is `least` or more, as far as the tables find them."""
     home, probe = _celled(classes, lattice, False), _celled(classes, lattice, True)
-    pairs = home.withColumnRenamed("class", "h").join(probe, "cell").where("h <> class").select(
+    # Spark can't foresee how many rows the cells become, so it is told not to broadcast them.
+    pairs = home.withColumnRenamed("class", "h").join(probe.hint("merge"), "cell").where("h <> class").select(
         F.least("h", "class").alias("a"), F.greatest("h", "class").alias("b")).distinct()
     return pairs.join(classes.select(F.col("class").alias("a"), F.col("vector").alias("va")), "a").join(
         classes.select(F.col("class").alias("b"), F.col("vector").alias("vb")), "b").where(

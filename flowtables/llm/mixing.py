@@ -211,7 +211,8 @@ def _overlaps(rows: DataFrame, mix: Mix) -> tuple[DataFrame, list[Source]]:
     last = F.floor((F.col("__start") + F.col("__size") - 1) / mix.block)
     parts = at.withColumn("block", F.explode_outer(F.when(
         F.col("__size") > 0, F.sequence(F.floor(F.col("__start") / mix.block), last))))
-    met = parts.join(slots(rows, sources, mix).drop("shard"), ["source", "block"], "left")
+    # Spark can't foresee how many rows slots and blocks become, so it is told not to broadcast them.
+    met = parts.join(slots(rows, sources, mix).drop("shard").hint("merge"), ["source", "block"], "left")
     start, end, used = F.col("__start"), F.col("__start") + F.col("__size"), F.col("low").isNotNull()
     return met.select(
         "__row", "__doc", "source", "__size", "turn", F.when(used, F.greatest(start, "low") - start).alias("__from"),

@@ -72,7 +72,7 @@ def close_pairs(bits: DataFrame, distance: int = 2, segments: int = 7) -> DataFr
     keys = [sum(masks[(start + i) % segments] for i in range(same)) for start in range(segments)]
     side = bits.select("bits", F.posexplode(F.array(*[F.col("bits").bitwiseAND(_lit(k)) for k in keys])).alias("start", "key"))
     pairs = side.select("start", "key", F.col("bits").alias("a")).join(
-        side.select("start", "key", F.col("bits").alias("b")), ["start", "key"])
+        side.select("start", "key", F.col("bits").alias("b")).hint("merge"), ["start", "key"])
     differ = F.col("a").bitwiseXOR(F.col("b"))
     parts = [F.bit_count(differ.bitwiseAND(_lit(m))) for m in masks]
     first = F.lit(-1)
