@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import exactdedup, html, language, lattice, licences, mixing, packing, quality, simhash
+from flowtables.llm import exactdedup, html, language, lattice, licences, linededup, mixing, packing, quality, simhash
 from flowtables.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op1_license_scan"] = licences.oracle()
+
+
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
