@@ -39,3 +39,9 @@ def text_of(column: str = "text") -> Column:
 def held_out(modulus: int, remainder: int, column: str = "doc_id") -> Column:
     """Is crc32 of the id's decimal digits `remainder` modulo `modulus`? A NULL id is not held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public vocabulary file is on this machine and, as it comes with Python's packages, on every other."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

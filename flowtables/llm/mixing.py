@@ -248,7 +248,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", t
     parts, _ = _overlaps(rows, mix)
     spans = parts.where("__to > __from").groupBy("__row", "turn").agg(
         F.array_sort(F.collect_list(F.struct("__from", "__to"))).alias("__spans"))  # at most one per block of the document
-    word = re.compile(WORD)
+    word, columns = re.compile(WORD), list(docs.columns)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -267,6 +267,6 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", t
             frame[text] = texts
             if n_chars in frame:
                 frame[n_chars] = [len(t) for t in texts]
-            yield frame[docs.columns]
+            yield frame[columns]
 
-    return rows.join(spans, "__row").select("__size", "__spans", *docs.columns).mapInPandas(cut, docs.schema)
+    return rows.join(spans, "__row").select("__size", "__spans", *columns).mapInPandas(cut, docs.schema)

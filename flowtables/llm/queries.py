@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtables.llm import exactdedup, html, language, lattice, licences, linededup, mixing, packing, quality, simhash
-from flowtables.llm.common import held_out, table
+from flowtables.llm.common import held_out, table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,11 +19,6 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), vocabulary())
@@ -106,3 +101,4 @@ ORACLE["op1_license_scan"] = licences.oracle()
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+

@@ -41,17 +41,17 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, bits) for every row; NULL text is empty text, whose bits are 0."""
+def fingerprints(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text: str = "text", *keep: str) -> DataFrame:
+    """(doc_id, bits) and the columns in `keep` for every row; NULL text is empty text, whose bits are 0."""
+    names = [doc_id, *keep]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({doc_id: frame[doc_id], "bits": np.array(
-                [fingerprint(t, words) for t in frame["text"]], dtype=np.int64)})
+            yield frame[names].assign(bits=np.array([fingerprint(t, words) for t in frame["__text"]], dtype=np.int64))
 
     prepared(docs.sparkSession)
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text_of(text).alias("text")).mapInPandas(run, f"`{doc_id}` {kind}, bits long")
+    kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
+    return docs.select(*names, text_of(text).alias("__text")).mapInPandas(run, f"{kinds}, bits long")
 
 
 def _masks(segments: int) -> list[int]:
@@ -93,12 +93,29 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2, segments
     with a NULL id belong to their component and never name it, unless it has no other rows: then its id is NULL. An empty
     table gives no rows.
     """
-    prints = written(fingerprints(docs, words, doc_id, text), "prints")
+    return _components(written(fingerprints(docs, words, doc_id, text), "prints"), distance, segments, doc_id).select(
+        doc_id, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, distance: int = 2, segments: int = 7, doc_id: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """The rows of `docs` whose id names their component (see `near_duplicates`), with all their columns.
+
+    Rows that repeat a kept id in the same component stay with it. A component in which no row has an id stays as it is.
+    """
+    row = F.monotonically_increasing_id().alias("__row")
+    whole = written(docs.select("*", row), "documents")
+    linked = _components(written(fingerprints(whole, words, doc_id, text, "__row"), "prints"), distance, segments, doc_id)
+    kept = written(linked.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select("__row"), "kept")
+    return whole.join(kept, "__row", "left_semi").select(*docs.columns)
+
+
+def _components(prints: DataFrame, distance: int, segments: int, doc_id: str) -> DataFrame:
+    """`prints` (doc_id, bits and more) with component_id."""
     distinct = written(prints.groupBy("bits").agg(F.min(doc_id).alias("first_id")), "distinct")
     roots = components(close_pairs(distinct.select("bits"), distance, segments))
     rooted = distinct.join(roots.withColumnRenamed("node", "bits"), "bits", "left").select(
         "bits", "first_id", F.coalesce("root", "bits").alias("root"))
     names = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "names")
     named = written(rooted.select("bits", "root").join(names, "root").select("bits", "component_id"), "named")
-    return prints.join(named, "bits").select(
-        doc_id, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, "bits").select(*prints.columns, "component_id")
