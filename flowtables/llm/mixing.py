@@ -247,7 +247,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", t
     rows = sized(docs, docs.columns, doc_id, text, source)
     parts, _ = _overlaps(rows, mix)
     spans = parts.where("__to > __from").groupBy("__row", "turn").agg(
-        F.array_sort(F.collect_list(F.struct("__from", "__to"))).alias("__spans"))  # at most one per block of the document
+        F.array_sort(F.collect_list(F.struct("__from", "__to"))).alias("__spans")).drop("turn")  # at most one per block of the document
     word, columns = re.compile(WORD), list(docs.columns)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

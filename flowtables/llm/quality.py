@@ -7,8 +7,8 @@ on labelled texts that no dictionary has seen, turns it into a score from 0 to 1
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,8 +23,8 @@ from flowtables.llm.common import prepared, text_of
 class Fit:
     """Bounds of the sample that a classifier is fitted on."""
 
-    texts: int = 1_500         # per class and use (dictionary, calibration), chosen by a hash of the text
-    longest: int = 50_000      # characters of a text to learn from; longer texts are scored, not learned
+    texts: int = 1_200         # per class and use (dictionary, calibration), chosen by a hash of the key
+    longest: int = 20_000      # characters of a text to learn from; longer texts are scored, not learned
     dictionary: int = 262_144  # bytes
     level: int = 3
     block: int = 8_192         # bytes compressed at a time
@@ -78,21 +78,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 50)
     return float(at[0] / scale), float(at[1])
 
 
-def fitted(labelled: DataFrame, fit: Fit = Fit(), text: str = "text", label: str = "quality") -> Classifier | None:
-    """Fit on rows with label 1 (good) or 0 (bad); others, NULL and too long texts are not used.
+def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), key: str = "doc_id", text: str = "text",
+           label: str = "quality") -> Classifier | None:
+    """Fit on the texts of rows that `labels` (key, label) calls 1 (good) or 0 (bad); others and NULL are not used.
 
-    None if either class has fewer than eight texts to learn from.
+    The sample is drawn from the narrow labels, so the texts need no shuffle. None if either class has fewer than eight texts
+    to learn from.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & (F.length("text") > 0) & (F.length("text") <= fit.longest))
-    order = F.xxhash64("text", F.lit(7))
-    rows = rows.withColumn("use", F.pmod(F.xxhash64("text", F.lit(11)), F.lit(2))).withColumn("order", order)
+    rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
+        F.col("key").isNotNull() & F.col("label").isin(0, 1)).distinct().withColumns({
+            "use": F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2)).cast("int"), "order": F.xxhash64("key", F.lit(7))})
     counts = {(r[0], r[1]): r[2] for r in rows.groupBy("label", "use").count().collect()}
-    parts = {}
-    for key in ((0, 0), (1, 0), (0, 1), (1, 1)):
-        some = rows.where((F.col("label") == key[0]) & (F.col("use") == key[1]))
-        # At most `texts` rows of at most `longest` characters come to the driver.
-        parts[key] = [r[0] for r in some.orderBy("order", "text").limit(fit.texts).select("text").collect()]
+    uses = ((0, 0), (1, 0), (0, 1), (1, 1))
+    sample = reduce(DataFrame.unionByName, [
+        rows.where((F.col("label") == a) & (F.col("use") == b)).orderBy("order", "key").limit(fit.texts) for a, b in uses])
+    # Bounded: at most 4 * texts keys are broadcast, and as many texts of at most `longest` characters come to the driver.
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(
+        (F.length("text") > 0) & (F.length("text") <= fit.longest)).join(F.broadcast(sample), "key").select(
+        "label", "use", "order", "text").dropDuplicates(["label", "use", "order"])
+    parts: dict[tuple[int, int], list[str]] = {u: [] for u in uses}
+    for a, b, _, t in sorted(found.collect()):
+        parts[a, b].append(t)
     if min(len(parts[0, 0]), len(parts[1, 0])) < 8 or not parts[0, 1] or not parts[1, 1]:
         return None
     good, bad = (_dictionary(parts[k, 0], fit.dictionary) for k in (1, 0))

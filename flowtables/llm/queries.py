@@ -80,8 +80,7 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels").select("doc_id", "quality").where(~held_out(5, 0) & F.col("quality").isNotNull())
-    model = quality.fitted(docs.select("doc_id", "text").join(labels.distinct(), "doc_id"))
+    model = quality.fitted(docs, table(spark, folder, "labels").where(~held_out(5, 0)))
     return quality.scored(docs, model, ("doc_id", held_out(5, 0).alias("held_out")))
 
 

@@ -1,0 +1,199 @@
+"""Exact, fingerprint, line and vector duplicates against brute force, and on awkward tables."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_data import DOCUMENTS, documents, no_documents, prose
+
+from flowtables.llm import exactdedup, lattice, linededup, simhash
+from flowtables.llm.components import components
+
+
+def roots(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components_of_chains_stars_and_hubs(spark):
+    links = [(i, i + 1) for i in range(60)] + [(200, 100 + i) for i in range(50)] + [(300 + i, 400) for i in range(20)]
+    links += [(400, 301), (7, 7), (None, 3), (9, 8)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    real = [(a, b) for a, b in links if a is not None and a != b]
+    assert got == roots({x for l in real for x in l}, real)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("budget", [1 << 20, 2_000])
+def test_trie_with_and_without_files(budget):
+    r = random.Random(1)
+    keys = [hashlib.sha256(str(r.randrange(60)).encode()).digest()[:8] + b"ab" * r.randrange(200) for _ in range(600)]
+    keys += [b"\0" * 8, b"\0" * 8 + b"a", b"\0" * 8 + b"ab", b"\0" * 8]
+    trie = exactdedup.Trie(budget)
+    for i, k in enumerate(keys):
+        trie.add(k, (False, i, i), 1, [i])
+    if budget < 10_000:
+        assert trie.files
+    groups = defaultdict(list)
+    for i, k in enumerate(keys):
+        groups[k].append(i)
+    assert sorted((o[1], n, sorted(m)) for o, n, m in trie.groups()) == sorted((min(v), len(v), v) for v in groups.values())
+
+
+def test_exact_duplicates_of_awkward_rows(spark):
+    got = exactdedup.exact_duplicates(documents(spark)).collect()
+    normal = [(d[0], re.sub(r"[\x20\x09-\x0D]+", " ", d[1] or "")) for d in DOCUMENTS]
+    groups = defaultdict(list)
+    for doc, text in normal:
+        groups[text].append(doc)
+    best = {t: min((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == Counter(
+        (doc, best[t], len(groups[t]), hashlib.sha256(t.encode()).hexdigest()) for doc, t in normal)
+    kept = Counter(r.text_sha256 for r in got if r.kept)
+    assert set(kept.values()) == {1} and len(kept) == len(groups)
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert exactdedup.exact_duplicates(no_documents(spark)).count() == 0
+
+
+@pytest.mark.parametrize("distance, segments", [(1, 3), (2, 5), (2, 7), (3, 7)])
+def test_pigeonring_finds_every_close_pair_once(spark, distance, segments):
+    r = random.Random(distance)
+    values = [r.getrandbits(64) for _ in range(150)]
+    for v in values[:80]:
+        for bits in (1, 2, 3, 4):
+            values.append(v ^ sum(1 << b for b in r.sample(range(64), bits)))
+    signed = sorted({v - (1 << 64) if v >> 63 else v for v in [*values, 0, 1, (1 << 64) - 1]})
+    got = simhash.close_pairs(spark.createDataFrame([(v,) for v in signed], "bits long"), distance, segments).collect()
+    array = np.array(signed, dtype=np.int64).view(np.uint64)
+    want = {(signed[i], signed[j]) for i in range(len(signed))
+            for j in np.flatnonzero(np.bitwise_count(array ^ array[i]) <= distance) if i < j}
+    assert len(got) == len(set(got)) and {tuple(p) for p in got} == want
+
+
+def test_fingerprints_link_through_copies_and_empty_texts(spark):
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(documents(spark)).collect()}
+    bits = {d: simhash.fingerprint(d[1] or "") for d in DOCUMENTS}
+    links = [(a, b) for a in bits for b in bits if ((bits[a] ^ bits[b]) & (1 << 64) - 1).bit_count() <= 2]
+    number = {d: i for i, d in enumerate(bits)}
+    group = roots(number.values(), [(number[a], number[b]) for a, b in links])
+    for d in bits:
+        same = [e[0] for e in bits if group[number[e]] == group[number[d]] and e[0] is not None]
+        assert got[d[0], f"{bits[d] & (1 << 64) - 1:016x}"] == min(same, default=None)
+    assert got[5, "0" * 16] == 4 and got[6, "0" * 16] == 4
+    assert simhash.near_duplicates(no_documents(spark)).count() == 0
+    kept = simhash.one_of_each(documents(spark))
+    assert kept.columns == documents(spark).columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter({1: 1, 4: 1, 7: 1, 8: 1, 9: 1, 10: 1, 11: 1, 12: 2, 13: 1, None: 2})
+
+
+def test_long_texts_are_hashed_in_blocks(monkeypatch):
+    text = prose(500, 9)
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    assert simhash.fingerprint(text) == whole
+
+
+def brute_lines(rows, width=8, least=0.8):
+    """doc -> text, by comparing all pairs of lines."""
+    lines = sorted({l for _, t in rows for l in (t or "").split("\n") if l.strip()})
+    sets = [{l[i:i + width] for i in range(max(1, len(l) - width + 1))} for l in lines]
+    group = roots(range(len(lines)), [(a, b) for a in range(len(lines)) for b in range(a)
+                                      if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])])
+    place, first = {l: group[i] for i, l in enumerate(lines)}, {}
+    last = lambda doc: (doc is None, doc)
+    for doc, text in rows:
+        for pos, l in enumerate((text or "").split("\n")):
+            if l.strip():
+                at = (*last(doc), pos)
+                first[place[l]] = min(first.get(place[l], at), at)
+    return [(doc, None if text is None else "\n".join(
+        l for pos, l in enumerate(text.split("\n")) if not l.strip() or first[place[l]] == (*last(doc), pos)))
+        for doc, text in rows]
+
+
+def test_similar_lines_against_all_pairs(spark):
+    r = random.Random(3)
+    base = [prose(r.randint(25, 60), i) for i in range(30)] + ["Short.", "Other", "abc"]
+    rows = []
+    for doc in range(60):
+        lines = []
+        for _ in range(r.randint(1, 8)):
+            words = r.choice(base).split(" ")
+            if len(words) > 20 and r.random() < 0.5:
+                words[r.randrange(len(words))] = "zq" + str(r.randrange(10))
+            lines.append(" ".join(words))
+        rows.append((doc, "\n".join(lines + [""] * r.randrange(3))))
+    rows += [(70, None), (71, ""), (72, " \n ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = linededup.without_repeats(df)
+    assert sorted((x.doc_id, x.text) for x in out.collect()) == sorted(brute_lines(rows), key=lambda x: x[0]) or \
+        {(x.doc_id, x.text) for x in out.collect()} == set(brute_lines(rows))
+
+
+def test_lines_of_awkward_rows(spark):
+    out = linededup.without_repeats(documents(spark))
+    assert out.columns == [*documents(spark).columns, "n_lines", "n_dropped"]
+    got = out.collect()
+    assert len(got) == len(DOCUMENTS)
+    by = defaultdict(list)
+    for x in got:
+        by[x.doc_id].append(x)
+    assert {x.text for x in by[1]} == {DOCUMENTS[0][1]} and [x.text for x in by[2]] == ["", ""]
+    assert by[4][0].text is None and by[5][0].text == "" and by[6][0].text == " \n\t "
+    assert by[7][0].text == DOCUMENTS[7][1] and by[7][0].n_chars == len(DOCUMENTS[7][1])
+    assert by[11][0].text == prose(80, 5) + "\n" and by[11][0].n_dropped == 2
+    assert linededup.without_repeats(no_documents(spark)).count() == 0
+
+
+def test_lattice_points_are_the_nearest():
+    x = np.random.default_rng(1).normal(size=(300, 8)) * 2
+    near = lattice.decoded(x)
+    twice = np.rint(2 * near)
+    assert np.allclose(twice, 2 * near) and (near.sum(axis=1) % 2 == 0).all()
+    assert (np.abs(twice % 2).min(axis=1) == np.abs(twice % 2).max(axis=1)).all()
+    around = near[:, None] + lattice.SHORTEST
+    assert (((x - near) ** 2).sum(1) <= ((x[:, None] - around) ** 2).sum(2).min(1) + 1e-9).all()
+
+
+def test_near_vectors_recall_and_awkward_rows(spark):
+    r = np.random.default_rng(2)
+    v = r.normal(size=(250, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    rows = [x.tolist() for x in v]
+    for i in range(200):  # cosines from 0.9 up
+        c, w = 0.9 + 0.1 * r.random(), r.normal(size=64)
+        w -= (w @ v[i]) * v[i]
+        rows.append((c * v[i] + np.sqrt(1 - c * c) * w / np.linalg.norm(w)).tolist())
+    rows += [rows[0], (3 * np.array(rows[0])).tolist(), None, [0.0] * 64, [float("nan")] * 64, [None] * 64, [], [1.0, 2.0],
+             [float("inf")] * 64]
+    data = [(i, x, "n") for i, x in enumerate(rows)] + [(0, rows[0], "n"), (None, rows[5], "n")]
+    got = lattice.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, class string").repartition(3))
+    ok = [i for i, x in enumerate(rows) if x and None not in x and np.isfinite(x).all() and np.any(x)]
+    full = [i for i in ok if len(rows[i]) == 64]
+    m = np.array([rows[i] for i in full])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    true = {(full[a], full[b]) for a, b in np.argwhere(m @ m.T >= 0.9) if a < b}
+    by = defaultdict(list)
+    for x in got.collect():
+        by[x.vec_id].append(x)
+    assert sum(map(len, by.values())) == len(data)
+    found = sum(by[i][0].n_links for i in by if i is not None and len(by[i]) == 1)
+    assert found >= 0.95 * 2 * len(true)
+    for i in set(range(len(rows))) - set(full):
+        assert (by[i][0].n_links, by[i][0].component_id, by[i][0].kept) == (0, i, True)
+    assert len(by[0]) == 2 and by[0][0].n_links >= 3 and by[0][0].component_id == 0
+    assert by[None][0].component_id == 5 and not by[None][0].kept
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert lattice.near_vectors(empty).count() == 0
