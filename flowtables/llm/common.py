@@ -28,6 +28,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame) -> DataFrame:
+    """Let Spark remove the shuffle files of steps that are done: it does so when the driver's JVM collects their plans."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import text_of, written
+from flowtables.llm.common import released, text_of, written
 from flowtables.llm.components import components
 
 
@@ -80,14 +80,15 @@ def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(node, root): the keys of lines that are linked to another distinct line, with their component's smallest key."""
-    banded = bands(lines, fuzzy)
+    banded = released(bands(lines, fuzzy))
     buckets = written(banded.groupBy("band").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                       .select("band", "head"), "buckets")
-    members = written(banded.join(buckets, "band"), "members")
+    # The smaller sides of these joins are hashed, so that lines and bands need no sort.
+    members = released(written(banded.join(buckets.hint("shuffle_hash"), "band"), "members"))
     needed = written(members.select("key").distinct(), "needed")
-    found = lines.select("key", "line").join(needed, "key", "left_semi").dropDuplicates(["key"])
+    found = lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
     sets = _shingled(found.select("key", _units("line").alias("units")), fuzzy.width)
-    texts = written(sets.groupBy("key").agg(F.collect_set("hash").alias("set")), "sets")
+    texts = released(written(sets.groupBy("key").agg(F.collect_set("hash").alias("set")), "sets"))
 
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
     first = components(_similar(stars, texts, fuzzy))
@@ -107,7 +108,7 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     up = united.select(F.col("node").alias("root"), F.col("root").alias("above"))
     both = first.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     # Lines that the first round left alone are in `united` under their own key.
-    return written(both.unionByName(united.join(first, "node", "left_anti")), "roots")
+    return released(written(both.unionByName(united.join(first, "node", "left_anti")), "roots"))
 
 
 def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_id", text: str = "text",
@@ -121,7 +122,8 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     lines = lines_of(docs, doc_id, text)
     roots = similar_lines(lines, fuzzy)
     at = F.struct(F.col("doc").isNull().alias("no"), "doc", "copy", "pos").alias("at")
-    placed = written(lines.select("key", at).join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+    placed = written(lines.select("key", at).join(
+        roots.withColumnRenamed("node", "key").hint("shuffle_hash"), "key", "left").select(
         F.coalesce("root", "key").alias("root"), "at"), "occurrences")
     heads = written(placed.groupBy("root").agg(F.min("at").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                     .select("root", "head"), "heads")
@@ -132,7 +134,7 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     kept = F.array_join(F.filter(F.split(text_of(text), "\n"), lambda _, i: ~F.array_contains("__drops", i)), "\n")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names, F.col(doc_id).alias("__id"), F.xxhash64(text_of(text)).alias("__copy"))
-    gone = written(drops.withColumnRenamed("__copy", "__of"), "drops")
+    gone = released(written(drops.withColumnRenamed("__copy", "__of"), "drops")).hint("shuffle_hash")
     joined = rows.join(gone, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__copy") == F.col("__of")), "left")
     out = joined.withColumn("__new", F.when(F.col("__drops").isNull(), F.col(text)).otherwise(kept))
     columns = {text: F.col("__new"), "n_lines": F.size(F.split(text_of(text), "\n")).cast("long"), "n_dropped": lost.cast("long")}
