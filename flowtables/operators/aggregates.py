@@ -167,14 +167,14 @@ def combine_in_pandas(df: DataFrame, keys: Sequence[str], step: Callable[[pd.Dat
 
 def rated(df: DataFrame, item: str, rating: str, digits: int = 2) -> DataFrame:
     """Ratings and rounded mean rating per item."""
-    return df.groupBy(item).agg(F.count(item).alias("rating_people"), F.round(F.avg(rating), digits).alias("rating"))
+    return df.groupBy(item).agg(F.count(item).alias("ratings"), F.round(F.avg(rating), digits).alias("rating"))
 
 
 def top_rated(df: DataFrame, item: str, rating: str, more_than: int, n: int = 10) -> DataFrame:
     """Best rated items with more than `more_than` ratings: by rating, then by number of ratings, then by item."""
     return (rated(df, item, rating)
-            .where(F.col("rating_people") > more_than)
-            .orderBy(F.desc("rating"), F.desc("rating_people"), item)
+            .where(F.col("ratings") > more_than)
+            .orderBy(F.desc("rating"), F.desc("ratings"), item)
             .limit(n))
 
 

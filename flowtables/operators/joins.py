@@ -14,10 +14,18 @@ from flowtables.plans.chunks import Split
 from flowtables.plans.scan import latest, scan
 
 
+HIT = "__hit"
+
+
+def _marked(right: DataFrame) -> DataFrame:
+    return right.withColumn(HIT, F.lit(True))
+
+
 def _with_defaults(df: DataFrame, defaults: Mapping[str, object] | None) -> DataFrame:
+    """Defaults for rows without a partner; a NULL of a partner that is there stays NULL."""
     if not defaults:
         return df
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    return df.withColumns({c: F.when(F.col(HIT).isNull(), F.lit(v)).otherwise(F.col(c)) for c, v in defaults.items()})
 
 
 def window_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, size: str,
@@ -29,7 +37,7 @@ def window_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: s
     is still too large. On streams both sides need a watermark.
     """
     a = left.withColumn("__w", tumbling(left_ts, size))
-    b = right.withColumn("__w", tumbling(right_ts, size))
+    b = (_marked(right) if defaults else right).withColumn("__w", tumbling(right_ts, size))
     # A stream may have one event time only, and in this join it is the window.
     if left.isStreaming:
         a = a.withColumn(left_ts, unmarked(left_ts))
@@ -81,7 +89,8 @@ def lookup_join(facts: DataFrame, dimension: DataFrame, on: Sequence[str],
 
     The dimension is broadcast only if it was measured to fit `limit`; `limit=None` leaves the choice to Spark.
     """
-    side = dimension if limit is None else broadcast_if_small(dimension, limit)
+    side = _marked(dimension) if defaults else dimension
+    side = side if limit is None else broadcast_if_small(side, limit)
     joined = facts.join(side, list(on), "left")
     rest = [c for c in [*facts.columns, *dimension.columns] if c not in on]
     return _with_defaults(joined, defaults).select(*on, *rest)
@@ -109,5 +118,5 @@ def asof_lookup(facts: DataFrame, versions: DataFrame, on: Sequence[str], order:
     both = fact.unionByName(version, allowMissingColumns=True)
     by = [*order, "__side"]
     seen = scan(both, on, by, {"__seen": latest("__version", by)}, split).where(F.col("__side") == 1)
-    out = seen.select("__fact.*", *[F.col("__seen")[n].alias(n) for n in fields])
-    return _with_defaults(out, defaults)
+    out = seen.select("__fact.*", F.col("__seen").isNotNull().alias(HIT), *[F.col("__seen")[n].alias(n) for n in fields])
+    return _with_defaults(out.withColumn(HIT, F.when(F.col(HIT), True)), defaults).drop(HIT)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from flowtables.functions.times import epoch_micros, micros, tumbling
 from flowtables.operators.aggregates import Measures
 from flowtables.plans.chunks import Split
-from flowtables.plans.scan import highest, scan, total
+from flowtables.plans.scan import highest, row_number, scan, total
 
 ON_TIME, REFIRE, LATE = "on_time", "refire", "late"
 
@@ -78,10 +78,9 @@ def window_firings(rows: DataFrame, value: str, arrival: Sequence[str], keys: Se
     A window all of whose rows came after its end time fires only for those rows, starting at `firing` 1.
     """
     by = [*keys, "window_start", "window_end"]
-    first = rows.where(F.col("status") == ON_TIME).groupBy(*by).agg(F.sum(value).alias(out))
-    again = rows.where(F.col("status") == REFIRE).select(*by, *arrival, F.col(value).alias("__v"))
-    again = scan(again, by, arrival, {"__more": total("__v"), "__no": total(F.lit(1))}, split)
-    based = again.join(first, by, "left")
-    later = based.select(*by, F.col("__no").cast("long").alias("firing"),
-                         (F.coalesce(F.col(out), F.lit(0)) + F.col("__more")).alias(out))
-    return first.select(*by, F.lit(0).cast("long").alias("firing"), out).unionByName(later)
+    # The highest event time only grows, so the rows of a window that are on time arrive before those that fire it again,
+    # and one running total per window holds all its firings.
+    again = F.when(F.col("status") == REFIRE, 1).otherwise(0)
+    counted = rows.where(F.col("status") != LATE).select(*by, *arrival, F.col(value).alias("__v"), again.alias("__again"))
+    firings = scan(counted, by, arrival, {"__total": total("__v"), "__no": total("__again"), "__n": row_number()}, split)
+    return firings.groupBy(*by, F.col("__no").cast("long").alias("firing")).agg(F.max_by("__total", "__n").alias(out))

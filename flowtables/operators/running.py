@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtables.functions.text import ColumnLike, _col
 from flowtables.functions.times import epoch_micros, micros
@@ -76,16 +77,20 @@ def expiring_sum(df: DataFrame, keys: Sequence[str], ts: str, ttl: str, value: C
 
     This is keyed state with a time to live that every write renews and that is never read after expiry, with
     the time taken from `ts`. Values must be whole numbers or decimals, as the sum of a run is the
-    difference of two running sums.
+    difference of two running sums. A NULL value adds nothing; rows with a NULL time come before all others.
     """
     amount = F.lit(1).cast("long") if value is None else _col(value)
+    if isinstance(df.select(amount.alias("v")).schema["v"].dataType, (T.DoubleType, T.FloatType)):
+        raise TypeError("sums that expire need whole numbers or decimals")
     order = [ts, *tie]
     work = df.withColumn("__v", amount).withColumn("__us", epoch_micros(ts))
     chunked = ordered_chunks(work, keys, order, split)
     chunked = s.scan_chunked(chunked, {"__prev": s.highest("__us", before=True), "__all": s.total("__v")})
     starts = F.col("__prev").isNull() | (F.col("__us") - F.col("__prev") >= micros(ttl))
     marked = s.Chunked(
-        chunked.df.withColumn("__base", F.when(starts, F.col("__all") - F.col("__v"))),
+        chunked.df.withColumn("__base", F.when(
+            starts, F.coalesce("__all", F.lit(0)) - F.coalesce("__v", F.lit(0)))),
         chunked.keys, chunked.order, chunked.rows, chunked.chunks, chunked.keys_cut)
     based = s.scan_chunked(marked, {"__from": s.latest("__base", order)})
-    return based.df.select(*df.columns, (F.col("__all") - F.col("__from")).alias(out)).drop(CHUNK)
+    total = F.coalesce("__all", F.lit(0)) - F.col("__from")
+    return based.df.select(*df.columns, total.cast(work.select(F.sum("__v")).schema[0].dataType).alias(out)).drop(CHUNK)

@@ -28,14 +28,15 @@ def cancel_unpaid(orders: DataFrame, as_of: ColumnLike, order_id: str = "order_i
     """Updates for the orders that are due at `as_of` and whose newest status is still unpaid.
 
     `orders` has a row per order as it came in; `statuses`, if given, has status changes with the columns
-    `order_id`, `status` and `order`. Without it the newest row per order in `orders` counts.
+    `order_id`, `status` and `order`. Without it the newest row per order in `orders` counts: the last by `order`, or
+    by `ordered_at` if no order is given.
     """
     due = orders.where((F.col(status) == unpaid) & (deadline(ordered_at, wait) <= _col(as_of)))
     if statuses is not None:
         now = latest_per_key(statuses.select(order_id, *order, F.col(status).alias("__now")), [order_id], order)
         due = due.join(now.select(order_id, "__now"), order_id, "left")
         due = due.where(F.coalesce(F.col("__now"), F.col(status)) == unpaid).drop("__now")
-    elif order:
-        due = latest_per_key(orders, [order_id], order).where(
+    else:
+        due = latest_per_key(orders, [order_id], order or [ordered_at]).where(
             (F.col(status) == unpaid) & (deadline(ordered_at, wait) <= _col(as_of)))
     return due.withColumn(status, F.lit(cancelled)).select(*orders.columns)

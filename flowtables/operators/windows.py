@@ -55,7 +55,8 @@ def session_agg(df: DataFrame, ts: str, gap: str, measures: Measures, keys: Sequ
     """Measures per session: rows at most `gap` apart belong together. `window_end` is the last row plus the gap.
 
     Spark's session windows sort each key in one task. That is the faster way for keys of a usual size; keys larger
-    than `split.rows`, and bounded input without a key, are computed in pieces instead.
+    than `split.rows`, and bounded input without a key, are computed in pieces instead. The measures have the same
+    types either way.
     """
     plain = F.session_window(F.col(ts), f"{micros(gap)} microseconds")
     if df.isStreaming:
@@ -105,6 +106,9 @@ def _pieced_sessions(df: DataFrame, ts: str, gap: str, measures: Measures, keys:
     edges = merged(numbered(pieces.where(on_edge).drop("__sid"), keys), [*keys, "__sid"]).select(*keys, *state)
     sessions = inner.unionByName(edges)
     kind = df.schema[ts].dataType
+    # Merging adds decimal digits; how a key was computed must not show in the types.
+    kinds = df.groupBy().agg(*[m.whole().alias(n) for n, m in measures.items()]).schema
     return sessions.select(
         *keys, F.timestamp_micros("__first").cast(kind).alias("window_start"),
-        F.timestamp_micros(F.col("__last") + width).cast(kind).alias("window_end"), *measures)
+        F.timestamp_micros(F.col("__last") + width).cast(kind).alias("window_end"),
+        *[F.col(n).cast(kinds[n].dataType).alias(n) for n in measures])

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 CHUNK = "__chunk"
 TREE = 64  # bounds that still make a decision tree of a size the compiler takes
+MOST = 500_000  # sampled rows that should come to the driver
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,7 @@ class Split:
     """When and how far to cut groups."""
 
     rows: int = 2_000_000    # rows of one group a task should get at most
-    max_chunks: int = 4_096  # upper end for the number of chunks, and so for all per-chunk tables
+    max_chunks: int = 65_536  # upper end for the number of chunks; above `rows * max_chunks` rows chunks grow with the table
     samples: int = 24        # sampled rows per chunk
 
 
@@ -119,7 +120,8 @@ def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple]) ->
 def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = Split()) -> Chunked:
     """Number the chunks of every large group along `order`; small groups keep the single chunk 0.
 
-    Runs a count, and a sample of at most `samples * max_chunks` rows when the table is large enough to be cut.
+    Runs a count, and a sample when the table is large enough to be cut: `samples` rows per chunk, fewer (but at least
+    eight) above MOST rows in all.
     """
     keys, order = tuple(keys), tuple(order)
     columns = list(dict.fromkeys(keys + order))
@@ -134,7 +136,7 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
     if wanted < 2:
         return whole
 
-    fraction = min(1.0, split.samples * wanted / rows)
+    fraction = min(1.0, max(8, min(split.samples, MOST // wanted)) * wanted / rows)
     sample = narrow.sample(fraction, seed=42).orderBy(*columns).collect()
     every = max(1, len(sample) // wanted)
     bounds = [tuple(row) for row in sample[every::every]]

@@ -22,7 +22,7 @@ from flowtables.plans.chunks import Split
 from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables.sources import records, tables
-from flowtables.streaming import runs, state, windows as sw
+from flowtables.streaming import running as sr, runs, state, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,11 +81,8 @@ MINUTE, HOUR, DAY = 60_000_000, 3_600_000_000, 86_400_000_000
 # --- aggregates -------------------------------------------------------------------------------------------------
 
 @query("""
-WITH tmp AS (
-  SELECT l_partkey, count(l_partkey) AS rating_people, round(avg(l_quantity), 2) AS rating
-  FROM lineitem GROUP BY l_partkey)
-SELECT l_partkey, rating_people, rating FROM tmp WHERE rating_people > 30
-ORDER BY rating DESC, rating_people DESC, l_partkey LIMIT 10
+SELECT l_partkey, count(l_partkey) AS ratings, round(avg(l_quantity), 2) AS rating FROM lineitem
+GROUP BY l_partkey HAVING count(l_partkey) > 30 ORDER BY 3 DESC, 2 DESC, 1 LIMIT 10
 """)
 def top_rated(spark, folder):
     """Best rated items with more than 30 ratings."""
@@ -93,19 +90,15 @@ def top_rated(spark, folder):
 
 
 @query("""
-WITH tmp AS (
-  SELECT l_partkey, count(l_partkey) AS rating_people, round(avg(l_quantity), 2) AS rating
-  FROM lineitem GROUP BY l_partkey)
-SELECT l_partkey, rating_people, rating FROM tmp WHERE rating_people > 20
+SELECT l_partkey, count(l_partkey) AS ratings, round(avg(l_quantity), 2) AS rating FROM lineitem
+GROUP BY l_partkey HAVING count(l_partkey) > 20
 """)
 def rated_view(spark, folder):
     """The same through a view and SQL text, all items above the threshold."""
-    op.as_view(load(spark, folder, "lineitem"), "tbl_ratings")
+    op.as_view(load(spark, folder, "lineitem"), "parts_sold")
     return spark.sql("""
-        WITH tmp AS (
-          SELECT l_partkey, COUNT(l_partkey) AS rating_people, ROUND(AVG(l_quantity), 2) AS rating
-          FROM tbl_ratings GROUP BY l_partkey)
-        SELECT * FROM tmp WHERE rating_people > 20""")
+        SELECT l_partkey, count(l_partkey) AS ratings, round(avg(l_quantity), 2) AS rating
+        FROM parts_sold GROUP BY l_partkey HAVING count(l_partkey) > 20""")
 
 
 _WORDS = r"""
@@ -759,14 +752,36 @@ def upsert_table(spark, folder):
     """A table by key, with a second round that changes some of its rows."""
     path = new_folder(spark, "orders")
     o = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(0).alias("seq"))
-    keyed.upsert(path, o, ["o_orderkey"], ["seq"], 8)
-    keyed.upsert(path, o.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("取消")), ["o_orderkey"],
-                 ["seq"], 8)
+    keyed.upsert(path, o, ["o_orderkey"], ["seq"])
+    keyed.upsert(path, o.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("取消")), ["o_orderkey"], ["seq"])
+    stale = o.withColumns({"o_orderstatus": F.lit("stale"), "seq": F.lit(-1)})  # older than what is stored
+    keyed.upsert(path, stale, ["o_orderkey"], ["seq"])
+    keyed.rebuild(spark, path, ["o_orderkey"], 16)
     return keyed.read_table(spark, path).drop("seq")
 
 
 # --- streams: the same operators on a stream of files, run over all input that is there --------------------------
 
+BATCHES = 3
+
+
+def in_batches(df: DataFrame, name: str, part: Column, batches: int = BATCHES) -> DataFrame:
+    """The rows as a stream that brings `part` 0, then 1, and so on, each as a micro-batch of several unordered files."""
+    spark = df.sparkSession
+    path, files = new_folder(spark, name), spark.sparkContext.defaultParallelism
+    placed = df.withColumn("__part", F.least(F.greatest(part, F.lit(0)), F.lit(batches - 1)))
+    for i in range(batches):
+        placed.where(F.col("__part") == i).drop("__part").repartition(files).sortWithinPartitions(
+            F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def thirds(df: DataFrame, column: str, batches: int = BATCHES) -> Column:
+    """Number of the part of the column's range that a value lies in."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return F.floor((F.col(column) - low) * batches / max(1, high - low + 1)).cast("int")
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = events(spark, folder).schema
     return tables.with_instants(tables.parquet_stream(spark, folder, "events", schema), "ts")
@@ -787,21 +802,32 @@ def stream_tumbling_sum(spark, folder):
     return plain(runs.result_table(out, "tumbling", ["user_id", "window_start"]), "total")
 
 
+DISORDER = 100  # days by which the orders' rows come out of time order
+
+
 def _order_streams(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and details as streams of several micro-batches, out of order by up to DISORDER days, with a bound for it."""
     o, d = load(spark, folder, "orders"), load(spark, folder, "lineitem")
-    main = tables.parquet_stream(spark, folder, "orders", o.schema).select(
-        F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice")
-    detail = tables.parquet_stream(spark, folder, "lineitem", d.schema).select(
+    main = o.select(F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice")
+    detail = d.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").cast("string").alias("detail_id"),
         F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("goods_name"),
         F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").alias("goods_number"),
         F.col("l_extendedprice").alias("detail_money"))
-    return main.withWatermark("o_orderdate", "0 seconds"), detail.withWatermark("l_shipdate", "0 seconds")
+    out = []
+    for df, name, ts in ((main, "orders_in", "o_orderdate"), (detail, "details_in", "l_shipdate")):
+        # A row's place is its time plus some days that depend on its order.
+        moved = F.unix_date(F.col(ts).cast("date")) + F.pmod(F.xxhash64("order_id"), F.lit(DISORDER)).cast("int")
+        part = thirds(df.select(moved.alias("day")), "day")
+        placed = df.withColumn("day", moved)
+        stream = in_batches(placed, name, part).drop("day")
+        out.append(stream.withWatermark(ts, f"{DISORDER} days"))
+    return out[0], out[1]
 
 
 @query(ORACLE["interval_join"])
 def stream_interval_join(spark, folder):
-    """Join of two streams; both are read to their end."""
+    """Join of two streams that come in several batches and out of order."""
     main, detail = _order_streams(spark, folder)
     out = jn.interval_join(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "-1 days", "120 days")
     return _dates(runs.result_table(out, "interval_join"))
@@ -819,13 +845,45 @@ def stream_late_rows(spark, folder):
     return plain(late.select("event_id", "user_id", "window_start", "window_end"))
 
 
-@query(f"SELECT event_id, user_id, max(event_id * 7919 % 7200) OVER {_UPTO} AS running_max FROM events")
+def _running_stream(spark, folder, name, df, keys, values):
+    """Running values of a stream of several micro-batches, whose rows come in any order inside a batch."""
+    base = new_folder(spark, name)
+    stream = in_batches(df, f"{name}_in", thirds(df, "event_id"))
+    on_batch = sr.running_batches(keys, ["event_id"], values, runs.keep_updates(f"{base}/out"), f"{base}/state")
+    runs.drain(stream, on_batch, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+_OFF = "CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id * 7919 % 7200 END"
+
+
+def _offs(spark, folder):
+    off = F.when(F.col("event_id") % 7 != 0, F.col("event_id") * 7919 % 7200)
+    return events(spark, folder).select("event_id", "user_id", "event_type", off.alias("off"))
+
+
+@query(f"SELECT event_id, user_id, max({_OFF}) OVER {_UPTO} AS running_max, min({_OFF}) OVER {_UPTO} AS running_min FROM events")
 def stream_running_max(spark, folder):
-    """Keyed state in the state store, one output row per input row."""
-    stream = event_stream(spark, folder).select(
-        "event_id", "user_id", (F.col("event_id") * 7919 % 7200).alias("off"))
-    out = state.stream_running_max(stream, ["user_id"], "off", order=["event_id"])
-    return runs.result_table(out, "running_max").select("event_id", "user_id", "running_max")
+    """Largest and smallest value so far, with NULLs among the values."""
+    out = _running_stream(spark, folder, "running_max", _offs(spark, folder), ["user_id"], {
+        "running_max": sr.highest("off"), "running_min": sr.lowest("off")})
+    return out.select("event_id", "user_id", "running_max", "running_min")
+
+
+@query(f"""SELECT event_id, event_type, CAST(sum({_OFF}) OVER w AS BIGINT) AS running_sum FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+def stream_running_sum(spark, folder):
+    out = _running_stream(spark, folder, "running_sum", _offs(spark, folder), ["event_type"], {"running_sum": sr.total("off")})
+    return out.select("event_id", "event_type", "running_sum")
+
+
+@query(ORACLE["running_record_max"])
+def stream_record_max(spark, folder):
+    """The whole record with the largest value so far."""
+    df = _slim(spark, folder)
+    out = _running_stream(spark, folder, "record_max", df, ["user_id"], {
+        "best": sr.record_with_highest("value", ["event_id"])})
+    return out.select(F.col("event_id").alias("seq_event_id"), "best.record.*")
 
 
 @query(ORACLE["sliding_sum"])
@@ -845,16 +903,18 @@ def stream_window_join(spark, folder):
 @query(f"SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY event_id "
        "ROWS UNBOUNDED PRECEDING) AS running_count FROM events")
 def stream_running_count(spark, folder):
-    stream = event_stream(spark, folder).select("event_id", "event_type")
-    return runs.result_table(state.stream_running_count(stream, ["event_type"], order=["event_id"]), "running_count")
+    out = _running_stream(spark, folder, "running_count", events(spark, folder).select("event_id", "event_type"),
+                          ["event_type"], {"running_count": sr.count()})
+    return out.select("event_id", "event_type", "running_count")
 
 
 @query(ORACLE["changelog_state"])
 def stream_changelog(spark, folder):
-    """Stream of changes folded into a table; `error` stands for a delete."""
+    """Stream of changes folded into a table; `error` stands for a delete. Changes come in any order over several batches."""
     base = new_folder(spark, "changelog")
-    stream = event_stream(spark, folder).select("event_id", "user_id", "event_type", "value")
-    on_batch = keyed.changelog_batches(f"{base}/table", ["user_id"], ["event_id"], "event_type", ["error"], 4)
+    changes = _slim(spark, folder).select("event_id", "user_id", "event_type", "value")
+    stream = in_batches(changes, "changes_in", F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)).cast("int"))
+    on_batch = keyed.changelog_batches(f"{base}/table", ["user_id"], ["event_id"], "event_type", ["error"])
     runs.drain(stream, on_batch, f"{base}/checkpoint")
     return keyed.read_table(spark, f"{base}/table", "deleted")
 

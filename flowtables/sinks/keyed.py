@@ -1,12 +1,14 @@
-"""Tables with one row per key, kept by upserts: last write wins.
+"""Tables with one row per key, kept by upserts: the newest row by an order wins, whenever it comes.
 
-The table is Parquet in hash buckets of the key. An upsert rewrites the buckets its keys fall into and no others,
-and running it twice with the same rows gives the same table, so a repeated micro-batch does no harm. Keys are
-unique, so buckets are even however uneven the updates are.
+The table is Parquet in hash buckets of the key. An upsert writes new versions of the buckets its keys fall into and then
+one small file, the next list of versions, which makes them the table. Until that file is there readers see the old table
+whole, and a job that fails half-way leaves nothing but folders that no list names. Running an upsert twice with the same rows
+gives the same table. Keys are unique, so buckets are even however uneven the updates are. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -15,49 +17,114 @@ from pyspark.sql import functions as F
 
 from flowtables.operators.changelog import latest_per_key
 
+BUCKET = "bucket"
+LISTS = "list long, version string, bucket int, buckets int"
+
+
+def _lists(spark: SparkSession, path: str) -> tuple[int, int, dict[int, str]]:
+    """Number of the newest list, number of buckets, and each bucket's version: a row per bucket, so bounded."""
+    try:
+        lists = spark.read.schema(LISTS).parquet(f"{path}/lists")
+        newest = lists.agg(F.max("list")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    if newest is None:
+        return -1, 0, {}
+    rows = lists.where(F.col("list") == newest).collect()
+    return newest, rows[0]["buckets"], {r["bucket"]: r["version"] for r in rows if r["version"]}
+
+
+def _read(spark: SparkSession, path: str, versions: dict[int, str]) -> DataFrame:
+    folders = [f"{path}/data/version={v}/{BUCKET}={b}" for b, v in sorted(versions.items())]
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
+
+
+def _switch(spark: SparkSession, path: str, number: int, buckets: int, versions: dict[int, str]) -> None:
+    """Write list `number` as one file: it is there as a whole or not at all."""
+    rows = [(number, v, b, buckets) for b, v in versions.items()] or [(number, "", 0, buckets)]
+    spark.createDataFrame(rows, LISTS).coalesce(1).write.mode("append").parquet(f"{path}/lists")
+
+
+def _write(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> str:
+    """A new version of those buckets that the rows fall into; a bucket becomes one file."""
+    version = uuid.uuid4().hex
+    placed = df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    placed.repartitionById(buckets, F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{path}/data/version={version}")
+    return version
+
 
 def read_table(spark: SparkSession, path: str, deleted: str | None = None) -> DataFrame:
     """Current rows. `deleted` names the boolean column that marks rows as taken out."""
-    df = spark.read.parquet(path)
-    df = df.drop(*[c for c in df.columns if c.startswith("bucket_of_")])
+    _, _, versions = _lists(spark, path)
+    if not versions:
+        raise ValueError(f"there is no row in a table at {path}")
+    df = _read(spark, path, versions)
     return df if deleted is None else df.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted)
 
 
-def upsert(path: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int = 64) -> None:
-    """Bring `updates` into the table at `path`. Within the updates the newest row per key by `order` counts.
+def upsert(path: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int | None = None) -> None:
+    """Bring `updates` into the table at `path`.
 
-    A delete is an upsert of a row that a boolean column marks as such (see `read_table`).
-    `buckets` is fixed when the table is made: about one per gigabyte of the final table.
+    Per key the newest row by `order` counts, among the updates and against the stored row; of equal ones the update. So changes
+    may come late and in any order. A delete is an upsert of a row that a boolean column marks as such (see `read_table`).
+    `buckets` is for a new table (64 by default; about one per gigabyte); see `rebuild` for one that has outgrown it.
     """
     spark, keys = updates.sparkSession, list(keys)
-    bucket = f"bucket_of_{buckets}"
+    number, known, versions = _lists(spark, path)
+    if known and buckets not in (None, known):
+        raise ValueError(f"the table at {path} has {known} buckets")
+    buckets = known or buckets or 64
     place = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     # Used twice below, and the input may be a micro-batch.
-    fresh = latest_per_key(updates, keys, order).withColumn(bucket, place).persist()
+    fresh = latest_per_key(updates, keys, order).persist()
     try:
-        touched = [r[0] for r in fresh.select(bucket).distinct().collect()]  # at most `buckets` numbers
+        touched = {r[0] for r in fresh.select(place).distinct().collect()}  # at most `buckets` numbers
         if not touched:
             return
         rows = fresh.withColumn("__new", F.lit(1))
-        try:
-            old = spark.read.parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            old = None
-        if old is not None:
-            if bucket not in old.columns:
-                raise ValueError(f"the table at {path} was made with another number of buckets")
-            rows = rows.unionByName(old.where(F.col(bucket).isin(touched)).withColumn("__new", F.lit(0)))
-        # At most two rows per key are left, and a bucket becomes one file: one shuffle by bucket does for both.
-        merged = latest_per_key(rows.repartition(bucket), [bucket, *keys], ["__new"]).drop("__new")
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path))
+        old = {b: v for b, v in versions.items() if b in touched}
+        if old:
+            rows = rows.unionByName(_read(spark, path, old).withColumn("__new", F.lit(0)), allowMissingColumns=True)
+        merged = latest_per_key(rows, keys, [*order, "__new"]).drop("__new")
+        version = _write(merged, path, keys, buckets)
     finally:
         fresh.unpersist()
+    _switch(spark, path, number + 1, buckets, {**versions, **dict.fromkeys(touched, version)})
+
+
+def rebuild(spark: SparkSession, path: str, keys: Sequence[str], buckets: int, deleted: str | None = None) -> None:
+    """Write the whole table anew with another number of buckets; with `deleted`, without the rows marked as deleted.
+
+    Forget deleted keys only when no change older than their delete can still come.
+    """
+    number, _, versions = _lists(spark, path)
+    rows = _read(spark, path, versions)
+    if deleted is not None:
+        rows = rows.where(~F.coalesce(F.col(deleted), F.lit(False)))
+    used = [r[0] for r in rows.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).distinct().collect()]
+    version = _write(rows, path, keys, buckets)
+    _switch(spark, path, number + 1, buckets, dict.fromkeys(used, version))
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Remove versions that the newest list doesn't name, when no reader of an older table is left. How many went."""
+    number, _, versions = _lists(spark, path)
+    if number < 0:
+        return 0
+    jvm = spark.sparkContext._jvm
+    data = jvm.org.apache.hadoop.fs.Path(f"{path}/data")
+    fs = data.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = {f"version={v}" for v in versions.values()}
+    old = [f.getPath() for f in fs.listStatus(data) if f.getPath().getName() not in current]
+    for folder in old:
+        fs.delete(folder, True)
+    return len(old)
 
 
 def upsert_batches(path: str, keys: Sequence[str], order: Sequence[str],
-                   buckets: int = 64) -> Callable[[DataFrame, int], None]:
+                   buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """The same for `writeStream.foreachBatch`."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         upsert(path, batch, keys, order, buckets)
@@ -65,7 +132,7 @@ def upsert_batches(path: str, keys: Sequence[str], order: Sequence[str],
 
 
 def changelog_batches(path: str, keys: Sequence[str], order: Sequence[str], op: str = "op",
-                      deletes: Sequence[str] = ("d",), buckets: int = 64) -> Callable[[DataFrame, int], None]:
+                      deletes: Sequence[str] = ("d",), buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """Fold a stream of change records into a table; read it with `read_table(..., deleted="deleted")`."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         upsert(path, batch.withColumn("deleted", F.col(op).isin(*deletes)).drop(op), keys, order, buckets)

@@ -50,8 +50,12 @@ def parse_delimited(df: DataFrame, schema: T.StructType, text: str = "value", se
 
 
 def rejected(df: DataFrame, schema: T.StructType, text: str = "value", sep: str = ",") -> DataFrame:
-    """Records with the wrong number of fields or a field that is no value of its type, with the `reason`."""
-    checked = df.select(F.col(text), has_fields(text, len(schema.fields), sep).alias("__n"), all_fields(text, sep).alias("__f"))
+    """Records with the wrong number of fields or a field that is no value of its type, with the `reason`.
+
+    A NULL record has no fields, so it is listed too.
+    """
+    right = F.coalesce(has_fields(text, len(schema.fields), sep), F.lit(False))
+    checked = df.select(F.col(text), right.alias("__n"), all_fields(text, sep).alias("__f"))
     bad = F.lit(False)
     for i, (f, typed) in enumerate(zip(schema.fields, _typed(schema, False), strict=True)):
         if not isinstance(f.dataType, T.StringType):
@@ -62,10 +66,13 @@ def rejected(df: DataFrame, schema: T.StructType, text: str = "value", sep: str
 
 def message_csv(df: DataFrame, schema: T.StructType, sep: str = ",", comment: str | None = None,
                 value: ColumnLike = "value") -> DataFrame:
-    """Queue messages whose value is one CSV record; unreadable fields become NULL, comment lines are left out."""
+    """Queue messages whose value is one CSV record; unreadable fields become NULL, comment lines are left out.
+
+    A NULL message gives a row of NULLs, with and without `comment`.
+    """
     text = _col(value).cast("string")
     if comment:
-        df = df.where(~F.startswith(text, F.lit(comment)))
+        df = df.where(~F.coalesce(F.startswith(text, F.lit(comment)), F.lit(False)))
     options = {"sep": sep, "mode": "PERMISSIVE"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return df.select(F.from_csv(text, ddl, options).alias("__r")).select("__r.*")

@@ -36,9 +36,37 @@ def test_upsert_touches_only_its_buckets(spark, rows, tmp_path):
         return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
     before = written()
-    keyed.upsert(path, rows([(7, "b", 1)], "id int, v string, seq int"), ["id"], ["seq"], 8)
-    assert len(before) == 8 and len(before - written()) == 1
+    keyed.upsert(path, rows([(7, "b", 1)], "id int, v string, seq int"), ["id"], ["seq"])
+    after = written()
+    assert before < after and len(after - before) == 2  # a bucket and a list; nothing is overwritten
     assert keyed.read_table(spark, path).count() == 200
+    assert keyed.vacuum(spark, path) == 0  # the first version still holds the other buckets
+    keyed.rebuild(spark, path, ["id"], 3)
+    assert keyed.vacuum(spark, path) == 2 and keyed.read_table(spark, path).count() == 200
+    assert tuples(keyed.read_table(spark, path).where("v = 'b'"), "id") == [(7,)]
+
+
+def test_older_changes_do_not_undo_newer_ones(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, v string, ord int"
+    for data in ([(1, "five", 5), (2, "one", 1)], [(1, "three", 3), (2, "two", 2)], [(1, "five again", 5), (3, None, None)]):
+        keyed.upsert(path, rows(data, schema), ["id"], ["ord"])
+    assert tuples(keyed.read_table(spark, path), "id", "v", "ord") == [(1, "five again", 5), (2, "two", 2), (3, None, None)]
+
+
+def test_a_failure_before_the_switch_leaves_the_old_table(spark, rows, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "t"), "id int, v string, ord int"
+    keyed.upsert(path, rows([(1, "a", 1), (2, "a", 1)], schema), ["id"], ["ord"], 2)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_switch", lost)
+        with pytest.raises(OSError):
+            keyed.upsert(path, rows([(1, "b", 2), (3, "b", 2)], schema), ["id"], ["ord"])
+    assert tuples(keyed.read_table(spark, path), "id", "v") == [(1, "a"), (2, "a")]
+    keyed.upsert(path, rows([(1, "b", 2), (3, "b", 2)], schema), ["id"], ["ord"])
+    assert tuples(keyed.read_table(spark, path), "id", "v") == [(1, "b"), (2, "a"), (3, "b")]
 
 
 def test_deleted_rows(spark, rows, tmp_path):
@@ -47,7 +75,10 @@ def test_deleted_rows(spark, rows, tmp_path):
     write = keyed.upsert_batches(path, ["id"], ["seq"], 2)
     write(rows([(1, "a", 1, False), (2, "b", 1, False)], schema), 0)
     write(rows([(1, "a", 2, True)], schema), 1)
+    write(rows([(1, "late", 0, False)], schema), 2)
     assert tuples(keyed.read_table(spark, path, "gone"), "id", "v") == [(2, "b")]
+    keyed.rebuild(spark, path, ["id"], 2, "gone")
+    assert tuples(keyed.read_table(spark, path), "id") == [(2,)]
 
 
 def test_write_partitions(spark, tmp_path):

@@ -17,7 +17,8 @@ from flowtables.operators import windows as wn
 from flowtables.operators.aggregates import Measure
 from flowtables.sinks import files as fs
 from flowtables.sources import files, records
-from flowtables.streaming import runs, state
+from flowtables.plans.chunks import Split
+from flowtables.streaming import runs, running, state
 from flowtables.streaming import windows as sw
 
 
@@ -155,12 +156,62 @@ def test_keyed_state(spark, text_files, tmp_path):
     def stream():
         return records.parse_delimited(files.line_stream(spark, folder, 1), schema)
 
-    out = runs.drain_to_files(state.stream_running_max(stream(), ["k"], "v", order=["seq"]),
-                              f"{tmp_path}/o1", f"{tmp_path}/c1")
-    assert tuples(out, "seq", "running_max") == [(1, 5), (2, 1), (3, 7), (4, 7), (5, 3), (6, 0), (7, 9)]
-    out = runs.drain_to_files(state.stream_running_sum(stream(), ["k"], "v", order=["seq"]),
-                              f"{tmp_path}/o2", f"{tmp_path}/c2")
-    assert tuples(out, "seq", "running_sum") == [(1, 5), (2, 1), (3, 12), (4, 18), (5, 4), (6, 0), (7, 27)]
+    def run(name, **values):
+        on_batch = running.running_batches(["k"], ["seq"], values, runs.keep_updates(f"{tmp_path}/{name}"), f"{tmp_path}/s{name}")
+        runs.drain(stream(), on_batch, f"{tmp_path}/c{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    out = run("a", top=running.highest("v"), low=running.lowest("v"), n=running.count())
+    assert tuples(out, "seq", "top", "low", "n") == [
+        (1, 5, 5, 1), (2, 1, 1, 1), (3, 7, 5, 2), (4, 7, 5, 3), (5, 3, 1, 2), (6, 0, 0, 1), (7, 9, 5, 4)]
+    out = run("b", total=running.total("v"), best=running.record_with_lowest("v", ["seq"]))
+    assert tuples(out, "seq", "total", "best.record.seq") == [
+        (1, 5, 1), (2, 1, 2), (3, 12, 1), (4, 18, 1), (5, 4, 2), (6, 0, 6), (7, 27, 1)]
+
+
+def batches_of(spark, tmp_path, schema, *batches):
+    """A stream of one file per batch, in this order."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.02)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+
+
+def test_running_values_with_nulls_and_a_large_unordered_key(spark, tmp_path):
+    n = 12_000  # more than an Arrow frame holds
+    first = [(i, "a", None if i % 5 == 0 else i % 11) for i in range(n)][::-1]
+    second = [(n + i, "a", None if i % 3 == 0 else 1) for i in range(n)][::-1] + [(-1, None, 4), (-2, None, None)]
+    third = [(3 * n, "a", None), (3 * n + 1, None, 3), (3 * n + 2, "b", None)]
+    stream = batches_of(spark, tmp_path, "seq long, k string, v long", first, second, third)
+    values = {"total": running.total("v"), "top": running.highest("v"), "n": running.count()}
+    on_batch = running.running_batches(["k"], ["seq"], values, runs.keep_updates(f"{tmp_path}/o"), f"{tmp_path}/s", Split(rows=3_000))
+    runs.drain(stream, on_batch, f"{tmp_path}/c")
+    held, want = {}, []
+    for batch in (first, second, third):
+        for seq, k, v in sorted(batch):
+            total, top, count = held.get(k, (None, None, 0))
+            if v is not None:
+                total, top = (total or 0) + v, v if top is None else max(top, v)
+            held[k] = total, top, count + 1
+            want.append((seq, *held[k]))
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/o").select("seq", *values).collect())) == sorted(want)
+
+
+def test_running_values_go_on_after_a_failure(spark, tmp_path):
+    stream = batches_of(spark, tmp_path, "seq long, k string, v long", [(1, "a", 1)], [(2, "a", 2)], [(3, "a", 3)])
+    state_of = {"fail": True}
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{tmp_path}/o/batch={batch_id}")
+        if batch_id == 1 and state_of["fail"]:
+            raise OSError("lost")
+
+    on_batch = running.running_batches(["k"], ["seq"], {"total": running.total("v")}, write, f"{tmp_path}/s")
+    with pytest.raises(Exception, match="lost"):
+        runs.drain(stream, on_batch, f"{tmp_path}/c")
+    state_of["fail"] = False
+    runs.drain(stream, on_batch, f"{tmp_path}/c")
+    assert tuples(spark.read.parquet(f"{tmp_path}/o"), "seq", "total") == [(1, 1), (2, 3), (3, 6)]
 
 
 def test_state_with_time_to_live_counts_on_while_it_lives(spark, text_files, tmp_path):
