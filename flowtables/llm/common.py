@@ -11,9 +11,18 @@ from flowtables.session import new_folder
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BYTES = 64 << 20
+
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it, unless PYTHONPATH already names it."""
+    """Let Python workers import this package from where the driver has it, unless PYTHONPATH already names it.
+
+    They get texts in batches of bounded bytes, so that long texts need no more memory than many short ones.
+    """
+    if int(spark.conf.get(BATCH_BYTES).rstrip("bB")) > BYTES:
+        spark.conf.set(BATCH_BYTES, BYTES)
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if ROOT not in known.split(os.pathsep):
@@ -23,15 +32,14 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, read by several branches, safe from lost executors."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def released(df: DataFrame) -> DataFrame:
-    """Let Spark remove the shuffle files of steps that are done: it does so when the driver's JVM collects their plans."""
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")  # the table is what stays; its shuffle files can go with the job
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

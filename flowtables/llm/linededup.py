@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import released, text_of, written
+from flowtables.llm.common import text_of, written
 from flowtables.llm.components import components
 
 
@@ -43,18 +43,18 @@ def _units(line: str) -> Column:
     return F.encode(line, "UTF-16BE")
 
 
-def _shingled(rows: DataFrame, width: int) -> DataFrame:
-    """Explode (key, units) to (key, hash) of every shingle; the hash is not negative."""
+def _shingled(rows: DataFrame, width: int, *names: str) -> DataFrame:
+    """Explode (names, units) to (names, hash) of every shingle; the hash is not negative."""
     last = F.greatest((F.octet_length("units") / 2 - width).cast("int"), F.lit(0))
     shingle = F.substring(F.col("units"), F.col("i") * 2 + 1, F.lit(2 * width))
-    return rows.select("key", "units", F.explode(F.sequence(F.lit(0), last)).alias("i")).select(
-        "key", F.shiftrightunsigned(F.xxhash64(shingle), 1).alias("hash"))
+    return rows.select(*names, "units", F.explode(F.sequence(F.lit(0), last)).alias("i")).select(
+        *names, F.shiftrightunsigned(F.xxhash64(shingle), 1).alias("hash"))
 
 
 def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(key, band) for the bands of each distinct line (key, line); a band none of whose bins holds a shingle is left out."""
     distinct = lines.select("key", "line").dropDuplicates(["key"])
-    hashes = _shingled(distinct.select("key", _units("line").alias("units")), fuzzy.width)
+    hashes = _shingled(distinct.select("key", _units("line").alias("units")), fuzzy.width, "key")
     bins = fuzzy.bands * fuzzy.rows
     size = -(-(1 << 63) // bins)
     # All on the partitioning of `distinct`: the minima need no shuffle of their own.
@@ -68,27 +68,30 @@ def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those (a, b) of `pairs` whose shingle sets have at least the Jaccard similarity; `texts` has (key, set)."""
-    left = texts.select(F.col("key").alias("a"), F.col("set").alias("sa"))
-    right = texts.select(F.col("key").alias("b"), F.col("set").alias("sb"))
-    # The smaller set's share of the larger bounds the similarity, so most others are never intersected.
-    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return pairs.join(left, "a").join(right, "b").where(
-        (small >= fuzzy.least * large) & (shared >= fuzzy.least * (F.size("sa") + F.size("sb") - shared) - 1e-9)).select("a", "b")
+    """Those (a, b) of `pairs` whose shingle sets have at least the Jaccard similarity; `texts` has (key, units)."""
+    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"))
+    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"))
+    # Dealt by pair, so a line that is in many pairs is many tasks' work; the shingles below need no shuffle of their own.
+    both = pairs.join(left, "a").join(right, "b").repartition("a", "b")
+    sides = both.select("a", "b", F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("ua").alias("units")),
+        F.struct(F.lit(2).alias("side"), F.col("ub").alias("units")))).alias("of")).select("a", "b", "of.side", "of.units")
+    hashes = _shingled(sides, fuzzy.width, "a", "b", "side")
+    held = hashes.groupBy("a", "b", "hash").agg(F.bit_or("side").alias("sides"))
+    sums = held.groupBy("a", "b").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("sides") == 3).alias("shared"))
+    return sums.where(F.col("shared") >= fuzzy.least * F.col("all") - 1e-9).select("a", "b")
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(node, root): the keys of lines that are linked to another distinct line, with their component's smallest key."""
-    banded = released(bands(lines, fuzzy))
+    banded = bands(lines, fuzzy)
     buckets = written(banded.groupBy("band").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                       .select("band", "head"), "buckets")
     # The smaller sides of these joins are hashed, so that lines and bands need no sort.
-    members = released(written(banded.join(buckets.hint("shuffle_hash"), "band"), "members"))
+    members = written(banded.join(buckets.hint("shuffle_hash"), "band"), "members")
     needed = written(members.select("key").distinct(), "needed")
-    found = lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
-    sets = _shingled(found.select("key", _units("line").alias("units")), fuzzy.width)
-    texts = released(written(sets.groupBy("key").agg(F.collect_set("hash").alias("set")), "sets"))
+    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+                    .select("key", _units("line").alias("units")), "texts")
 
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
     first = components(_similar(stars, texts, fuzzy))
@@ -108,7 +111,7 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     up = united.select(F.col("node").alias("root"), F.col("root").alias("above"))
     both = first.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     # Lines that the first round left alone are in `united` under their own key.
-    return released(written(both.unionByName(united.join(first, "node", "left_anti")), "roots"))
+    return written(both.unionByName(united.join(first, "node", "left_anti")), "roots")
 
 
 def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_id", text: str = "text",
@@ -134,7 +137,7 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     kept = F.array_join(F.filter(F.split(text_of(text), "\n"), lambda _, i: ~F.array_contains("__drops", i)), "\n")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names, F.col(doc_id).alias("__id"), F.xxhash64(text_of(text)).alias("__copy"))
-    gone = released(written(drops.withColumnRenamed("__copy", "__of"), "drops")).hint("shuffle_hash")
+    gone = written(drops.withColumnRenamed("__copy", "__of"), "drops").hint("shuffle_hash")
     joined = rows.join(gone, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__copy") == F.col("__of")), "left")
     out = joined.withColumn("__new", F.when(F.col("__drops").isNull(), F.col(text)).otherwise(kept))
     columns = {text: F.col("__new"), "n_lines": F.size(F.split(text_of(text), "\n")).cast("long"), "n_dropped": lost.cast("long")}
