@@ -16,31 +16,22 @@ CLICK_JSON = _schema(browserType=_S, categoryID=_L, channelID=_L, city=_S, count
                      network=_S, produceID=_L, province=_S, source=_S, userID=_L)
 CLICK_NAMES = ("browser_type", "category_id", "channel_id", "city", "country", "entry_time", "leave_time",
                "network", "produce_id", "province", "source", "user_id")
-ORDER_CSV = _schema(user_id=_S, ts=_L, money=_D, category=_S)
 STUDENT = _schema(id=_I, name=_S)
-STUDENT_ROW = _schema(id=_I, name=_S, age=_I)
 SCORE = _schema(stu_id=_I, course=_S, score=_I)
 RATING = _schema(user_id=_S, movie_id=_S, rating=_D, ts=_L)
 TRACK_LOG = _schema(user_id=_S, item_id=_I, behavior=_S, ts=_S)
-WIDE_LOG = T.StructType([T.StructField("rowkey", _S), T.StructField("info", TRACK_LOG)])
 ROAD_RECORD = _schema(record_time=_TS, road_id=_S, record_count=_I)
-GATE_FLOW = _schema(gate=_S, flow=_I)
 GATE_FLOW_EVENT = _schema(event_time=_S, gate=_S, flow=_I)
 ORDER_EVENT = _schema(order_id=_S, user_id=_S, order_money=_D, order_time=_S)
-ORDER_REPORT = _schema(user_id=_S, window_start=_S, window_end=_S, total_money=_D)
-DAILY_ORDER = _schema(order_time=_S, order_id=_S, user_id=_S, money=_D)
-QUEUE_ORDER = _schema(order_id=_S, user_id=_S, order_money=_D, order_time=_L)
 MAIN_ORDER = _schema(order_time=_S, order_id=_S, user_id=_S, address=_S, order_money=_D)
 DETAIL_ORDER = _schema(detail_time=_S, order_id=_S, detail_id=_S, goods_name=_S, goods_number=_I, detail_money=_D)
 DETAIL_DEFAULTS = {"goods_number": 0, "detail_money": 0.0}
 PAY_ORDER = _schema(order_id=_S, user_id=_S, order_time=_S, order_status=_S, order_amount=_D)
 USER_LOG = _schema(user_id=_S, product_id=_I, track_time=_S, event_type=_S)
-USER_INFO = _schema(user_id=_S, user_name=_S, user_age=_I)
 USER_ROW = _schema(id=_I, name=_S, age=_I, gender=_S)
 USER_CHANGE = T.StructType([
     T.StructField("op", _S), T.StructField("before", USER_ROW), T.StructField("after", USER_ROW),
     T.StructField("ts_ms", _L)])
-USER_DIMENSION = _schema(user_id=_S, user_name=_S, id_card=_S, mobile=_S, address=_S, gender=_S)
 
 # The column names of a chat record, in file order.
 CHAT_COLUMNS = (

@@ -191,3 +191,13 @@ def test_empty_input(rows):
     assert rn.running_sum(df, ["k"], ["seq"], "v").count() == 0
     assert rn.running_sum(df, [], ["seq"], "v").count() == 0
     assert ag.reduce_by(df, ["k"], "v", ["seq"], lambda a, b: a + b).count() == 0
+
+
+def test_expiring_sum_with_nulls(rows):
+    data = [(1, "a", 0, 5), (2, "a", 10, 6), (3, "a", 500, None), (4, "a", 510, 7), (5, "b", 1, None)]
+    df = rows(data, "seq long, k string, s long, v long").withColumn("ts", F.timestamp_seconds("s"))
+    for split in (Split(), Split(rows=2)):
+        out = rn.expiring_sum(df, ["k"], "ts", "1 minute", "v", ["seq"], "total", split)
+        assert tuples(out, "seq", "total") == [(1, 5), (2, 11), (3, 0), (4, 7), (5, 0)]
+    with pytest.raises(TypeError):
+        rn.expiring_sum(df.withColumn("v", F.lit(0.1)), ["k"], "ts", "1 minute", "v")
