@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import written
+from flowtables.llm.common import discarded, written
 
 
 def _rooted(pointers: DataFrame) -> DataFrame:
@@ -23,9 +23,10 @@ def _rooted(pointers: DataFrame) -> DataFrame:
             pointers.join(up, "root", "left").select(
                 "node", F.coalesce("above", "root").alias("root"),
                 (F.coalesce("above", "root") != F.col("root")).alias("moved")), "pointers")
-        pointers = stepped.select("node", "root")
+        discarded(pointers)
         if stepped.where("moved").isEmpty():
-            return pointers
+            return stepped
+        pointers = stepped
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -41,17 +42,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         pointers = _rooted(written(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "pointers"))
         if labels is None:
             tops = links.select(F.col("b").alias("node")).distinct().join(pointers, "node", "left_anti")
-            labels = written(pointers.unionByName(tops.select("node", F.col("node").alias("root"))), "labels")
+            labels = written(pointers.select("node", "root").unionByName(tops.select("node", F.col("node").alias("root"))), "labels")
         else:
             up = pointers.select(F.col("node").alias("root"), F.col("root").alias("above"))
+            older = labels
             labels = written(labels.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root")),
                              "labels")
+            discarded(older)
         left = pointers.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = pointers.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         ends = links.join(left, "a", "left").join(right, "b", "left").select(
             F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        older = links
         links = written(ends.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct(), "links")
+        discarded(older, pointers)
     if labels is None:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        labels = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        labels.written_to = links.written_to
     return labels

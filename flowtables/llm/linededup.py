@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import text_of, written
+from flowtables.llm.common import discarded, text_of, written
 from flowtables.llm.components import components
 
 
@@ -62,24 +62,29 @@ def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     band = [F.bit_xor(F.when(F.col("bin").between(j * fuzzy.rows, (j + 1) * fuzzy.rows - 1), F.xxhash64("least"))).alias(f"b{j}")
             for j in range(fuzzy.bands)]
     wide = written(minima.groupBy("key").agg(*band), "bands")
-    return wide.select("key", F.explode(F.array(*[
+    out = wide.select("key", F.explode(F.array(*[
         F.when(F.col(f"b{j}").isNotNull(), F.xxhash64(F.lit(j), f"b{j}")) for j in range(fuzzy.bands)])).alias("band")).where(
         "band is not null")
+    out.written_to = wide.written_to
+    return out
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those (a, b) of `pairs` whose shingle sets have at least the Jaccard similarity; `texts` has (key, units)."""
-    left = texts.select(F.col("key").alias("a"), F.col("units").alias("ua"))
-    right = texts.select(F.col("key").alias("b"), F.col("units").alias("ub"))
-    # Dealt by pair, so a line that is in many pairs is many tasks' work; the shingles below need no shuffle of their own.
-    both = pairs.join(left, "a").join(right, "b").repartition("a", "b")
-    sides = both.select("a", "b", F.explode(F.array(
-        F.struct(F.lit(1).alias("side"), F.col("ua").alias("units")),
-        F.struct(F.lit(2).alias("side"), F.col("ub").alias("units")))).alias("of")).select("a", "b", "of.side", "of.units")
-    hashes = _shingled(sides, fuzzy.width, "a", "b", "side")
-    held = hashes.groupBy("a", "b", "hash").agg(F.bit_or("side").alias("sides"))
-    sums = held.groupBy("a", "b").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("sides") == 3).alias("shared"))
-    return sums.where(F.col("shared") >= fuzzy.least * F.col("all") - 1e-9).select("a", "b")
+    """Those (a, b) of `pairs` whose shingle sets have at least the Jaccard similarity; `texts` has (key, line)."""
+    left = texts.select(F.col("key").alias("a"), F.col("line").alias("la"))
+    right = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"))
+
+    def shingles(line: str) -> Column:
+        runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{fuzzy.width}}}))"), F.lit(1))
+        return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
+
+    def close(p: Column) -> Column:
+        shared, all_ = F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"])
+        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
+
+    # As the item of an array the sets have a name, and are not computed anew for every use.
+    sets = F.array(F.struct(shingles("la").alias("a"), shingles("lb").alias("b")))
+    return pairs.join(left, "a").join(right, "b").where(F.get(F.transform(sets, close), F.lit(0))).select("a", "b")
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -89,9 +94,9 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
                       .select("band", "head"), "buckets")
     # The smaller sides of these joins are hashed, so that lines and bands need no sort.
     members = written(banded.join(buckets.hint("shuffle_hash"), "band"), "members")
+    discarded(banded, buckets)
     needed = written(members.select("key").distinct(), "needed")
-    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
-                    .select("key", _units("line").alias("units")), "texts")
+    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"]), "texts")
 
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
     first = components(_similar(stars, texts, fuzzy))
@@ -111,7 +116,9 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     up = united.select(F.col("node").alias("root"), F.col("root").alias("above"))
     both = first.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
     # Lines that the first round left alone are in `united` under their own key.
-    return written(both.unionByName(united.join(first, "node", "left_anti")), "roots")
+    roots = written(both.unionByName(united.join(first, "node", "left_anti")), "roots")
+    discarded(members, needed, texts, placed, mixed, again, first, united)
+    return roots
 
 
 def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_id", text: str = "text",
@@ -137,8 +144,9 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     kept = F.array_join(F.filter(F.split(text_of(text), "\n"), lambda _, i: ~F.array_contains("__drops", i)), "\n")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*names, F.col(doc_id).alias("__id"), F.xxhash64(text_of(text)).alias("__copy"))
-    gone = written(drops.withColumnRenamed("__copy", "__of"), "drops").hint("shuffle_hash")
-    joined = rows.join(gone, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__copy") == F.col("__of")), "left")
+    gone = written(drops.withColumnRenamed("__copy", "__of"), "drops")
+    discarded(roots, placed, heads)
+    joined = rows.join(gone.hint("shuffle_hash"), F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__copy") == F.col("__of")), "left")
     out = joined.withColumn("__new", F.when(F.col("__drops").isNull(), F.col(text)).otherwise(kept))
     columns = {text: F.col("__new"), "n_lines": F.size(F.split(text_of(text), "\n")).cast("long"), "n_dropped": lost.cast("long")}
     if n_chars in names:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import prepared, text_of, written
+from flowtables.llm.common import discarded, prepared, text_of, written
 from flowtables.llm.components import components
 
 BLOCK = 50_000  # shingles hashed at a time, so a very long text needs no more memory
@@ -103,11 +103,14 @@ def one_of_each(docs: DataFrame, words: int = 3, distance: int = 2, segments: in
 
     Rows that repeat a kept id in the same component stay with it. A component in which no row has an id stays as it is.
     """
-    row = F.monotonically_increasing_id().alias("__row")
-    whole = written(docs.select("*", row), "documents")
-    linked = _components(written(fingerprints(whole, words, doc_id, text, "__row"), "prints"), distance, segments, doc_id)
-    kept = written(linked.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select("__row"), "kept")
-    return whole.join(kept, "__row", "left_semi").select(*docs.columns)
+    rows = docs.withColumn("__copy", F.xxhash64(text_of(text)))  # with the id it tells rows of a repeated id apart
+    prints = written(fingerprints(rows, words, doc_id, text, "__copy"), "prints")
+    linked = _components(prints, distance, segments, doc_id)
+    kept = written(linked.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(
+        F.col(doc_id).alias("__id"), F.col("__copy").alias("__of")).distinct(), "kept")
+    discarded(prints)
+    same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__copy") == F.col("__of"))
+    return rows.join(kept.hint("shuffle_hash"), same, "left_semi").select(*docs.columns)
 
 
 def _components(prints: DataFrame, distance: int, segments: int, doc_id: str) -> DataFrame:
@@ -118,4 +121,5 @@ def _components(prints: DataFrame, distance: int, segments: int, doc_id: str) ->
         "bits", "first_id", F.coalesce("root", "bits").alias("root"))
     names = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "names")
     named = written(rooted.select("bits", "root").join(names, "root").select("bits", "component_id"), "named")
+    discarded(distinct, names)
     return prints.join(named, "bits").select(*prints.columns, "component_id")
