@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +13,7 @@ from flowtables.functions.text import ColumnLike, _col
 from flowtables.functions.times import epoch_micros, micros
 from flowtables.operators.aggregates import rank_of_max, rank_of_min
 from flowtables.plans import scan as s
-from flowtables.plans.chunks import CHUNK, Split, ordered_chunks
+from flowtables.plans.chunks import CHUNK, Chunked, Split, ordered_chunks
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: ColumnLike,
@@ -71,6 +72,47 @@ def running_record_min(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return _records(df, keys, order, split, best, None)
 
 
+def _prefixes(df: DataFrame, by: Sequence[str], order: Sequence[str], combine: Callable[[Column, Column], Column],
+              longest: int) -> DataFrame:
+    """Replace __v by the fold of all __v up to its row: combine with the row 1, 2, 4, ... places before, in turn."""
+    part = Window.partitionBy(*by).orderBy(*order)
+    kind = df.schema["__v"].dataType
+    out, step = df.withColumn("__n", F.row_number().over(part)), 1
+    while step < longest:
+        before = F.lag("__v", step).over(part)
+        out = out.withColumn("__v", F.when(F.col("__n") > step, combine(before, F.col("__v"))).otherwise(F.col("__v")).cast(kind))
+        step *= 2
+    return out
+
+
+def running_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: ColumnLike,
+                   combine: Callable[[Column, Column], Column], out: str = "running_reduce",
+                   split: Split = Split(rows=65_536)) -> DataFrame:
+    """The fold of a group's values so far with a function of two columns, earlier first, one row per input row.
+
+    The function must be associative; it sees NULL values as they are. A row is combined with ever longer runs before it, so
+    a group of n rows takes log2(n) steps of the same sorted partition, and large groups are cut into chunks first.
+    """
+    keys, order = list(keys), list(order)
+    chunked = ordered_chunks(df.withColumn("__v", _col(value)), keys, order, split)
+    sizes = chunked.df.groupBy(*keys, CHUNK).count().agg(F.max("count")).first()[0] or 1
+    local = _prefixes(chunked.df, [*keys, CHUNK], order, combine, sizes)
+    if chunked.is_cut:
+        # One row per chunk of a cut group: what all earlier chunks give.
+        cut = Chunked(local, chunked.keys, chunked.order, chunked.rows, chunked.chunks, chunked.keys_cut).cut_rows()
+        ends = cut.groupBy(*keys, CHUNK).agg(F.max_by(F.struct("__v"), "__n").alias("__e")).select(*keys, CHUNK, "__e.__v")
+        along = Window.partitionBy(*keys).orderBy(CHUNK)
+        carry = _prefixes(ends, keys, [CHUNK], combine, chunked.chunks).select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(CHUNK).alias("__kc"),
+            F.lag(F.struct("__v")).over(along).alias("__c"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)],
+                      F.col(CHUNK) == F.col("__kc"))
+        whole = combine(F.col("__c.__v"), F.col("__v")).cast(local.schema["__v"].dataType)
+        local = local.join(F.broadcast(carry), same, "left").withColumn(
+            "__v", F.when(F.col("__c").isNotNull(), whole).otherwise(F.col("__v")))
+    return local.select(*df.columns, F.col("__v").alias(out))
+
+
 def expiring_sum(df: DataFrame, keys: Sequence[str], ts: str, ttl: str, value: ColumnLike | None = None,
                  tie: Sequence[str] = (), out: str = "running_count", split: Split = Split()) -> DataFrame:
     """Running sum (by default a count) that starts again when the group was silent for `ttl` or longer.

@@ -259,6 +259,22 @@ def running_record_min_hot_keys(spark, folder):
     return rn.running_record_min(_slim(spark, folder), ["event_type"], ["event_id"], "value", CUT)
 
 
+_MODULUS = 1_000_003
+
+
+def _mod_sum(a, b):
+    return (a + b) % _MODULUS
+
+
+@query(f"""SELECT event_id, event_type, CAST(sum(event_id * 7919) OVER (PARTITION BY event_type ORDER BY event_id
+ROWS UNBOUNDED PRECEDING) % {_MODULUS} AS BIGINT) AS residue FROM events""")
+def running_reduce(spark, folder):
+    """A fold so far with a function of the user's."""
+    e = events(spark, folder).select("event_id", "event_type")
+    return rn.running_reduce(e, ["event_type"], ["event_id"], F.col("event_id") * 7919 % _MODULUS, _mod_sum, "residue",
+                             Split(rows=500))
+
+
 @query(f"""WITH g AS (
   SELECT event_id, user_id, CASE WHEN {_US} - lag({_US}) OVER w < {DAY} THEN 0 ELSE 1 END AS starts
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
@@ -904,21 +920,22 @@ def thirds(df: DataFrame, column: str, batches: int = BATCHES) -> Column:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = events(spark, folder).schema
-    return tables.with_instants(tables.parquet_stream(spark, folder, "events", schema), "ts")
+    """Events as they arrive, up to two hours out of order (see `arrivals`), in several micro-batches."""
+    e = arrivals(tables.with_instants(events(spark, folder), "ts"))
+    return in_batches(e, "events_in", thirds(e, "arr"))
 
 
 @query(ORACLE["word_count"])
 def stream_word_count(spark, folder):
-    docs = load(spark, folder, "documents")
-    stream = tables.parquet_stream(spark, folder, "documents", docs.schema)
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    stream = in_batches(docs, "documents_in", thirds(docs, "doc_id"))
     return runs.result_table(ag.word_count(stream, "text"), "word_count", ["word"])
 
 
 @query(ORACLE["tumbling_sum"])
 def stream_tumbling_sum(spark, folder):
     """Window totals in update mode, newest row per window."""
-    out = sw.lateness_agg(event_stream(spark, folder), "ts", lt.Lateness("1 hour", allowed="5 minutes"), SUM_VALUE,
+    out = sw.lateness_agg(event_stream(spark, folder), "ts", lt.Lateness("1 hour", "2 hours", "5 minutes"), SUM_VALUE,
                           ["user_id"])
     return plain(runs.result_table(out, "tumbling", ["user_id", "window_start"]), "total")
 
@@ -958,7 +975,7 @@ def stream_interval_join(spark, folder):
 def stream_late_rows(spark, folder):
     """Late rows of a stream, found micro-batch by micro-batch."""
     base = new_folder(spark, "late_rows")
-    stream = arrivals(event_stream(spark, folder)).select("event_id", "user_id", "ts", "arr")
+    stream = event_stream(spark, folder).select("event_id", "user_id", "ts", "arr")
     on_batch = sw.split_late_batches("ts", ["arr", "event_id"], RULE, runs.keep_updates(f"{base}/main"),
                                      runs.keep_updates(f"{base}/late"), f"{base}/seen")
     runs.drain(stream, on_batch, f"{base}/checkpoint")
@@ -1007,9 +1024,19 @@ def stream_record_max(spark, folder):
     return out.select(F.col("event_id").alias("seq_event_id"), "best.record.*")
 
 
+@query(ORACLE["running_reduce"])
+def stream_running_reduce(spark, folder):
+    base = new_folder(spark, "running_reduce")
+    e = events(spark, folder).select("event_id", "event_type", (F.col("event_id") * 7919 % _MODULUS).alias("v"))
+    on_batch = sr.reduce_batches(["event_type"], ["event_id"], "v", _mod_sum, runs.keep_updates(f"{base}/out"),
+                                 f"{base}/state", "residue")
+    runs.drain(in_batches(e, "reduce_in", thirds(e, "event_id")), on_batch, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "residue")
+
+
 @query(ORACLE["sliding_sum"])
 def stream_sliding_sum(spark, folder):
-    out = wn.sliding_agg(sw.watermarked(event_stream(spark, folder), "ts"), "ts", "10 minutes", "5 minutes",
+    out = wn.sliding_agg(sw.watermarked(event_stream(spark, folder), "ts", "2 hours"), "ts", "10 minutes", "5 minutes",
                          SUM_VALUE, ["user_id"])
     return plain(runs.result_table(out, "sliding", ["user_id", "window_start"]), "total")
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtables.operators.aggregates import rank_of_max, rank_of_min
+from flowtables.operators.running import running_reduce
 from flowtables.plans import scan as s
 from flowtables.plans.chunks import Split
 
@@ -64,6 +65,39 @@ def record_with_lowest(value: str, order: Sequence[str]) -> Value:
     return Value(lambda df: s.lowest(best(df)), lambda df: F.min(best(df)), lambda c, v: F.least(c, v))
 
 
+def reduce_batches(keys: Sequence[str], order: Sequence[str], value: str, combine: Callable[[Column, Column], Column],
+                   write: OnBatch, state: str, out: str = "running_reduce") -> OnBatch:
+    """For `foreachBatch`: the running fold with an associative function of two columns (`operators.running.running_reduce`)."""
+    keys = list(keys)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            inside = running_reduce(batch, keys, order, value, combine, out)
+            last = F.struct(*order)
+            kind = inside.schema[out].dataType
+            if batch_id:
+                before = spark.read.parquet(f"{state}/batch={batch_id - 1}").select(
+                    *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct("__v").alias("__c"))
+                same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)],
+                              F.lit(True))
+                # Keys without a row in this batch carry on what they had.
+                both = inside.withColumn("__here", F.lit(True)).join(before, same, "full")
+                merged = F.when(F.col("__c").isNull(), F.col(out)).when(F.col("__here").isNull(), F.col("__c.__v")).otherwise(
+                    combine(F.col("__c.__v"), F.col(out))).cast(kind)
+                inside = both.select(*[F.coalesce(k, f"__k{keys.index(k)}").alias(k) if k in keys else F.col(k)
+                                       for k in batch.columns], merged.alias(out), "__here")
+            else:
+                inside = inside.withColumn("__here", F.lit(True))
+            write(inside.where("__here").drop("__here"), batch_id)
+            ends = inside.groupBy(*keys).agg(F.max_by(out, last).alias("__v"))
+            ends.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+    return on_batch
+
+
 def running_batches(keys: Sequence[str], order: Sequence[str], values: Mapping[str, Value], write: OnBatch, state: str,
                     split: Split = Split()) -> OnBatch:
     """For `foreachBatch`: hands each batch with its running values to `write`, one row per input row.

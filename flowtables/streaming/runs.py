@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from flowtables.functions.times import unmarked
 from flowtables.operators.changelog import latest_per_key
@@ -58,6 +59,15 @@ def drain_updates(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[
     return latest_per_key(updates, keys, ["batch"]).drop("batch")
 
 
+def early_firings(stream: DataFrame, on_batch: OnBatch, checkpoint: str, every: str = "1 second") -> StreamingQuery:
+    """Hand on the changed results of an aggregation every so often, long before its windows are complete.
+
+    A batch holds each changed group once with its value so far, so it can be written by key.
+    """
+    return (stream.writeStream.foreachBatch(on_batch).outputMode("update").option("checkpointLocation", checkpoint)
+            .trigger(processingTime=every).start())
+
+
 def result_table(stream: DataFrame, name: str, keys: Sequence[str] | None = None) -> DataFrame:
     """Run a stream over the input that is there, with state and result below the shared folder."""
     base = new_folder(stream.sparkSession, name)

@@ -201,3 +201,17 @@ def test_expiring_sum_with_nulls(rows):
         assert tuples(out, "seq", "total") == [(1, 5), (2, 11), (3, 0), (4, 7), (5, 0)]
     with pytest.raises(TypeError):
         rn.expiring_sum(df.withColumn("v", F.lit(0.1)), ["k"], "ts", "1 minute", "v")
+
+
+@pytest.mark.parametrize("split", [Split(rows=65_536), Split(rows=20)])
+def test_running_reduce_in_order(rows, split):
+    r = random.Random(4)
+    data = [(i, r.choice(["a", "a", "a", "b", None]), r.choice([None, "x", "y", "z"])) for i in range(150)]
+    df = rows(r.sample(data, len(data)), "seq long, k string, v string")
+    join = lambda a, b: F.concat(F.coalesce(a, F.lit("-")), F.coalesce(b, F.lit("-")))
+    out = rn.running_reduce(df, ["k"], ["seq"], F.coalesce("v", F.lit("-")), join, "so_far", split)
+    held, want = {}, []
+    for seq, k, v in data:
+        held[k] = held.get(k, "") + (v or "-")
+        want.append((seq, held[k]))
+    assert tuples(out, "seq", "so_far") == want

@@ -263,3 +263,24 @@ def test_rolling_files(spark, text_files, tmp_path):
     query.awaitTermination(120)
     got = spark.read.text(f"{tmp_path}/o")
     assert tuples(got) == [("(r1,3)", "2022-04-01--09"), ("(r1,4)", "2022-04-01--10")]
+
+
+def test_windows_fire_before_they_are_complete(spark, text_files, tmp_path):
+    folder = text_files("2022-04-01 09:00:01,r1,3")
+    stream = files.csv_stream(spark, folder, sc.ROAD_RECORD, watermark=("record_time", "0 seconds"), files_per_batch=1)
+    day = wn.daily_agg(stream, "record_time", {"total": Measure("sum", "record_count")})
+    query = runs.early_firings(day, runs.keep_updates(f"{tmp_path}/o"), f"{tmp_path}/c", "1 second")
+    end = time.time() + 90
+
+    def seen(n):
+        while time.time() < end and sum(p.numInputRows for p in query.recentProgress) < n:
+            time.sleep(0.3)
+
+    try:
+        seen(1)
+        text_files("2022-04-01 09:30:00,r1,4")
+        seen(2)
+    finally:
+        query.stop()
+    totals = spark.read.parquet(f"{tmp_path}/o").where("total is not null")
+    assert sorted(r.total for r in totals.collect()) == [3, 7]
