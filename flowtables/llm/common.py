@@ -21,8 +21,9 @@ def prepared(spark: SparkSession) -> SparkSession:
 
     They get texts in batches of bounded bytes, so that long texts need no more memory than many short ones.
     """
-    if int(spark.conf.get(BATCH_BYTES).rstrip("bB")) > BYTES:
-        spark.conf.set(BATCH_BYTES, BYTES)
+    limit = spark.conf.get(BATCH_BYTES).rstrip("bB")
+    if limit.isdigit() and int(limit) > BYTES:  # with a unit it was set by someone
+        spark.conf.set(BATCH_BYTES, str(BYTES))
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if ROOT not in known.split(os.pathsep):
