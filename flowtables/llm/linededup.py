@@ -3,8 +3,9 @@
 A line's shingles are all its runs of `width` characters (UTF-16 units; a shorter line is one shingle). One hash of a shingle
 picks one of `bands * rows` bins and competes for its minimum there; the minima of `rows` bins make a band. Lines that
 share a band form a bucket. Pairs of a bucket are not listed: every line is first compared with its bucket's representative,
-by exact Jaccard similarity of the shingle sets, and the links found are united. Only lines that share a bucket and are still
-in different components are then compared with each other, which finds every link between components that the bucket holds.
+by exact Jaccard similarity of the shingle sets, and the links found are united. Lines that are still in another component are
+compared with a few lines picked from their bucket, and those which even then are apart with all others, so that every link
+between components that a bucket holds is found.
 One line per component stays, the first by (doc_id, position).
 
 Whole texts are shuffled for three purposes: to hash each distinct line once, to compare candidates, to rebuild the documents.
@@ -30,6 +31,7 @@ class Fuzzy:
     bands: int = 8
     rows: int = 4
     least: float = 0.8
+    heads: int = 8  # lines of a bucket that are each compared with all that the first round left apart
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -70,7 +72,7 @@ def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those (a, b) of `pairs` whose shingle sets have at least the Jaccard similarity; `texts` has (key, line)."""
+    """Those rows of `pairs` (a, b and more) whose shingle sets have at least the Jaccard similarity; `texts` has (key, line)."""
     left = texts.select(F.col("key").alias("a"), F.col("line").alias("la"))
     right = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"))
 
@@ -84,7 +86,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
 
     # As the item of an array the sets have a name, and are not computed anew for every use.
     sets = F.array(F.struct(shingles("la").alias("a"), shingles("lb").alias("b")))
-    return pairs.join(left, "a").join(right, "b").where(F.get(F.transform(sets, close), F.lit(0))).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -99,28 +101,48 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"]), "texts")
 
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    first = components(_similar(stars, texts, fuzzy))
-    # A component is as good as one line from here on; only buckets that hold several are looked at again.
-    placed = written(members.select("band", "key").join(first.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", F.coalesce("root", "key").alias("part")), "placed")
-    mixed = written(placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where(
-        "low <> high").select("band"), "mixed")
-    again = written(placed.join(mixed, "band", "left_semi"), "again")
-    other = again.select("band", F.col("key").alias("b"), F.col("part").alias("pb"))
-    crossed = again.withColumnsRenamed({"key": "a", "part": "pa"}).join(other.hint("merge"), "band").where("pa < pb").select(
-        "a", "b", "pa", "pb").distinct()
-    links = _similar(crossed.select("a", "b"), texts, fuzzy)
-    parts = again.select("key", "part").distinct()
-    united = components(links.join(parts.withColumnsRenamed({"key": "a", "part": "pa"}), "a").join(
-        parts.withColumnsRenamed({"key": "b", "part": "pb"}), "b").select(F.col("pa").alias("a"), F.col("pb").alias("b")))
-    up = united.select(F.col("node").alias("root"), F.col("root").alias("above"))
-    both = first.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
-    # Lines that the first round left alone are in `united` under their own key.
-    roots = written(both.unionByName(united.join(first, "node", "left_anti")), "roots")
-    discarded(members, needed, texts, placed, mixed, again, first, united)
+    roots = components(_similar(stars, texts, fuzzy))
+    # A component is as good as one line from here on, and only buckets that hold several are looked at again.
+    parts = _still_mixed(members.select("band", "key", F.col("key").alias("part")), roots)
+    discarded(members, needed)
+    picked = written(parts.groupBy("band").agg(*[
+        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "part")).alias(f"h{i}") for i in range(fuzzy.heads)])
+        .select("band", F.explode(F.array(*[f"h{i}" for i in range(fuzzy.heads)])).alias("h"))
+        .select("band", F.col("h.key").alias("b"), F.col("h.part").alias("pb")).distinct(), "picked")
+    for others in (picked, None):
+        here = parts.withColumnsRenamed({"key": "a", "part": "pa"})
+        if others is None:  # whatever is still apart is compared in full
+            others = parts.withColumnsRenamed({"key": "b", "part": "pb"}).hint("merge")
+            met = here.join(others, "band").where("pa < pb")
+        else:
+            met = here.join(others, "band").where("pa <> pb")
+        links = _similar(met.select("a", "b", "pa", "pb").distinct(), texts, fuzzy)
+        united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
+        older, roots = (parts, roots), _chained(roots, united)
+        parts = _still_mixed(parts, united)
+        discarded(*older, united)
+    discarded(picked, parts, texts)
     return roots
 
 
+def _still_mixed(parts: DataFrame, united: DataFrame) -> DataFrame:
+    """(band, key, part) with parts replaced by their components, of the bands that hold several."""
+    moved = written(parts.join(united.select(F.col("node").alias("part"), "root"), "part", "left").select(
+        "band", "key", F.coalesce("root", "part").alias("part")), "parts")
+    mixed = written(moved.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+                    .select("band"), "mixed")
+    out = written(moved.join(mixed, "band", "left_semi"), "parts")
+    discarded(moved, mixed)
+    return out
+
+
+def _chained(roots: DataFrame, united: DataFrame) -> DataFrame:
+    """Components of components; a line that was alone so far is in `united` under its own key."""
+    up = united.select(F.col("node").alias("root"), F.col("root").alias("above"))
+    both = roots.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    return written(both.unionByName(united.join(roots, "node", "left_anti").select("node", "root")), "roots")
+
+
 def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_id", text: str = "text",
                     n_chars: str | None = "n_chars") -> DataFrame:
     """The documents with all lines removed that are in the component of an earlier line; plus n_lines and n_dropped.
