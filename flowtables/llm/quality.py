@@ -123,7 +123,7 @@ def _dictionary(texts: list[str], size: int) -> bytes:
 
 def scored(docs: DataFrame, model: Classifier | None, keep: tuple[str | Column, ...] = ("*",), text: str = "text",
            threshold: float = 0.3) -> DataFrame:
-    """Add score (0 to 1) and predicted (1 if score >= threshold) to the columns in `keep`.
+    """Add score (0 to 1) and predicted (1 if score >= threshold) to the columns in `keep`; such columns are replaced.
 
     Whole texts are compressed. NULL and empty texts have the score of the feature 0, and without a model all texts score 0.5.
     """
@@ -135,5 +135,6 @@ def scored(docs: DataFrame, model: Classifier | None, keep: tuple[str | Column,
             return pd.Series(np.full(len(texts), 0.5))
         return pd.Series(model.scores(model.features(texts.tolist())))
 
-    out = docs.select(*keep, score(text_of(text)).alias("score"))
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = docs.select(*keep, score(text_of(text)).alias("__score"))
+    return out.withColumns({
+        "score": F.col("__score"), "predicted": (F.col("__score") >= threshold).cast("int")}).drop("__score")
