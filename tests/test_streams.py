@@ -71,7 +71,7 @@ def test_windows_equal_the_bounded_form(spark, text_files, tmp_path, kind):
 
 def test_late_rows_do_not_depend_on_the_cut_into_batches(spark, text_files, tmp_path):
     numbered = [f"{i}|{line}" for i, line in enumerate(ORDERS)]
-    for part in (numbered[:3], numbered[3:9], numbered[9:10], numbered[10:]):
+    for part in (numbered[:3], numbered[3:7], numbered[7:8], numbered[8:]):
         folder = text_files(*part)
     stream = files.line_stream(spark, folder, 1).select(
         F.split("value", r"\|")[0].cast("long").alias("arr"), F.split("value", r"\|")[1].alias("value"))
