@@ -71,22 +71,27 @@ def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     return out
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those rows of `pairs` (a, b and more) whose shingle sets have at least the Jaccard similarity; `texts` has (key, line)."""
-    left = texts.select(F.col("key").alias("a"), F.col("line").alias("la"))
-    right = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"))
+def _shingles(line: str, fuzzy: Fuzzy) -> Column:
+    """The line's set of shingle hashes."""
+    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{fuzzy.width}}}))"), F.lit(1))
+    return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
+
 
-    def shingles(line: str) -> Column:
-        runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{fuzzy.width}}}))"), F.lit(1))
-        return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
+def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
+    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line, size of its set)."""
+    left = texts.select(F.col("key").alias("a"), F.col("line").alias("la"), F.col("size").alias("na"))
+    right = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"), F.col("size").alias("nb"))
 
     def close(p: Column) -> Column:
         shared, all_ = F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"])
         return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
 
     # As the item of an array the sets have a name, and are not computed anew for every use.
-    sets = F.array(F.struct(shingles("la").alias("a"), shingles("lb").alias("b")))
-    return pairs.join(left, "a").join(right, "b").where(F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
+    sets = F.array(F.struct(_shingles("la", fuzzy).alias("a"), _shingles("lb", fuzzy).alias("b")))
+    # The smaller set's share of the larger bounds the similarity, so most unlike lines are never cut into shingles.
+    may = F.least("na", "nb") >= fuzzy.least * F.greatest("na", "nb") - 1e-9
+    return pairs.join(left, "a").join(right, "b").where(
+        may & F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -98,7 +103,8 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     members = written(banded.join(buckets.hint("shuffle_hash"), "band"), "members")
     discarded(banded, buckets)
     needed = written(members.select("key").distinct(), "needed")
-    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"]), "texts")
+    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+                    .select("key", "line", F.size(_shingles("line", fuzzy)).alias("size")), "texts")
 
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
     roots = components(_similar(stars, texts, fuzzy))
