@@ -14,6 +14,7 @@ Everything between works on 64-bit hashes of lines and on positions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -97,23 +98,40 @@ def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(node, root): the keys of lines that are linked to another distinct line, with their component's smallest key."""
     banded = bands(lines, fuzzy)
+    members = bucketed(banded)
+    discarded(banded)
+    needed = written(members.select("key").distinct(), "needed")
+    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+                    .select("key", "line", F.size(_shingles("line", fuzzy)).alias("size")), "texts")
+    discarded(needed)
+    roots = linked(members, lambda pairs: _similar(pairs, texts, fuzzy), fuzzy.heads)
+    discarded(texts)
+    return roots
+
+
+def bucketed(banded: DataFrame) -> DataFrame:
+    """(band, key, head) of the bands that several keys share; the head is the smallest of them."""
     buckets = written(banded.groupBy("band").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                       .select("band", "head"), "buckets")
     # The smaller sides of these joins are hashed, so that lines and bands need no sort.
     members = written(banded.join(buckets.hint("shuffle_hash"), "band"), "members")
-    discarded(banded, buckets)
-    needed = written(members.select("key").distinct(), "needed")
-    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
-                    .select("key", "line", F.size(_shingles("line", fuzzy)).alias("size")), "texts")
+    discarded(buckets)
+    return members
 
+
+def linked(members: DataFrame, similar: Callable[[DataFrame], DataFrame], heads: int) -> DataFrame:
+    """(node, root) of the keys that `similar` links inside their buckets; `members` is from `bucketed` and is removed.
+
+    `similar` gets pairs (a, b and more) and returns those that are links.
+    """
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    roots = components(_similar(stars, texts, fuzzy))
+    roots = components(similar(stars))
     # A component is as good as one line from here on, and only buckets that hold several are looked at again.
     parts = _still_mixed(members.select("band", "key", F.col("key").alias("part")), roots)
-    discarded(members, needed)
+    discarded(members)
     picked = written(parts.groupBy("band").agg(*[
-        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "part")).alias(f"h{i}") for i in range(fuzzy.heads)])
-        .select("band", F.explode(F.array(*[f"h{i}" for i in range(fuzzy.heads)])).alias("h"))
+        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "part")).alias(f"h{i}") for i in range(heads)])
+        .select("band", F.explode(F.array(*[f"h{i}" for i in range(heads)])).alias("h"))
         .select("band", F.col("h.key").alias("b"), F.col("h.part").alias("pb")).distinct(), "picked")
     for others in (picked, None):
         here = parts.withColumnsRenamed({"key": "a", "part": "pa"})
@@ -122,12 +140,12 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
             met = here.join(others, "band").where("pa < pb")
         else:
             met = here.join(others, "band").where("pa <> pb")
-        links = _similar(met.select("a", "b", "pa", "pb").distinct(), texts, fuzzy)
+        links = similar(met.select("a", "b", "pa", "pb").distinct())
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         older, roots = (parts, roots), _chained(roots, united)
         parts = _still_mixed(parts, united)
         discarded(*older, united)
-    discarded(picked, parts, texts)
+    discarded(picked, parts)
     return roots
 
 

@@ -11,7 +11,7 @@ Only distinct fingerprints are joined. Copies share theirs and meet again throug
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -93,7 +93,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 2, segments
     with a NULL id belong to their component and never name it, unless it has no other rows: then its id is NULL. An empty
     table gives no rows.
     """
-    return _components(written(fingerprints(docs, words, doc_id, text), "prints"), distance, segments, doc_id).select(
+    return _components(written(fingerprints(docs, words, doc_id, text), "prints"), _close(distance, segments), doc_id).select(
         doc_id, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -105,18 +105,30 @@ def one_of_each(docs: DataFrame, words: int = 3, distance: int = 2, segments: in
     """
     rows = docs.withColumn("__copy", F.xxhash64(text_of(text)))  # with the id it tells rows of a repeated id apart
     prints = written(fingerprints(rows, words, doc_id, text, "__copy"), "prints")
-    linked = _components(prints, distance, segments, doc_id)
+    return first_of_components(rows, prints, _close(distance, segments), doc_id).select(*docs.columns)
+
+
+def _close(distance: int, segments: int) -> Callable[[DataFrame], DataFrame]:
+    return lambda bits: components(close_pairs(bits, distance, segments))
+
+
+def first_of_components(rows: DataFrame, prints: DataFrame, roots: Callable[[DataFrame], DataFrame], doc_id: str) -> DataFrame:
+    """The `rows` (doc_id, __copy and more) whose id names their component; `prints` (doc_id, __copy, bits) is removed.
+
+    `roots` gets the distinct bits and returns (node, root) of those that are linked.
+    """
+    linked = _components(prints, roots, doc_id)
     kept = written(linked.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(
         F.col(doc_id).alias("__id"), F.col("__copy").alias("__of")).distinct(), "kept")
     discarded(prints)
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__copy") == F.col("__of"))
-    return rows.join(kept.hint("shuffle_hash"), same, "left_semi").select(*docs.columns)
+    return rows.join(kept.hint("shuffle_hash"), same, "left_semi")
 
 
-def _components(prints: DataFrame, distance: int, segments: int, doc_id: str) -> DataFrame:
+def _components(prints: DataFrame, find: Callable[[DataFrame], DataFrame], doc_id: str) -> DataFrame:
     """`prints` (doc_id, bits and more) with component_id."""
     distinct = written(prints.groupBy("bits").agg(F.min(doc_id).alias("first_id")), "distinct")
-    roots = components(close_pairs(distinct.select("bits"), distance, segments))
+    roots = find(distinct.select("bits"))
     rooted = distinct.join(roots.withColumnRenamed("node", "bits"), "bits", "left").select(
         "bits", "first_id", F.coalesce("root", "bits").alias("root"))
     names = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "names")
