@@ -44,7 +44,8 @@ KEPT = frozenset("html body main article".split())
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(" + RAW + r")\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*[^>]*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)", re.I | re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# One attribute after the other: its whole name and its value, so that nothing inside a value is taken for a name.
+ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -81,7 +82,7 @@ def _unwanted(tag: str, attributes: str, parent: Element) -> bool:
         elif name == "style":
             if UNSEEN.search(value):
                 return True
-        elif name == "hidden" or value.lower() == "true":
+        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
     return False
 

@@ -144,6 +144,18 @@ def test_main_text_of_a_page():
                                     "Second word with a link, and more, and more text to read. one two")
 
 
+def test_only_whole_attribute_names_count():
+    shown = ['<a href="/wiki/hidden-figures">', '<p title="a hidden cost">', '<div data-hidden="false">', "<p data-id=share>",
+             "<a href='?id=menu&class=nav'>", "<a href=/x?role=menu>", '<p alt = "style=display:none">', '<p aria-hidden="false">',
+             '<p title="x"data-class="nav">', "<p x-hidden>"]
+    for tag in shown:
+        assert html.main_text(f"<div>{tag}Words of the text") == "Words of the text", tag
+    gone = ["<p hidden>", "<p HIDDEN='until-found'>", '<p aria-hidden = "true">', "<p title='a'id=menu>", "<p x=1 class='a nav'>",
+            "<div role=menu>", '<p style="display: none">', '<p title="x>y" / id="share">']
+    for tag in gone:
+        assert html.main_text(f"<div>{tag}Words of the text") == "", tag
+
+
 def test_pages_that_are_hardly_pages(spark):
     pages = ["", None, "plain &amp text", "<p>a<script>x", "<div>" * 3_000 + "deep", "<p>" + "long, " * 100_000, "<", "<p", "a < b",
              "<p>x</p></div></p><p>y"]
