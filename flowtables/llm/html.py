@@ -2,7 +2,8 @@
 
 Paragraphs earn points for length and commas and pass them up: all to the parent, half to the grandparent, a third of
 that and so on above. A container's points are discounted by its link density. The best container and those siblings
-that look like its text are kept. Elements that are no article text by their kind, role or name never take part.
+that look like its text are kept. Elements that are no article text by their kind, role or name never take part,
+unless a name or form turns out to be around the article itself.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from flowtables.llm.common import prepared, text_of
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|noscript|template|iframe|noembed|noframes|xmp|textarea|title"
 DROPPED = frozenset(
-    "script style noscript template iframe noembed noframes object embed svg math canvas audio video nav aside footer form "
-    "button input select textarea option menu dialog head title datalist map fieldset".split())
+    "script style noscript template iframe noembed noframes object embed svg math canvas audio video nav aside footer "
+    "button input select textarea option menu dialog head title datalist map".split())
+FORMS = frozenset("form fieldset".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form h1 "
     "h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th "
@@ -40,6 +42,13 @@ NAMES = frozenset(
     "topbar toolbar cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay "
     "newsletter subscribe subscription signup login comment comments commentlist disqus respond reply replies discussion "
     "share sharing social related recommended recommendations pagination pager widget widgets form search skip hidden".split())
+# Those of them that also occur in names of what is around the article; the others are about what stands beside it.
+AROUND = frozenset(
+    "ad ads adv nav navbar navigation menu menus sidebar sidebars aside footer foot header masthead topbar toolbar banner banners "
+    "notice notices alert modal overlay popup subscription login social share sharing related reply replies widget widgets form "
+    "search skip hidden".split())
+# A name that holds one of these says something about what is around it: has-sidebar, with-header, overflow-hidden, md:hidden.
+MODIFIERS = frozenset("has have with without no not overflow backface clip under above below hide show toggle".split())
 KEPT = frozenset("html body main article".split())
 TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(" + RAW + r")\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*[^>]*>|\Z)"
@@ -51,45 +60,61 @@ UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "skip", "points", "letters", "linked")
+    __slots__ = ("tag", "parent", "children", "skip", "doubt", "points", "letters", "linked")
 
-    def __init__(self, tag: str, parent: Element | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: Element | None, doubt: int):
+        self.tag, self.parent, self.skip, self.doubt = tag, parent, doubt > 0, doubt
         self.children: list[Element | str] = []
         self.points, self.letters, self.linked = 0.0, 0, 0
 
 
-def _unwanted(tag: str, attributes: str, parent: Element) -> bool:
+SURE, BESIDE, WRAPS = 3, 2, 1  # why an element is left out: by its kind, or by a name; the latter two may turn out wrong
+
+
+def _doubt_by_name(value: str) -> int:
+    doubt = 0
+    for name in value.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        if ":" in name or not MODIFIERS.isdisjoint(words):
+            continue
+        marks = NAMES.intersection(words)
+        if marks:
+            doubt = max(doubt, WRAPS if marks <= AROUND else BESIDE)
+    return doubt
+
+
+def _unwanted(tag: str, attributes: str, parent: Element) -> int:
+    """0, or why the element is left out."""
     if tag in DROPPED:
-        return True
+        return SURE
     if tag == "header":
         while parent is not None:  # an article's own heading is part of it
             if parent.tag in ("article", "main"):
                 break
             parent = parent.parent
         if parent is None:
-            return True
-    if tag in KEPT or not attributes:
-        return False
+            return SURE
+    if tag in KEPT:
+        return 0
+    doubt = WRAPS if tag in FORMS else 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            if any(w.lower() in NAMES for w in WORDS.findall(value)):
-                return True
+            doubt = max(doubt, _doubt_by_name(value))
         elif name == "role":
             if value.lower() in ROLES:
-                return True
+                return SURE
         elif name == "style":
             if UNSEEN.search(value):
-                return True
+                return SURE
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-    return False
+            return SURE
+    return doubt
 
 
 def parsed(page: str) -> Element:
     """The page as a tree; end tags that may be left out are supplied, those that match nothing are ignored."""
-    root = Element("html", None, False)
+    root = Element("html", None, 0)
     at, end = root, 0
 
     def up_to(kinds: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
@@ -139,23 +164,23 @@ def parsed(page: str) -> Element:
     return root
 
 
-def _score(root: Element) -> list[Element]:
-    """Give points; the containers that got some."""
-    containers: dict[int, Element] = {}
+def _measured(root: Element, doubtful: bool) -> tuple[list[Element], dict[int, float]]:
+    """Elements that take part (if asked for with those left out in doubt), each before what is in it; paragraphs' points."""
     order: list[Element] = []
     stack = [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [c for c in node.children if isinstance(c, Element) and not c.skip]
+        stack += [c for c in node.children if isinstance(c, Element) and (not c.skip or doubtful and c.doubt < SURE)]
     own: dict[int, tuple[int, int]] = {}
+    worth: dict[int, float] = {}
     for node in reversed(order):  # children first
-        letters = commas = 0
+        letters = commas = node.letters = node.linked = 0
         for c in node.children:
             if isinstance(c, str):
                 letters += len(c.strip())
                 commas += c.count(",") + c.count("，") + c.count("、")
-            elif not c.skip:
+            elif id(c) in own:
                 node.letters += c.letters
                 node.linked += c.linked
                 if c.tag not in BLOCKS:
@@ -167,7 +192,67 @@ def _score(root: Element) -> list[Element]:
             node.linked = node.letters
         if node.tag in BLOCKS and letters >= 20:
             share = 1 - node.linked / max(1, node.letters)
-            points = (1 + commas + min(letters / 100, 3.0)) * share
+            worth[id(node)] = (1 + commas + min(letters / 100, 3.0)) * share
+    return order, worth
+
+
+def _take_back(root: Element) -> None:
+    """Let those elements take part after all whose name or form turns out to be around the article.
+
+    Such an element holds the page's largest article or main element, or more than half of the paragraphs' points and of the
+    letters while no article of weight is outside; one named after what stands beside an article needs nearly all letters.
+    """
+    order, worth = _measured(root, True)
+    if not any(n.doubt for n in order):
+        return
+    size, total, most, holds = {}, {}, {}, {}  # most: points of the largest article inside
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Element) and id(c) in total]
+        i, limit = id(node), node.tag in ("article", "main")
+        size[i] = 1 + sum(size[id(c)] for c in inner)
+        total[i] = worth.get(i, 0.0) + sum(total[id(c)] for c in inner)
+        holds[i] = limit or any(holds[id(c)] for c in inner)
+        most[i] = total[i] if limit else max((most[id(c)] for c in inner), default=-1.0)
+    n = len(order)
+    before, after = [-1.0] * (n + 1), [-1.0] * (n + 1)  # largest article that ends before a place, that begins there or later
+    for at, node in enumerate(order):
+        if node.tag in ("article", "main"):
+            end = at + size[id(node)]
+            before[end] = max(before[end], total[id(node)])
+            after[at] = total[id(node)]
+    for at in range(1, n + 1):
+        before[at] = max(before[at], before[at - 1])
+        after[n - at] = max(after[n - at], after[n - at + 1])
+    hidden: set[int] = set()
+    for at, node in enumerate(order):
+        i = id(node)
+        if node.parent is not None and id(node.parent) in hidden:
+            hidden.add(i)
+            continue
+        if not node.doubt:
+            continue
+        outside = max(before[at], after[at + size[i]])
+        above = node.parent
+        while above is not None:
+            if above.tag in ("article", "main"):
+                outside = max(outside, total[id(above)] - total[i])
+            above = above.parent
+        if holds[i] and most[i] >= outside:
+            node.skip = False
+        elif 4 * outside < total[i] and 2 * total[i] > total[id(root)]:
+            others = root.letters - node.letters
+            node.skip = not (others < node.letters if node.doubt == WRAPS else 10 * others < node.letters)
+        if node.skip:
+            hidden.add(i)
+
+
+def _score(root: Element) -> list[Element]:
+    """Give points; the containers that got some."""
+    containers: dict[int, Element] = {}
+    order, worth = _measured(root, False)
+    for node in reversed(order):
+        points = worth.get(id(node))
+        if points is not None:
             above, part = (node.parent or node), 1
             while above is not None and part <= 4:
                 above.points += points / (1 if part == 1 else 2 if part == 2 else 3 * (part - 1))
@@ -181,6 +266,7 @@ def _final(node: Element) -> float:
 
 
 def _kept(root: Element) -> list[Element]:
+    _take_back(root)
     containers = _score(root)
     if not containers:
         return [root]

@@ -156,6 +156,23 @@ def test_only_whole_attribute_names_count():
         assert html.main_text(f"<div>{tag}Words of the text") == "", tag
 
 
+def test_wrappers_with_names_of_other_parts():
+    beside = '<div class="sidebar"><p>At the side, there is this, and more of it.</p></div><div id="comments"><p>I like it, really, so much, yes, yes.</p></div>'
+    texts = [f"Paragraph {i} of the article, with commas, and with words enough to count." for i in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in texts)
+    start = "<body><div class='site-footer'><p>All rights are reserved, by us, of course.</p></div>"
+    opened = ['<div class="layout has-sidebar">', '<div class="overflow-hidden">', '<div class="page with-header">', '<form id="aspnetForm">',
+              '<div class="page sidebar-left">', '<div id="header-and-text"><fieldset>', '<div class="md:hidden">', '<div class="hasSidebar">']
+    for tag in opened:
+        for inner in ("<div>", "<article>", "<main>", '<div class="text">'):
+            page = f"{start}{tag}{inner}{body}</{inner[1:5].rstrip('>') if inner[1] != 'a' else 'article'}>{beside}<input value=a></body>"
+            assert html.main_text(page) == " ".join(texts), (tag, inner)
+    many = beside.replace("</p>", "</p>" + "<p>And one more comment, with words, and commas, to read.</p>" * 9)
+    assert html.main_text(f"<div>{body}</div>{many}") == " ".join(texts)
+    cards = '<div class="related">' + "<article><p>Another article, which is short, to read.</p></article>" * 5 + "</div>"
+    assert html.main_text(f"<main>{body}</main>{cards}") == " ".join(texts)
+
+
 def test_pages_that_are_hardly_pages(spark):
     pages = ["", None, "plain &amp text", "<p>a<script>x", "<div>" * 3_000 + "deep", "<p>" + "long, " * 100_000, "<", "<p", "a < b",
              "<p>x</p></div></p><p>y"]
