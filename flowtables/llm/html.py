@@ -2,7 +2,7 @@
 
 Paragraphs earn points for length and commas and pass them up: all to the parent, half to the grandparent, a third of
 that and so on above. A container's points are discounted by its link density. The best container and those siblings
-that look like its text are kept. Elements that are no article text by their kind, role or name never take part,
+that look like its text are kept; if other containers have a fifth of its points, what holds them all is looked through instead. Elements that are no article text by their kind, role or name never take part,
 unless a name or form turns out to be around the article itself.
 """
 
@@ -44,7 +44,7 @@ NAMES = frozenset(
     "share sharing social related recommended recommendations pagination pager widget widgets form search skip hidden".split())
 # Those of them that also occur in names of what is around the article; the others are about what stands beside it.
 AROUND = frozenset(
-    "ad ads adv nav navbar navigation menu menus sidebar sidebars aside footer foot header masthead topbar toolbar banner banners "
+    "nav navbar navigation menu menus sidebar sidebars aside footer foot header masthead topbar toolbar banner banners "
     "notice notices alert modal overlay popup subscription login social share sharing related reply replies widget widgets form "
     "search skip hidden".split())
 # A name that holds one of these says something about what is around it: has-sidebar, with-header, overflow-hidden, md:hidden.
@@ -200,7 +200,7 @@ def _take_back(root: Element) -> None:
     """Let those elements take part after all whose name or form turns out to be around the article.
 
     Such an element holds the page's largest article or main element, or more than half of the paragraphs' points and of the
-    letters while no article of weight is outside; one named after what stands beside an article needs nearly all letters.
+    letters while no article or main element is outside; one named after what stands beside an article needs nearly all letters.
     """
     order, worth = _measured(root, True)
     if not any(n.doubt for n in order):
@@ -239,7 +239,7 @@ def _take_back(root: Element) -> None:
             above = above.parent
         if holds[i] and most[i] >= outside:
             node.skip = False
-        elif 4 * outside < total[i] and 2 * total[i] > total[id(root)]:
+        elif outside < 0 and 2 * total[i] > total[id(root)]:
             others = root.letters - node.letters
             node.skip = not (others < node.letters if node.doubt == WRAPS else 10 * others < node.letters)
         if node.skip:
@@ -265,6 +265,28 @@ def _final(node: Element) -> float:
     return node.points * (1 - node.linked / max(1, node.letters))
 
 
+def _line(node: Element | None) -> list[int]:
+    """The element and all above it."""
+    out = []
+    while node is not None:
+        out.append(id(node))
+        node = node.parent
+    return out
+
+
+def _around(best: Element, others: list[Element]) -> Element:
+    """The lowest element that holds the container and all the others."""
+    place = {i: at for at, i in enumerate(_line(best))}
+    top, seen = best, set()
+    for node in others:
+        while id(node) not in place and id(node) not in seen:
+            seen.add(id(node))
+            node = node.parent
+        if id(node) in place and place[id(node)] > place[id(top)]:
+            top = node
+    return top
+
+
 def _kept(root: Element) -> list[Element]:
     _take_back(root)
     containers = _score(root)
@@ -274,16 +296,33 @@ def _kept(root: Element) -> list[Element]:
     node = best
     while node is not None and node.tag not in ("article", "main"):
         node = node.parent
+    high: set[int] = set()
     if node is not None:  # the article around it is its natural limit
         best = node
+    elif best.parent is not None:
+        # Parts of one article may lie deeper than its siblings: what holds them all is looked through instead.
+        above = set(_line(best.parent))  # these have a share of its points
+        parts = [c for c in containers if id(c) not in above and _final(c) >= 0.2 * _final(best)]
+        top = _around(best, parts)
+        if top is not best and top is not best.parent:
+            for c in parts:
+                while c is not None and id(c) not in high:
+                    high.add(id(c))
+                    c = c.parent
+            return _parts(top, high, _final(best))
     if best.parent is None:
         return [best]
-    least, kept = max(10.0, 0.2 * _final(best)), []
-    for c in best.parent.children:
+    return _parts(best.parent, {id(best)}, _final(best))
+
+
+def _parts(parent: Element, high: set[int], points: float) -> list[Element]:
+    """Children that are in `high` or look like text beside it."""
+    least, kept = max(10.0, 0.2 * points), []
+    for c in parent.children:
         if isinstance(c, str) or c.skip:
             continue
         density = c.linked / max(1, c.letters)
-        if c is best or _final(c) >= least or (c.tag == "p" and c.letters >= 80 and density < 0.25):
+        if id(c) in high or _final(c) >= least or (c.tag == "p" and c.letters >= 80 and density < 0.25):
             kept.append(c)
     return kept
 

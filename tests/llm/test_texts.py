@@ -173,6 +173,15 @@ def test_wrappers_with_names_of_other_parts():
     assert html.main_text(f"<main>{body}</main>{cards}") == " ".join(texts)
 
 
+@pytest.mark.parametrize("sections", [2, 3, 6])
+def test_article_in_sections_of_sections(sections):
+    texts = [f"Section {i}, with commas, and with some more words in it, so that it counts for something." for i in range(sections)]
+    links = "<div>" + "<a href=x>Some link</a> " * 9 + "</div>"
+    parts = "".join(f'<div class="row"><div class="column"><p>{t}</p></div></div>' for t in texts)
+    for page in (f"<body>{links}<div>{parts}</div>{links}</body>", f"<body>{links}{parts}{links}</body>"):
+        assert html.main_text(page) == " ".join(texts)
+
+
 def test_pages_that_are_hardly_pages(spark):
     pages = ["", None, "plain &amp text", "<p>a<script>x", "<div>" * 3_000 + "deep", "<p>" + "long, " * 100_000, "<", "<p", "a < b",
              "<p>x</p></div></p><p>y"]
