@@ -111,16 +111,21 @@ class Model:
         return words, np.where(self.allowed[words.script], scores, np.float32(-1e6))
 
 
-def trained(docs: DataFrame, languages: str = "lang", text: str = "text", rows: int = 12_000, least: float = 0.01,
+def trained(docs: DataFrame, languages: str = "lang", text: str = "text", each: int = 12_000, least: float = 0.01,
             switch: float = 16.0) -> Model:
-    """Learn from about `rows` of the labelled texts, chosen by a hash of the text; rows with a NULL label are left out.
+    """Learn from about `each` distinct texts of every label, all of them where a label has no more; NULL labels are left out.
 
-    The sample is all that is bounded: its texts are counted whole, in tasks, and only sums come to the driver.
+    A text that several rows of a label repeat counts once. Larger labels are thinned by a hash of the text. The sample is all
+    that is bounded: its texts are counted whole, in tasks, and only sums and a number per label come to the driver.
     """
-    labelled = docs.where(F.col(languages).isNotNull()).select(F.col(languages).alias("lang"), text_of(text).alias("text"))
-    total = labelled.count()
-    share = int(min(1.0, rows / max(1, total)) * 1_000_000)
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share) if total > rows else labelled
+    labelled = docs.where(F.col(languages).isNotNull()).select(F.col(languages).alias("lang"), text_of(text).alias("text")).withColumn(
+        "hash", F.shiftrightunsigned(F.xxhash64("text"), 1))
+    sizes = labelled.select("lang", "hash").distinct().groupBy("lang").count().where(F.col("count") > each).collect()
+    sample = labelled
+    if sizes:
+        limit = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], (each << 63) // r["count"])])[F.col("lang")]
+        sample = labelled.where(F.coalesce(F.col("hash") < limit, F.lit(True)))
+    sample = sample.dropDuplicates(["lang", "hash"]).select("lang", "text")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}

@@ -65,6 +65,15 @@ def test_languages_of_awkward_rows(spark, model):
     assert language.with_language(no_documents(spark), model).count() == 0
 
 
+def test_rare_labels_and_repeated_texts_are_learned(spark):
+    rows = [("en", sentence(ENGLISH, 20, i)) for i in range(400)] + [("ru", sentence(RUSSIAN, 20, 1))]
+    rows += [("fr", sentence(FRENCH, 20, i)) for i in range(20)]
+    once = language.trained(spark.createDataFrame(rows, "lang string, text string"), each=50)
+    assert once.languages == ("en", "fr", "ru")
+    again = language.trained(spark.createDataFrame(rows + [rows[0]] * 300 + [rows[-1]] * 500, "lang string, text string"), each=50)
+    assert again.languages == once.languages and np.array_equal(again.scores, once.scores)
+
+
 def test_languages_held_out(spark):
     docs = table(spark, DATA.replace("sf0.001", "sf0.01"), "documents")
     out = language.with_language(docs, language.trained(docs.where(~held_out(3, 1)))).where(held_out(3, 1))
