@@ -247,6 +247,15 @@ def predicted(texts: Sequence[str], model: Model) -> list[tuple[str, float, list
     return out
 
 
+def has_letters(text: str = "text") -> Column:
+    """Does the text hold a letter, as `words_of` sees them?"""
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: any(map(str.isalpha, t)))
+
+    return run(text_of(text))
+
+
 def with_language(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str | Column] = ("*",),
                   with_spans: bool = False) -> DataFrame:
     """Add lang_pred, score and, if asked for, spans (language, first, last character) to the columns in `keep`.

@@ -74,6 +74,14 @@ def test_rare_labels_and_repeated_texts_are_learned(spark):
     assert again.languages == once.languages and np.array_equal(again.scores, once.scores)
 
 
+def test_language_stage_drops_texts_without_letters_only(spark):
+    import corpus_pipeline
+    for docs in (documents(spark), documents(spark).withColumn("lang", F.lit(None).cast("string"))):
+        kept = corpus_pipeline.detect_language(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d[0]) for d in DOCUMENTS if d[0] not in (4, 5, 6, 9))
+
+
 def test_languages_held_out(spark):
     docs = table(spark, DATA.replace("sf0.001", "sf0.01"), "documents")
     out = language.with_language(docs, language.trained(docs.where(~held_out(3, 1)))).where(held_out(3, 1))
