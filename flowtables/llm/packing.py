@@ -196,6 +196,10 @@ def packing_plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, li
                 elif (sum(smallest) > room or len(smallest) < 3) and partner >= _best_pair(sizes, left, s, room):
                     # At most two pieces can be added, and no two together exceed the single one.
                     take(times // 2 if partner == s else min(times, left[partner]), s, partner)
+                elif (sum(smallest) > room or len(smallest) < 3) and (third := _dominating(sizes, left, s, partner, room)):
+                    # At most two pieces can be added, and this pair is as good as any two.
+                    members = (s, partner, third)
+                    take(min(left[x] // members.count(x) for x in members), *members)
                 else:
                     break
                 fixed = True
@@ -251,6 +255,24 @@ def _best_pair(sizes: list[int], left: Mapping[int, int], used: int, room: int)
     return best
 
 
+def _dominating(sizes: list[int], left: Mapping[int, int], used: int, partner: int, room: int) -> int:
+    """The largest length that fits beside `used` and `partner`, the largest that fits in `room`; 0 if another pair may be better.
+
+    Of any two pieces the smaller must fit in its place: no two larger ones may fit together.
+    """
+    third = 0
+    for s in reversed(sizes[:bisect_left(sizes, room - partner + 1)]):
+        if left[s] > (s == used) + (s == partner):
+            third = s
+            break
+    larger: list[int] = []
+    for s in sizes[bisect_left(sizes, third + 1):]:
+        larger += [s] * min(2, left[s] - (s == used))
+        if len(larger) > 1:
+            break
+    return third if sum(larger[:2]) > room or len(larger) < 2 else 0
+
+
 def pack(pieces: DataFrame, capacity: int = 2_048, size: str = "length", key: tuple[str, ...] = ("doc_id", "piece")
          ) -> DataFrame:
     """Add sequence_id and offset: pieces of a sequence lie one after the other from 0, within `capacity`.

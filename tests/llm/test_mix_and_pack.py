@@ -191,3 +191,16 @@ def test_pipeline_of_awkward_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.written(stage(spark, docs, DATA), "stage")
         assert "sequence_id" in docs.columns
+
+
+def test_three_pieces_are_fixed_together():
+    from flowtables.llm.packing import _dominating
+    count = lambda sizes: ({s: sizes.count(s) for s in sizes}, sorted(set(sizes)))
+    left, sizes = count([50, 31, 18, 17])
+    assert _dominating(sizes, left, 50, 31, 50) == 18
+    left, sizes = count([50, 31, 25, 25, 18])
+    assert _dominating(sizes, left, 50, 31, 50) == 0  # 25 and 25 fill it better
+    # 48, 33 and 17 dominate every other set with 48; best fit alone needs a third sequence.
+    plan = packing.packing_plan(Counter([17, 48, 27, 28, 43, 33]), 100)
+    assert sum(times for times, _ in plan) == 2
+    assert Counter(s for times, members in plan for s, k in members for _ in range(times * k)) == Counter([17, 48, 27, 28, 43, 33])
