@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtables.llm import exactdedup, html, language, lattice, licences, linededup, mixing, packing, quality, simhash
+from flowtables.llm import (
+    exactdedup, hardnegatives, html, language, lattice, licences, linededup, mixing, packing, quality, simhash, spelling, urlrules,
+)
 from flowtables.llm.common import held_out, table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +103,28 @@ ORACLE["op1_license_scan"] = licences.oracle()
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.without_repeats(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hardnegatives.relabelled(table(spark, folder, "embeddings"))
+    return hardnegatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op11_hard_negatives"] = hardnegatives.oracle()
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+ORACLE["op12_spelling_variants"] = spelling.oracle()
+
+
+@query
+def op13_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [*urlrules.SITES, *urlrules.DEFAULTS]
+    return urlrules.judged(table(spark, folder, "pages"), rules).drop("n_tried")
+
+
+ORACLE["op13_url_filters"] = urlrules.oracle()
