@@ -43,16 +43,35 @@ def site(verdict: str, host: str, path: str = "/") -> Rule:
     return Rule(verdict, f"||{host}{path}", host + path, 0)
 
 
-def _regex(pattern: str) -> str:
+def _pieces(pattern: str) -> list[str]:
+    """Regular expressions for what stands between the `*`, to be found one after the other."""
     start, end = "", ""
     if pattern.startswith("||"):
-        start, pattern = r"^(?:[^/]*\.)?", pattern[2:]
+        start, pattern = r"^(?:[^/]*?\.)??", pattern[2:]
     elif pattern.startswith("|"):
         start, pattern = "^", pattern[1:]
     if pattern.endswith("|"):
         end, pattern = r"\Z", pattern[:-1]
-    marks = {"*": ".*", "^": f"(?:^|{SEPARATOR}|$)"}
-    return "(?s)" + start + "".join(marks.get(c) or re.escape(c) for c in pattern) + end
+    pieces = ["".join(f"(?:^|{SEPARATOR}|$)" if c == "^" else re.escape(c) for c in piece) for piece in pattern.split("*")]
+    pieces[0] = start + pieces[0]
+    pieces[-1] += end
+    return pieces
+
+
+def _regex(pattern: str) -> str:
+    """The whole pattern as one expression, for engines that need no backtracking."""
+    return "(?s)" + ".*".join(_pieces(pattern))
+
+
+def fits(pieces: Sequence[re.Pattern], text: str) -> bool:
+    """Are the pieces there in this order? The first place of each leaves the most for the next, so there is no way back."""
+    at = 0
+    for piece in pieces:
+        found = piece.search(text, at)
+        if not found:
+            return False
+        at = found.end()
+    return True
 
 
 def safe_tokens(pattern: str) -> list[str]:
@@ -120,13 +139,13 @@ class Index:
             out += self.by_token[token]
         return out
 
-    def deciding(self, host: str, path: str, compiled: dict[str, re.Pattern]) -> tuple[Rule | None, int]:
+    def deciding(self, host: str, path: str, compiled: dict[str, list[re.Pattern]]) -> tuple[Rule | None, int]:
         """The rule that decides, and how many regular expressions were run."""
         best, tried = None, self.candidates(host + path)
         for rule in tried:
             if rule.pattern not in compiled:
-                compiled[rule.pattern] = re.compile(_regex(rule.pattern))
-            if compiled[rule.pattern].search(host if rule.host_only else host + path):
+                compiled[rule.pattern] = [re.compile(x, re.DOTALL) for x in _pieces(rule.pattern)]
+            if fits(compiled[rule.pattern], host if rule.host_only else host + path):
                 rank = (rule.tier, -len(rule.name), rule.verdict != "block", rule.name)
                 if best is None or rank < best[0]:
                     best = (rank, rule)
@@ -149,7 +168,7 @@ def judged(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str | Column]
 
     @F.pandas_udf("host string, path string, rule string, verdict string, pattern string, n_tried int")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        compiled: dict[str, re.Pattern] = {}
+        compiled: dict[str, list[re.Pattern]] = {}
         for batch in batches:
             out = []
             for address in batch:

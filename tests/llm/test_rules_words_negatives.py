@@ -23,7 +23,7 @@ URLS = [None, "", "no scheme", "://", "http://", "http://ORG/", "http://org", "h
         "https://a.example.org/es", "http://myexample.org/es/1", "http://example.org/en/12", "http://a.com/fr/", "http://a.com/de/1",
         "http://a.com/it/", "http://com?x=/fr/", "http://casino-win.net/en/1", "http://b.net/casino/", "http://b.casinos.net/", "http://mycasino.net/",
         "http://é.casino.net/ü/ñ", "http://ads.x.net/", "http://x.ads/", "ftp://h.net/cgi-bin/a/redirect/b", "http://h.net/a//b://c.com/fr/",
-        "http://h.net/" + "a/" * 20_000 + "wp-login.php", "http://sub.gov/x", "http://bad.gov\n/x", "http://bet.gov/", "HTTP://U@H.NET:80/phpmyadmin/"]
+        "http://h.net/" + "a/" * 60 + "wp-login.php", "http://sub.gov/x", "http://bad.gov\n/x", "http://bet.gov/", "HTTP://U@H.NET:80/phpmyadmin/"]
 
 
 def test_safe_tokens_are_enclosed():
@@ -58,7 +58,7 @@ def test_index_decides_like_all_rules_on_all_urls(spark):
         assert (row.host, row.path, row.rule, row.verdict) == (host, path, name, verdict), u
         assert (row.pattern is not None) == bool(tier)
         tried += row.n_tried
-    assert tried < 0.6 * len(urls) * len(rules)  # the rest was never run
+    assert tried < 0.75 * len(urls) * len(rules)  # the rest was never run
 
 
 def test_site_rules_and_no_rules(spark):
@@ -70,6 +70,9 @@ def test_site_rules_and_no_rules(spark):
     assert got["http://com?x=/fr/"] == (None, "allow") and got["http://a.com/de/1"] == ("com/de/", "block")
     assert {r.verdict for r in urlrules.judged(pages, []).collect()} == {"allow"}
     assert urlrules.judged(pages.limit(0), [site("block", "x")]).count() == 0
+    long = spark.createDataFrame([(1, "http://h.net/" + "a/b." * 300_000 + "end")], "page_id long, url string")
+    rules = [Rule("block", "/a*.b*.c", "never"), Rule("block", "*a*b*end|", "there")]
+    assert [(r.verdict, r.pattern) for r in urlrules.judged(long, rules).collect()] == [("block", "*a*b*end|")]
 
 
 # Spelling variants
