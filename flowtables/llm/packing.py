@@ -15,6 +15,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from itertools import repeat
 from math import isqrt
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowtables.llm.common import prepared, text_of, written
+from flowtables.llm.common import mapped, prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
 CACHED = 1_000_000  # words a worker remembers; then it starts anew
@@ -34,14 +35,14 @@ class Encoder:
     """Ids of whole texts by a byte-level vocabulary file, as little-endian 32-bit numbers.
 
     A space or line break between two visible characters always begins a new unit of this kind of vocabulary, so plain
-    text can be encoded word by word and remembered, and so does a punctuation mark after a letter. Other white space,
+    text can be encoded word by word and remembered, and so does a punctuation mark after a letter or digit. Other white space,
     scripts outside Latin, Greek and Cyrillic, and the special token's string go through the tokenizer as a whole.
     """
 
     PLAIN = re.compile("[\\n -~¡-ȳΑ-ΡΣ-ϿА-я‐-‧‰-⁞€]*")
     LATIN = bytes([10, *range(32, 127), *range(161, 256)])
     ODD_SPACE = ("  ", " \n", "\n ", "\n\n")
-    MARKS = ".,;:!?#$%&*|)-"  # never part of the unit that a letter before them belongs to
+    MARKS = ".,;:!?#$%&*|)-"  # never part of the unit that a letter or digit before them belongs to
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,14 +71,11 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * a:4 * b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
 
-    def _learn(self, words: set[str], known: dict[str, bytes], prefix: str) -> None:
-        new = words - known.keys()
+    def _learn(self, new: set[str], known: dict[str, bytes], prefix: str) -> None:
         if len(known) + len(new) > CACHED:
             known.clear()
-            new = words
-        if not new:
-            return
-        stems = {w: w.rstrip(self.MARKS) or w for w in new}
+        # After another mark a mark belongs to that one's unit, so only those after a letter or digit stand for themselves.
+        stems = {w: s if (s := w.rstrip(self.MARKS)) and s[-1].isalnum() else w for w in new}
         bare = list(set(stems.values()) - known.keys())
         if bare:
             known.update(zip(bare, self._ids(bare, prefix), strict=True))
@@ -87,18 +85,30 @@ class Encoder:
         for word, stem in stems.items():
             known[word] = known[stem] + ends[word[len(stem):]]
 
+    def _looked_up(self, lists: list[list[str]], known: dict[str, bytes], prefix: str) -> list[list[bytes]]:
+        """The ids of every word of the lists; what isn't known yet is learned at once for all of them."""
+        found = [list(map(known.get, words, repeat(b""))) for words in lists]
+        holes = [i for i, ids in enumerate(found) if not all(ids)]  # no word has no ids
+        missing = {w for i in holes for w, ids in zip(lists[i], found[i], strict=True) if not ids}
+        if missing:
+            self._learn(missing, known, prefix)
+        for i in holes:
+            found[i] = [ids or known[w] for w, ids in zip(lists[i], found[i], strict=True)]
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.plain(t) for t in texts]
-        lines = [[line.split(" ") for line in t.split("\n")] if p else None for t, p in zip(texts, plain, strict=True)]
-        self._learn({line[0] for ls in lines if ls for line in ls}, self.first, "")
-        later: set[str] = set()
-        for ls in lines:
-            for line in ls or ():
-                later.update(line[1:])
-        self._learn(later, self.later, " ")
-        first, word = self.first, self.later.__getitem__
-        return [self.newline.join([first[line[0]] + b"".join(map(word, line[1:])) for line in ls]) if ls
-                else self.whole(t) for t, ls in zip(texts, lines, strict=True)]
+        lines = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
+        split = [line for ls in lines if ls for line in ls]
+        first = self._looked_up([[line[0] for line in split]], self.first, "")[0]
+        later = self._looked_up([line[1:] for line in split], self.later, " ")
+        out, at = [], 0
+        for text, ls in zip(texts, lines, strict=True):
+            if ls:
+                out.append(self.newline.join([first[i] + b"".join(later[i]) for i in range(at, at + len(ls))]))
+                at += len(ls)
+            else:
+                out.append(self.whole(text))
+        return out
 
 
 def encoder(path: str) -> Encoder:
@@ -131,7 +141,7 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = 2_048, separator:
         tokens = encoder(path)
         for frame in frames:
             keys = frame[doc_id].to_numpy()
-            for at, texts in _batches(frame["text"].tolist()):
+            for at, texts in _batches(frame["__text"].tolist()):
                 owner, rows = [], []
                 for i, ids in enumerate(tokens.encode(texts), at):
                     ids += end
@@ -149,8 +159,8 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = 2_048, separator:
 
     prepared(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text_of(text).alias("text")).mapInPandas(
-        cut, f"`{doc_id}` {kind}, piece int, start long, length long, ids_crc32 long")
+    return mapped(docs.select(doc_id, text_of(text).alias("__text")), cut,
+                  f"`{doc_id}` {kind}, piece int, start long, length long, ids_crc32 long", [doc_id])
 
 
 def packing_plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -309,7 +319,7 @@ def pack(pieces: DataFrame, capacity: int = 2_048, size: str = "length", key: tu
 
     ranked = _ranked(pieces, size, key, sum(counts.values()))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
+    return mapped(ranked, place, f"{schema}, sequence_id long, offset long", [c for c in pieces.columns if c != size])
 
 
 def _ranked(pieces: DataFrame, size: str, key: tuple[str, ...], rows: int) -> DataFrame:

@@ -204,3 +204,14 @@ def test_three_pieces_are_fixed_together():
     plan = packing.packing_plan(Counter([17, 48, 27, 28, 43, 33]), 100)
     assert sum(times for times, _ in plan) == 2
     assert Counter(s for times, members in plan for s, k in members for _ in range(times * k)) == Counter([17, 48, 27, 28, 43, 33])
+
+
+def test_ids_of_random_marks_and_code_are_the_tokenizers():
+    tokens = packing.encoder(vocabulary())
+    r = random.Random(10)
+    plain = [chr(c) for c in [10, *range(32, 127), *range(161, 0x450), *range(0x2010, 0x2050), 0x20ac] if tokens.PLAIN.fullmatch(chr(c))]
+    marks = "ab19.,;:!?#$%&*|)-('\"[]{}<>/_`=+ \n"
+    texts = ["".join(r.choices(plain, k=r.randint(1, 14))) for _ in range(6_000)]
+    texts += ["".join(r.choices(marks, k=r.randint(1, 20))) for _ in range(6_000)]
+    texts += ['He said "yes".', "see [1]: and", "f(x)[0].", '(foo("bar"));', '{"a": 1},', "</div>.", "_a_.", "`code`.", "it's, don't. x²; y³)."]
+    assert tokens.encode(texts) == [tokens.whole(t) for t in texts]
