@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowtables.session import new_folder
 
@@ -52,6 +54,20 @@ def discarded(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def mapped(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str | T.StructType, unread: Sequence[str]) -> DataFrame:
+    """`mapInPandas` for code that hands the columns `unread` on as they are.
+
+    pandas turns whole numbers beside a NULL into floats, which hold 53 bits, so of these columns the long ones go as text.
+    """
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    long = {c for c in unread if isinstance(rows.schema[c].dataType, T.LongType)}
+    sent = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in long else F.col(f"`{c}`") for c in rows.columns])
+    got = sent.mapInPandas(run, T.StructType([
+        T.StructField(f.name, T.StringType() if f.name in long else f.dataType) for f in schema.fields]))
+    return got.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in long else F.col(f"`{f.name}`")
+                        for f in schema.fields])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 

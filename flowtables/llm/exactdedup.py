@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import prepared, text_of, written
+from flowtables.llm.common import mapped, prepared, text_of, written
 
 BUDGET = 128 << 20  # bytes of keys a trie holds before it writes a subtree out
 HASH = 8            # bytes of content hash in front of every key
@@ -136,7 +136,7 @@ def _terminals(root: Node, keys: bool = True) -> Iterator[tuple[bytes, Node]]:
 
 
 def _id(value) -> tuple:
-    return LAST if pd.isna(value) else (False, int(value))
+    return LAST if value is None else (False, int(value))
 
 
 def _local(budget: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -166,6 +166,8 @@ def _local(budget: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
 
 
 def _owners(budget: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    columns = ["part", "doc_id", "keep_row", "group_size"]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trie = Trie(budget)
         for frame in frames:
@@ -173,11 +175,11 @@ def _owners(budget: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
                 trie.add(bytes.fromhex(sha[:2 * HASH]) + content, (*_id(doc), row), n, [part])
         out: list[tuple] = []
         for (no_id, doc, row), n, members in trie.groups():
-            out += [(part, None if no_id else doc, row, n) for part in members]
+            out += [(part, None if no_id else str(doc), row, n) for part in members]
             if len(out) > 20_000:
-                yield pd.DataFrame(out, columns=["part", "keep_id", "keep_row", "group_size"]).astype({"keep_id": "Int64"})
+                yield pd.DataFrame(out, columns=columns)
                 out = []
-        yield pd.DataFrame(out, columns=["part", "keep_id", "keep_row", "group_size"]).astype({"keep_id": "Int64"})
+        yield pd.DataFrame(out, columns=columns)
 
     return run
 
@@ -192,11 +194,11 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     normal = F.regexp_replace(text_of(text), "[\\x20\\x09-\\x0D]+", " ")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.encode(normal, "UTF-8").alias("content"))
     rows = rows.select("doc_id", "content", F.sha2("content", 256).alias("text_sha256"))
-    local = written(rows.mapInPandas(
-        _local(budget), "doc_id long, text_sha256 string, row long, part long, n long, content binary"), "texts")
+    local = written(mapped(rows, _local(budget), "doc_id long, text_sha256 string, row long, part long, n long, content binary",
+                           ["doc_id"]), "texts")
     first = local.where("content is not null")
-    owners = first.select("doc_id", "text_sha256", "row", "part", "n", "content").repartition(
-        F.length("content"), F.col("text_sha256")).mapInPandas(
-        _owners(budget), "part long, keep_id long, keep_row long, group_size long")
+    owners = mapped(first.select("doc_id", "text_sha256", "row", "part", "n", "content").repartition(
+        F.length("content"), F.col("text_sha256")), _owners(budget), "part long, doc_id long, keep_row long, group_size long",
+        ["doc_id"]).withColumnRenamed("doc_id", "keep_id")
     return local.select("doc_id", "text_sha256", "row", "part").join(owners, "part").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import prepared, text_of, written
+from flowtables.llm.common import mapped, prepared, text_of, written
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 ROUNDS = 4
@@ -269,4 +269,5 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), doc_id: str = "doc_id", t
                 frame[n_chars] = [len(t) for t in texts]
             yield frame[columns]
 
-    return rows.join(spans, "__row").select("__size", "__spans", *columns).mapInPandas(cut, docs.schema)
+    return mapped(rows.join(spans, "__row").select("__size", "__spans", *columns), cut, docs.schema,
+                  [c for c in columns if c not in (text, n_chars)])

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtables.llm.common import discarded, prepared, text_of, written
+from flowtables.llm.common import discarded, mapped, prepared, text_of, written
 from flowtables.llm.components import components
 
 BLOCK = 50_000  # shingles hashed at a time, so a very long text needs no more memory
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, words: int = 3, doc_id: str = "doc_id", text:
 
     prepared(docs.sparkSession)
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.select(*names, text_of(text).alias("__text")).mapInPandas(run, f"{kinds}, bits long")
+    return mapped(docs.select(*names, text_of(text).alias("__text")), run, f"{kinds}, bits long", names)
 
 
 def _masks(segments: int) -> list[int]:
