@@ -9,6 +9,7 @@ unless a name or form turns out to be around the article itself.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html import unescape
 
 import pandas as pd
@@ -83,17 +84,12 @@ def _doubt_by_name(value: str) -> int:
     return doubt
 
 
-def _unwanted(tag: str, attributes: str, parent: Element) -> int:
+def _unwanted(tag: str, attributes: str, in_article: bool) -> int:
     """0, or why the element is left out."""
     if tag in DROPPED:
         return SURE
-    if tag == "header":
-        while parent is not None:  # an article's own heading is part of it
-            if parent.tag in ("article", "main"):
-                break
-            parent = parent.parent
-        if parent is None:
-            return SURE
+    if tag == "header" and not in_article:  # an article's own heading is part of it
+        return SURE
     if tag in KEPT:
         return 0
     doubt = WRAPS if tag in FORMS else 0
@@ -112,21 +108,65 @@ def _unwanted(tag: str, attributes: str, parent: Element) -> int:
     return doubt
 
 
+class _Open:
+    """The elements that are open, from the root down, and at which depths each kind of them is.
+
+    What an end tag or a start tag ends is one look, however many elements are open, and every element is closed once.
+    """
+
+    def __init__(self, root: Element):
+        self.line = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # depths of all open blocks, and of all but paragraphs
+        self.walls: list[int] = []
+
+    def push(self, node: Element) -> None:
+        depth = len(self.line)
+        self.line.append(node)
+        self.depths.setdefault(node.tag, []).append(depth)
+        if node.tag in BLOCKS:
+            self.blocks.append(depth)
+            if node.tag != "p":
+                self.walls.append(depth)
+
+    def deepest(self, tags: Iterable[str]) -> int:
+        return max((d[-1] for t in tags if (d := self.depths.get(t))), default=0)
+
+    def close(self, depth: int) -> None:
+        """Close the element at that depth and all in it."""
+        while len(self.line) > depth:
+            node = self.line.pop()
+            self.depths[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+                if node.tag != "p":
+                    self.walls.pop()
+
+    def end_tag(self, tag: str) -> None:
+        depth = self.deepest((tag,))
+        # An inline end tag doesn't close a block; one that matches nothing is ignored.
+        if depth and (tag in BLOCKS or not self.blocks or depth > self.blocks[-1]):
+            self.close(depth)
+
+    def before(self, tag: str) -> None:
+        """Supply the end tags that a start tag lets be left out."""
+        if tag in CLOSES_P:
+            depth = self.deepest(("p",))
+            if depth and (not self.walls or depth > self.walls[-1]):
+                self.close(depth)
+        if tag in SAME:
+            kinds, stop = SAME[tag]
+            depth = self.deepest(kinds)
+            if depth > self.deepest(stop):
+                self.close(depth)
+
+
 def parsed(page: str) -> Element:
     """The page as a tree; end tags that may be left out are supplied, those that match nothing are ignored."""
     root = Element("html", None, 0)
-    at, end = root, 0
-
-    def up_to(kinds: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
-        nonlocal at
-        node = at
-        while node is not root and node.tag not in stop:
-            if node.tag in kinds:
-                at = node.parent
-                return
-            node = node.parent
-
+    open_, end = _Open(root), 0
     for m in TAG.finditer(page):
+        at = open_.line[-1]
         if m.start() > end:
             at.children.append(unescape(page[end:m.start()]))
         end = m.end()
@@ -135,32 +175,22 @@ def parsed(page: str) -> Element:
             continue  # comment, raw text, declaration or a tag that never ends
         tag = tag.lower()
         if m[2]:
-            if tag in ("html", "body"):
-                continue
-            node = at
-            while node is not root and node.tag != tag:
-                if tag not in BLOCKS and node.tag in BLOCKS:
-                    node = root  # an inline end tag doesn't close a block
-                    break
-                node = node.parent
-            if node is not root:
-                at = node.parent
+            if tag not in ("html", "body"):
+                open_.end_tag(tag)
             continue
-        if tag in CLOSES_P:
-            up_to({"p"}, BLOCKS - {"p"})
-        if tag in SAME:
-            up_to(*SAME[tag])
+        open_.before(tag)
         if tag == "html":
             continue
+        at = open_.line[-1]
         if tag == "br":
             at.children.append("\n")
             continue
-        node = Element(tag, at, _unwanted(tag, m[4], at))
+        node = Element(tag, at, _unwanted(tag, m[4], open_.deepest(("article", "main")) > 0))
         at.children.append(node)
         if tag not in VOID and not (m[4].endswith("/") and tag not in BLOCKS):
-            at = node
+            open_.push(node)
     if end < len(page):
-        at.children.append(unescape(page[end:]))
+        open_.line[-1].children.append(unescape(page[end:]))
     return root
 
 
@@ -224,19 +254,19 @@ def _take_back(root: Element) -> None:
         before[at] = max(before[at], before[at - 1])
         after[n - at] = max(after[n - at], after[n - at + 1])
     hidden: set[int] = set()
+    article: dict[int, Element | None] = {}  # the outermost article or main element above
     for at, node in enumerate(order):
         i = id(node)
+        over = node.parent
+        article[i] = over and (article[id(over)] or (over if over.tag in ("article", "main") else None))
         if node.parent is not None and id(node.parent) in hidden:
             hidden.add(i)
             continue
         if not node.doubt:
             continue
         outside = max(before[at], after[at + size[i]])
-        above = node.parent
-        while above is not None:
-            if above.tag in ("article", "main"):
-                outside = max(outside, total[id(above)] - total[i])
-            above = above.parent
+        if article[i]:
+            outside = max(outside, total[id(article[i])] - total[i])
         if holds[i] and most[i] >= outside:
             node.skip = False
         elif outside < 0 and 2 * total[i] > total[id(root)]:

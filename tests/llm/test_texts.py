@@ -1,6 +1,7 @@
 """Languages, quality, licenses and pages: known results, held-out accuracy, awkward tables."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -216,3 +217,11 @@ def test_pages_of_the_table(spark):
         article = r.html.split("<article>")[1].split("</article>")[0]
         parts = [" ".join(unescape(re.sub("</?b>", "", p.replace("<br>", " "))).split()) for p in re.split("</?(?:p|h1)>", article)]
         assert r.text == " ".join(p for p in parts if p) and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("page", ["<b>" * 30_000 + "</i>" * 30_000, "<div>" * 30_000 + "</section>" * 30_000,
+                                  "<span>" * 30_000 + "<p>" * 30_000, "<header>" * 30_000, "<ul><li>" * 30_000])
+def test_malformed_pages_are_parsed_in_one_pass(page):
+    start = time.perf_counter()
+    assert html.main_text(page + "the text, at last") in ("the text, at last", "")
+    assert time.perf_counter() - start < 10
