@@ -7,6 +7,7 @@ on labelled texts that no dictionary has seen, turns it into a score from 0 to 1
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -82,24 +83,26 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), key: str = "doc
            label: str = "quality") -> Classifier | None:
     """Fit on the texts of rows that `labels` (key, label) calls 1 (good) or 0 (bad); others and NULL are not used.
 
-    The sample is drawn from the narrow labels, so the texts need no shuffle. None if either class has fewer than eight texts
-    to learn from.
+    The sample is drawn from the labels of texts that are there and not longer than `longest`; only ids are shuffled for it.
+    None, with a warning, if either class has fewer than eight texts to learn from.
     """
+    short = (F.length(text) > 0) & (F.length(text) <= fit.longest)
+    there = docs.where(short).select(F.col(key).alias("key"))
     rows = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
-        F.col("key").isNotNull() & F.col("label").isin(0, 1)).distinct().withColumns({
+        F.col("key").isNotNull() & F.col("label").isin(0, 1)).distinct().join(there, "key", "left_semi").withColumns({
             "use": F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2)).cast("int"), "order": F.xxhash64("key", F.lit(7))})
     counts = {(r[0], r[1]): r[2] for r in rows.groupBy("label", "use").count().collect()}
     uses = ((0, 0), (1, 0), (0, 1), (1, 1))
     sample = reduce(DataFrame.unionByName, [
         rows.where((F.col("label") == a) & (F.col("use") == b)).orderBy("order", "key").limit(fit.texts) for a, b in uses])
     # Bounded: at most 4 * texts keys are broadcast, and as many texts of at most `longest` characters come to the driver.
-    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(
-        (F.length("text") > 0) & (F.length("text") <= fit.longest)).join(F.broadcast(sample), "key").select(
+    found = docs.where(short).select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key").select(
         "label", "use", "order", "text").dropDuplicates(["label", "use", "order"])
     parts: dict[tuple[int, int], list[str]] = {u: [] for u in uses}
     for a, b, _, t in sorted(found.collect()):
         parts[a, b].append(t)
     if min(len(parts[0, 0]), len(parts[1, 0])) < 8 or not parts[0, 1] or not parts[1, 1]:
+        warnings.warn("too few labelled texts to learn from: no model", stacklevel=2)
         return None
     good, bad = (_dictionary(parts[k, 0], fit.dictionary) for k in (1, 0))
     raw = Classifier(good, bad, 1.0, 0.0, fit.level, fit.block)

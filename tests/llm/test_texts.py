@@ -225,3 +225,14 @@ def test_malformed_pages_are_parsed_in_one_pass(page):
     start = time.perf_counter()
     assert html.main_text(page + "the text, at last") in ("the text, at last", "")
     assert time.perf_counter() - start < 10
+
+
+def test_labels_of_documents_that_are_not_there_change_nothing(spark):
+    docs = spark.createDataFrame([(i, prose(80, i) if i % 2 else "zz qq " * 60 + str(i)) for i in range(200)], "doc_id long, text string")
+    own = docs.selectExpr("doc_id", "doc_id % 2 as quality")
+    foreign = spark.range(10_000, 40_000).selectExpr("id as doc_id", "id % 2 as quality")
+    few = quality.Fit(texts=40)
+    model, same = quality.fitted(docs, own, few), quality.fitted(docs, own.union(foreign), few)
+    assert model is not None and model == same
+    with pytest.warns(UserWarning):
+        assert quality.fitted(docs, foreign, few) is None
