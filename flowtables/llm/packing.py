@@ -15,6 +15,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field
 from itertools import repeat
 from math import isqrt
 
@@ -27,10 +28,18 @@ from tokenizers import Tokenizer
 from flowtables.llm.common import mapped, prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
-CACHED = 1_000_000  # words a worker remembers; then it starts anew
+CACHED = 600_000  # words after which a worker forgets those it has not met again since the last time
 _workers: dict[str, Encoder] = {}
 
 
+@dataclass
+class Memory:
+    """Ids of words, in two halves: when the recent one is full it becomes the older, so frequent words are kept."""
+
+    recent: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
+
+
 class Encoder:
     """Ids of whole texts by a byte-level vocabulary file, as little-endian 32-bit numbers.
 
@@ -48,8 +57,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.first, self.later = Memory(), Memory()
         self.newline = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
@@ -72,8 +80,6 @@ class Encoder:
         return [data[4 * a:4 * b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
 
     def _learn(self, new: set[str], known: dict[str, bytes], prefix: str) -> None:
-        if len(known) + len(new) > CACHED:
-            known.clear()
         # After another mark a mark belongs to that one's unit, so only those after a letter or digit stand for themselves.
         stems = {w: s if (s := w.rstrip(self.MARKS)) and s[-1].isalnum() else w for w in new}
         bare = list(set(stems.values()) - known.keys())
@@ -85,15 +91,20 @@ class Encoder:
         for word, stem in stems.items():
             known[word] = known[stem] + ends[word[len(stem):]]
 
-    def _looked_up(self, lists: list[list[str]], known: dict[str, bytes], prefix: str) -> list[list[bytes]]:
+    def _looked_up(self, lists: list[list[str]], memory: Memory, prefix: str) -> list[list[bytes]]:
         """The ids of every word of the lists; what isn't known yet is learned at once for all of them."""
+        known = memory.recent
         found = [list(map(known.get, words, repeat(b""))) for words in lists]
         holes = [i for i, ids in enumerate(found) if not all(ids)]  # no word has no ids
         missing = {w for i in holes for w, ids in zip(lists[i], found[i], strict=True) if not ids}
-        if missing:
+        again = missing & memory.older.keys()
+        known.update(zip(again, map(memory.older.__getitem__, again), strict=True))
+        if missing := missing - again:
             self._learn(missing, known, prefix)
         for i in holes:
             found[i] = [ids or known[w] for w, ids in zip(lists[i], found[i], strict=True)]
+        if len(known) > CACHED:
+            memory.older, memory.recent = known, {}
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
