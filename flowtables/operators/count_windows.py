@@ -27,18 +27,23 @@ def count_window(df: DataFrame, order: Sequence[str], size: int, measures: Measu
         raise ValueError("size and slide must be at least 1")
     chunked = scan_chunked(ordered_chunks(df, [], order, split), {"__n": row_number()})
     windows = chunked.rows // slide
-    rows = chunked.df.drop(CHUNK).where(F.col("__n") <= windows * slide)
+    return numbered_windows(chunked.df.drop(CHUNK), size, slide, measures, 1, chunked.rows // slide)
+
+
+def numbered_windows(rows: DataFrame, size: int, slide: int, measures: Measures, first: int, last: int) -> DataFrame:
+    """The windows from `first` to `last` of rows with their numbers `__n`, as far as these rows belong to them."""
     # Number of the slide a row arrives in; window k ends with slide k.
-    rows = rows.withColumn("__slide", F.expr(f"cast((__n + {slide - 1}) div {slide} as bigint)"))
+    rows = rows.where(F.col("__n") <= last * slide).withColumn("__slide", F.expr(f"cast((__n + {slide - 1}) div {slide} as bigint)"))
     if slide >= size:
-        kept = rows.where(F.col("__slide") * slide - F.col("__n") < size)
+        kept = rows.where((F.col("__slide") * slide - F.col("__n") < size) & (F.col("__slide") >= first))
         return kept.groupBy(F.col("__slide").alias("window_no")).agg(
             *[m.whole().alias(n) for n, m in measures.items()])
     if size % slide == 0:
         panes = rows.groupBy("__slide").agg(*[m.whole().alias(n) for n, m in measures.items()])
-        last = F.least(F.col("__slide") + (size // slide - 1), F.lit(windows))
-        spread = panes.withColumn("window_no", F.explode(F.sequence("__slide", last)))
+        low, high = F.greatest("__slide", F.lit(first)), F.least(F.col("__slide") + (size // slide - 1), F.lit(last))
+        spread = panes.where(low <= high).withColumn("window_no", F.explode(F.sequence(low, high)))
         return spread.groupBy("window_no").agg(*[m.again(n).alias(n) for n, m in measures.items()])
-    last = F.least(F.expr(f"cast((__n + {size - 1}) div {slide} as bigint)"), F.lit(windows))
-    spread = rows.withColumn("window_no", F.explode(F.sequence("__slide", last)))
+    low = F.greatest("__slide", F.lit(first))
+    high = F.least(F.expr(f"cast((__n + {size - 1}) div {slide} as bigint)"), F.lit(last))
+    spread = rows.where(low <= high).withColumn("window_no", F.explode(F.sequence(low, high)))
     return spread.groupBy("window_no").agg(*[m.whole().alias(n) for n, m in measures.items()])

@@ -23,7 +23,7 @@ from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables import schemas
 from flowtables.sources import files, records, tables
-from flowtables.streaming import running as sr, runs, state, windows as sw
+from flowtables.streaming import carried as cr, running as sr, runs, state, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1107,3 +1107,70 @@ def stream_cancel_unpaid(spark, folder):
         "o_orderkey", status.alias("o_orderstatus"), F.col("o_orderdate").cast("timestamp"))
     out = state.stream_cancel_unpaid(stream, "o_orderkey", "o_orderdate", "o_orderstatus")
     return runs.result_table(out, "cancel_unpaid").drop("o_orderdate")
+
+
+# --- streams with a carry from batch to batch -----------------------------------------------------------------------
+
+def uneven(df: DataFrame, column: str, batches: int = BATCHES) -> Column:
+    """Number of the part of the column's range that a value lies in, where parts are of very different sizes."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    share = (F.col(column) - low) / max(1, high - low + 1)
+    return F.floor(share * share * batches).cast("int")
+
+
+def _carried(df: DataFrame, name: str, part: Column, make) -> tuple[DataFrame, str]:
+    """The result of a stream through `make(write, state)`, and its state folder."""
+    base = new_folder(df.sparkSession, name)
+    on_batch = make(runs.keep_updates(f"{base}/out"), f"{base}/state")
+    runs.drain(in_batches(df, f"{name}_in", part), on_batch, f"{base}/checkpoint")
+    return df.sparkSession.read.parquet(f"{base}/out").drop("batch"), f"{base}/state"
+
+
+def _count_window_stream(spark, folder, size, slide):
+    e = _slim(spark, folder)
+    out, _ = _carried(e, "count_windows", uneven(e, "event_id"), lambda write, state: cr.count_window_batches(
+        ["event_id"], size, SUM_VALUE, write, state, slide))
+    return plain(out, "total")
+
+
+@query(_counted(5, 5))
+def stream_count_tumbling(spark, folder):
+    return _count_window_stream(spark, folder, 5, 5)
+
+
+@query(_counted(5, 2))
+def stream_count_sliding(spark, folder):
+    return _count_window_stream(spark, folder, 5, 2)
+
+
+@query(_counted(3, 4))
+def stream_count_skipping(spark, folder):
+    return _count_window_stream(spark, folder, 3, 4)
+
+
+@query(ORACLE["window_firings"])
+def stream_window_firings(spark, folder):
+    """Every firing of every window, written when it happens; at the end the windows that still wait."""
+    e = arrivals(events(spark, folder)).withColumn("value", money("value"))
+    out, state = _carried(e, "window_firings", thirds(e, "arr"), lambda write, state: cr.firing_batches(
+        "ts", "value", ["arr", "event_id"], RULE, write, state, ["event_type"]))
+    return plain(out.unionByName(cr.open_windows(spark, state, ["event_type"])), "total")
+
+
+@query(ORACLE["asof_dim"])
+def stream_asof_dim(spark, folder):
+    """Log rows with the version of their user known when they came in; rows and versions come mixed."""
+    e = _slim(spark, folder)
+    out, _ = _carried(e, "asof_dim", uneven(e, "event_id"), lambda write, state: cr.asof_batches(
+        F.col("event_type") == "signup", ["user_id"], ["event_id"], {"signup_value": "value"}, write, state, {"signup_value": -1.0}))
+    return out.select("event_id", "user_id", "event_type", "signup_value")
+
+
+@query(ORACLE["ttl_count"])
+def stream_ttl_count(spark, folder):
+    """Count per user that starts again after a day without a row, in event time."""
+    e = tables.with_instants(events(spark, folder), "ts").select("event_id", "user_id", "ts")
+    part = thirds(e.withColumn("at", F.unix_seconds("ts")), "at")
+    out, _ = _carried(e.withColumn("at", F.unix_seconds("ts")), "ttl_count", part, lambda write, state: cr.expiring_batches(
+        ["user_id"], "ts", "1 day", write, state, tie=["event_id"]))
+    return out.select("event_id", "user_id", "running_count")
