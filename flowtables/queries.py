@@ -1174,3 +1174,22 @@ def stream_ttl_count(spark, folder):
     out, _ = _carried(e.withColumn("at", F.unix_seconds("ts")), "ttl_count", part, lambda write, state: cr.expiring_batches(
         ["user_id"], "ts", "1 day", write, state, tie=["event_id"]))
     return out.select("event_id", "user_id", "running_count")
+
+
+def _session_stream(spark, folder, gap, keys):
+    """Events that come up to two hours out of order."""
+    e = arrivals(tables.with_instants(events(spark, folder), "ts")).select("event_id", "user_id", "ts", "value", "arr")
+    out, state = _carried(e, "sessions", uneven(e, "arr"), lambda write, state: cr.session_batches(
+        "ts", gap, SUM_VALUE, write, state, keys, "2 hours"))
+    return plain(out.unionByName(cr.open_sessions(spark, state, gap, SUM_VALUE, keys)), "total")
+
+
+@query(ORACLE["session_sum"])
+def stream_session_sum(spark, folder):
+    return _session_stream(spark, folder, "60 minutes", ["user_id"])
+
+
+@query(ORACLE["session_all"])
+def stream_session_all(spark, folder):
+    """Sessions without a key: open ones meet the batch's at their edges, in pieces."""
+    return _session_stream(spark, folder, "5 minutes", [])

@@ -9,7 +9,7 @@ than the one a repeated batch needs are removed.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +23,9 @@ from flowtables.operators.count_windows import numbered_windows
 from flowtables.operators.joins import asof_lookup
 from flowtables.operators.late import LATE, REFIRE, Lateness, classify
 from flowtables.operators.running import expiring_sum
+from flowtables.operators.windows import session_agg
 from flowtables.plans import scan as s
-from flowtables.plans.chunks import Split
+from flowtables.plans.chunks import CHUNK, Split, ordered_chunks
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -146,9 +147,7 @@ def firing_batches(ts: str, value: str, arrival: Sequence[str], rule: Lateness,
 
 def open_windows(spark: SparkSession, state: str, keys: Sequence[str] = (), out: str = "total") -> DataFrame:
     """Windows that `firing_batches` holds and that have not fired, as the firing 0 they would have now."""
-    held = spark.read.parquet(f"{state}/windows")
-    newest = held.agg(F.max("batch")).first()[0]
-    waiting = held.where((F.col("batch") == newest) & ~F.col("fired") & (F.col("n_first") > 0))
+    waiting = _newest(spark, state, "windows").where(~F.col("fired") & (F.col("n_first") > 0))
     return waiting.select(*keys, "window_start", "window_end", F.lit(0).cast("long").alias("firing"), F.col("first_total").alias(out))
 
 
@@ -214,3 +213,68 @@ def expiring_batches(keys: Sequence[str], ts: str, ttl: str, write: OnBatch, sta
             if results is not None:
                 results.unpersist()
     return on_batch
+
+
+def session_batches(ts: str, gap: str, measures: Measures, write: OnBatch, state: str, keys: Sequence[str] = (),
+                    bound: str = "0 seconds", late: OnBatch | None = None, split: Split = Split()) -> OnBatch:
+    """Sessions of a stream (`operators.windows.session_agg`), with keys or without, written when they are over.
+
+    A batch's sessions, cut into pieces as those of bounded input, are joined with the open ones that the carry holds; a row that
+    comes out of order can extend one at either end or make one of two. A session is over when the highest event time is more
+    than `gap` and `bound` past its last row. Rows that lie as far behind when their batch begins are late: they go to `late`,
+    if given, and into no session. Rows without a time are left out. `open_sessions` lists what is not over when the input ends.
+    """
+    keys, width, reach = list(keys), micros(gap), micros(gap) + micros(bound)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        carry, clock = Carry(batch.sparkSession, state), T.StructType.fromDDL("seen long")
+        batch = batch.persist()
+        merged = None
+        try:
+            seen = carry.before("clock", batch_id, clock).agg(F.max("seen")).first()[0]
+            too_late = F.coalesce(epoch_micros(ts) + reach < F.lit(seen).cast("long"), F.lit(False))
+            if late:
+                late(batch.where(too_late), batch_id)
+            found = session_agg(batch.where(~too_late), ts, gap, measures, keys, split=split)
+            mine = found.select(*keys, epoch_micros("window_start").alias("__first"),
+                                (epoch_micros("window_end") - width).alias("__last"), *measures)
+            both = mine.unionByName(carry.before("sessions", batch_id, mine.schema))
+
+            def together(rows: DataFrame, *by: str) -> DataFrame:
+                whole = [m.again(n).cast(mine.schema[n].dataType).alias(n) for n, m in measures.items()]
+                return rows.groupBy(*keys, *by).agg(*[F.min("__first").alias("__first")] * ("__first" not in by),
+                                                    F.max("__last").alias("__last"), *whole)
+
+            # One session per start, so the order is unique; then those that reach the next are joined.
+            chunked = s.scan_chunked(ordered_chunks(together(both, "__first"), keys, ["__first"], split),
+                                     {"__reached": s.highest("__last", before=True)})
+            starts = F.when(F.col("__first") - F.col("__reached") <= width, 0).otherwise(1)
+            marked = replace(chunked, df=chunked.df.withColumn("__starts", starts))
+            numbered = s.scan_chunked(marked, {"__sid": s.total("__starts")}).df.drop(CHUNK)
+            merged = together(numbered, "__sid").select(*mine.columns).persist()
+            highest = batch.agg(F.greatest(F.max(epoch_micros(ts)), F.lit(seen).cast("long")).alias("seen")).first()[0]
+            over = F.coalesce(F.col("__last") + reach < F.lit(highest).cast("long"), F.lit(False))
+            write(_windows(merged.where(over), keys, width, measures), batch_id)
+            carry.leave("sessions", batch_id, merged.where(~over))
+            carry.leave("clock", batch_id, batch.sparkSession.createDataFrame([(highest,)], clock))
+        finally:
+            batch.unpersist()
+            if merged is not None:
+                merged.unpersist()
+    return on_batch
+
+
+def _windows(sessions: DataFrame, keys: Sequence[str], width: int, measures: Measures) -> DataFrame:
+    return sessions.select(*keys, F.timestamp_micros("__first").alias("window_start"),
+                           F.timestamp_micros(F.col("__last") + width).alias("window_end"), *measures)
+
+
+def open_sessions(spark: SparkSession, state: str, gap: str, measures: Measures, keys: Sequence[str] = ()) -> DataFrame:
+    """Sessions that `session_batches` holds and that may still go on, as they are now."""
+    return _windows(_newest(spark, state, "sessions"), keys, micros(gap), measures)
+
+
+def _newest(spark: SparkSession, state: str, name: str) -> DataFrame:
+    """The carry of the last batch, which the clock's newest row names; a carry without rows has no batch number."""
+    newest = spark.read.parquet(f"{state}/clock").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{state}/{name}/batch={newest}")

@@ -12,6 +12,7 @@ from flowtables.operators import count_windows as cw
 from flowtables.operators import joins as jn
 from flowtables.operators import late as lt
 from flowtables.operators import running as rn
+from flowtables.operators import windows as wn
 from flowtables.operators.aggregates import Measure
 from flowtables.streaming import carried as cr
 
@@ -91,3 +92,28 @@ def test_expiring_sums(spark, tmp_path, batches):
     last = {k: max(r[2] for r in rows if r[1] == k) for k in ("a", "b", None)}
     live = {k for k, t in last.items() if t + dt.timedelta(minutes=2) > max(last.values())}
     assert {r.k for r in spark.read.parquet(f"{state}/live/batch={batches - 1}").collect()} == live
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("batches", [1, 5])
+def test_sessions(spark, tmp_path, batches, keys):
+    rows, measures = sample(seed=2), {"total": Measure("sum", "v"), "n": Measure("count", "id")}
+    got, state = run(spark, tmp_path, rows, batches, lambda write, state: cr.session_batches(
+        "ts", "45 seconds", measures, write, state, keys, "15 minutes"))
+    open_ = cr.open_sessions(spark, state, "45 seconds", measures, keys)
+    want = wn.session_agg(spark.createDataFrame(rows, KIND), "ts", "45 seconds", measures, keys)
+    assert sorted(got + [tuple(r) for r in open_.collect()], key=str) == sorted((tuple(r) for r in want.select(open_.columns).collect()), key=str)
+    assert got and open_.count() < want.count()
+
+
+def test_late_rows_of_sessions_join_or_go(spark, tmp_path):
+    def at(second):
+        return START + dt.timedelta(seconds=second)
+
+    out, late = [], []
+    on_batch = cr.session_batches("ts", "10 seconds", {"n": Measure("count", "id")}, lambda df, _: out.append(df.collect()),
+                                  str(tmp_path / "s"), bound="20 seconds", late=lambda df, _: late.extend(r.id for r in df.collect()))
+    for i, seconds in enumerate([[0, 15, 30], [8, 22], [100], [60, 71]]):
+        on_batch(spark.createDataFrame([(s, "a", at(s), None) for s in seconds], KIND), i)
+    assert [[(r.window_start, r.window_end, r.n) for r in part] for part in out] == [[], [], [(at(0), at(40), 5)], []]
+    assert late == [60] and cr.open_sessions(spark, str(tmp_path / "s"), "10 seconds", {"n": Measure("count", "id")}).count() == 2
