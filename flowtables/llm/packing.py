@@ -28,7 +28,7 @@ from tokenizers import Tokenizer
 from flowtables.llm.common import mapped, prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
-CACHED = 600_000  # words after which a worker forgets those it has not met again since the last time
+CACHED = 900_000  # words after which a worker forgets those it has not met again since the last time
 _workers: dict[str, Encoder] = {}
 
 
@@ -81,14 +81,13 @@ class Encoder:
 
     def _learn(self, new: set[str], known: dict[str, bytes], prefix: str) -> None:
         # After another mark a mark belongs to that one's unit, so only those after a letter or digit stand for themselves.
-        stems = {w: s if (s := w.rstrip(self.MARKS)) and s[-1].isalnum() else w for w in new}
-        bare = list(set(stems.values()) - known.keys())
+        marked = {w: stem for w in new if (stem := w.rstrip(self.MARKS)) != w and stem and stem[-1].isalnum()}
+        bare = list((new - marked.keys()) | (set(marked.values()) - known.keys()))
         if bare:
             known.update(zip(bare, self._ids(bare, prefix), strict=True))
-        marks = list({w[len(s):] for w, s in stems.items()} - {""})
+        marks = list({w[len(stem):] for w, stem in marked.items()})
         ends = dict(zip(marks, self._ids(marks, ""), strict=True)) if marks else {}
-        ends[""] = b""
-        for word, stem in stems.items():
+        for word, stem in marked.items():
             known[word] = known[stem] + ends[word[len(stem):]]
 
     def _looked_up(self, lists: list[list[str]], memory: Memory, prefix: str) -> list[list[bytes]]:
