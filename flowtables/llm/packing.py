@@ -94,14 +94,16 @@ class Encoder:
         """The ids of every word of the lists; what isn't known yet is learned at once for all of them."""
         known = memory.recent
         found = [list(map(known.get, words, repeat(b""))) for words in lists]
-        holes = [i for i, ids in enumerate(found) if not all(ids)]  # no word has no ids
-        missing = {w for i in holes for w, ids in zip(lists[i], found[i], strict=True) if not ids}
+        # No word has no ids; where a list has holes, these are looked at alone.
+        holes = [(words, ids, [i for i, x in enumerate(ids) if not x]) for words, ids in zip(lists, found, strict=True) if not all(ids)]
+        missing = {words[i] for words, _, at in holes for i in at}
         again = missing & memory.older.keys()
         known.update(zip(again, map(memory.older.__getitem__, again), strict=True))
         if missing := missing - again:
             self._learn(missing, known, prefix)
-        for i in holes:
-            found[i] = [ids or known[w] for w, ids in zip(lists[i], found[i], strict=True)]
+        for words, ids, at in holes:
+            for i in at:
+                ids[i] = known[words[i]]
         if len(known) > CACHED:
             memory.older, memory.recent = known, {}
         return found
