@@ -23,7 +23,7 @@ from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables import schemas
 from flowtables.sources import files, records, tables
-from flowtables.streaming import carried as cr, running as sr, runs, state, windows as sw
+from flowtables.streaming import carried as cr, running as sr, runs, state, timers, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1105,10 +1105,63 @@ def stream_cancel_unpaid(spark, folder):
     status = F.when(F.col("o_orderstatus") == "O", to.UNPAID).otherwise(F.col("o_orderstatus"))
     stream = tables.parquet_stream(spark, folder, "orders", o.schema).select(
         "o_orderkey", status.alias("o_orderstatus"), F.col("o_orderdate").cast("timestamp"))
-    out = state.stream_cancel_unpaid(stream, "o_orderkey", "o_orderdate", "o_orderstatus")
+    out = timers.stream_cancel_unpaid(stream, "o_orderkey", "o_orderdate", "o_orderstatus")
     return runs.result_table(out, "cancel_unpaid").drop("o_orderdate")
 
 
+# Payments: of every third open order ten days after its date, of every other third forty days after it.
+_PAID = ((0, 10), (1, 40))
+
+
+@query(f"""WITH r AS (SELECT o_orderkey, o_orderdate AS placed, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE 'done' END AS state
+FROM orders {' '.join(f"UNION ALL SELECT o_orderkey, o_orderdate + INTERVAL {days} DAY, 'paid' FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 3 = {rest}"
+                      for rest, days in _PAID)})
+SELECT o_orderkey, strftime(placed, '%Y-%m-%d') AS placed FROM r WHERE state = 'open'
+AND NOT EXISTS (SELECT 1 FROM r c WHERE c.o_orderkey = r.o_orderkey AND c.placed > r.placed AND c.placed <= r.placed + INTERVAL 708 HOUR)
+AND r.placed + INTERVAL 708 HOUR <= (SELECT max(placed) FROM r) - INTERVAL {DISORDER} DAY""")
+def stream_overdue(spark, folder):
+    """Orders without a payment by noon of the thirtieth day; rows come in several batches and out of order."""
+    o = load(spark, folder, "orders")
+    rows = o.select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("placed"),
+                    F.when(F.col("o_orderstatus") == "O", "open").otherwise("done").alias("state"))
+    for rest, days in _PAID:
+        paid = rows.where((F.col("state") == "open") & (F.col("o_orderkey") % 3 == rest))
+        rows = rows.unionByName(paid.withColumns({"placed": tm.shift("placed", f"{days} days"), "state": F.lit("paid")}))
+    dealt = rows.withColumn("day", F.unix_date(F.col("placed").cast("date")) + F.pmod(F.xxhash64("o_orderkey", "state"), F.lit(DISORDER)).cast("int"))
+    stream = in_batches(dealt, "payments_in", thirds(dealt, "day")).drop("day")
+    out = timers.overdue(stream, ["o_orderkey"], "placed", F.col("state") == "open", "708 hours", f"{DISORDER} days")
+    return runs.result_table(out, "overdue").select("o_orderkey", tm.to_text("placed", "yyyy-MM-dd").alias("placed"))
+
+
+@query(f"""WITH {_ORDER_PARTS}, closed AS (SELECT least((SELECT max(o_orderdate) FROM o), (SELECT max(l_shipdate) FROM d))
+  - INTERVAL {DISORDER} DAY AS until)
+SELECT o.order_id, o_custkey, o_totalprice, {_DATES}, detail_id, goods_name,
+coalesce(goods_number, 0) AS goods_number, coalesce(detail_money, 0) AS detail_money,
+{_at(_W_ORDER)} AS window_start, {_at(_W_ORDER + f' + {90 * DAY}')} AS window_end
+FROM o LEFT JOIN d ON o.order_id = d.order_id AND {_W_ORDER} = {_W_DETAIL}
+WHERE d.order_id IS NOT NULL OR make_timestamp({_W_ORDER + f' + {90 * DAY}'}) <= (SELECT until FROM closed)""")
+def stream_window_cogroup(spark, folder):
+    """Left co-group of two streams: pairs at once, orders without a detail when the watermark has closed their window."""
+    main, detail = _order_streams(spark, folder)
+    out = jn.window_cogroup(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "90 days",
+                            {"goods_number": 0.0, "detail_money": 0.0})
+    return plain(_dates(runs.result_table(out, "window_cogroup")))
+
+
+REPEATED = 20 * 3600  # seconds within which a record is delivered again
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_deduplicated(spark, folder):
+    """Events of which every second one is delivered twice, the repeat in any later batch within the bound."""
+    e = arrivals(tables.with_instants(events(spark, folder), "ts")).select("event_id", "user_id", "event_type", "ts", "arr")
+    again = e.where("event_id % 2 = 0").withColumn("arr", F.col("arr") + F.pmod(F.xxhash64("event_id"), F.lit(REPEATED)))
+    both = e.unionByName(again)
+    # A day covers the two hours of disorder and the repeats' delay.
+    stream = in_batches(both, "delivered_in", thirds(both, "arr")).drop("arr")
+    return runs.result_table(sw.without_repeats(stream, ["event_id"], "ts", "1 day"), "deduplicated").drop("ts")
+
+
 # --- streams with a carry from batch to batch -----------------------------------------------------------------------
 
 def uneven(df: DataFrame, column: str, batches: int = BATCHES) -> Column:

@@ -1,4 +1,4 @@
-"""Keyed state on streams: running values with a time to live, and order timeouts.
+"""Keyed state on streams: running values with a time to live.
 
 State is held per key in the RocksDB store, which these functions choose for the session. Running values without a time to
 live need no such store and no task per key: see `streaming.running`. With one, all rows of a key in a micro-batch are one
@@ -14,13 +14,12 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from flowtables.functions.times import micros
-from flowtables.operators.timeouts import CANCELLED, UNPAID, deadline
 from flowtables.session import use_state_store
 
 # Workers get the processors themselves, not their import path: the package need not be installed there.
@@ -94,58 +93,3 @@ def stream_running_count(stream: DataFrame, keys: Sequence[str], ttl: str, out:
 def stream_running_max(stream: DataFrame, keys: Sequence[str], value: str, ttl: str, out: str = "running_max",
                        order: Sequence[str] = ()) -> DataFrame:
     return _running(stream, "max", keys, value, out, order, ttl)
-
-
-class _UnpaidOrders(StatefulProcessor):
-    """Passes orders through and adds a cancelled copy of those still unpaid at their deadline.
-
-    Orders have a row or two each, so this one works on rows: a frame per order would cost more than its content.
-    Every call to the state or the timers is a round trip to the JVM; it makes no more of them than needed.
-    """
-
-    def __init__(self, state_schema: T.StructType, names: list[str], ts: str, status: str):
-        self.state_schema, self.names, self.ts, self.status = state_schema, names, ts, status
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.order = handle.getValueState("order", self.state_schema)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        last = None
-        for row in rows:
-            if last is None or row[self.ts] >= last[self.ts]:
-                last = row
-            yield Row(**{n: row[n] for n in self.names})
-        if last is None:
-            return
-        waiting = self.order.exists()
-        if waiting:
-            self.handle.deleteTimer(self.order.get()[-1])
-        if last[self.status] == UNPAID:
-            self.order.update(tuple(last[n] for n in self.state_schema.names))
-            self.handle.registerTimer(last["__due"])
-        elif waiting:
-            self.order.clear()
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        if self.order.exists():
-            held = dict(zip(self.state_schema.names, self.order.get(), strict=True))
-            held[self.status] = CANCELLED
-            self.order.clear()
-            yield Row(**{n: held[n] for n in self.names})
-
-    def close(self) -> None:
-        pass
-
-
-def stream_cancel_unpaid(stream: DataFrame, order_id: str = "order_id", ordered_at: str = "order_time",
-                         status: str = "order_status", wait: str = "15 seconds", bound: str = "0 seconds") -> DataFrame:
-    """All orders, and a second row with status `取消` for every order unpaid `wait` after its order time.
-
-    Time is event time: `ordered_at` must be a timestamp, and later rows of an order (its payments) carry theirs.
-    Write the result by key, so that the second row replaces the first.
-    """
-    use_state_store(stream.sparkSession)
-    marked = stream.withWatermark(ordered_at, bound).withColumn("__due", F.unix_millis(deadline(ordered_at, wait)))
-    processor = _UnpaidOrders(marked.schema, stream.columns, ordered_at, status)
-    return marked.groupBy(order_id).transformWithState(processor, stream.schema, "append", "EventTime")

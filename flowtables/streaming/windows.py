@@ -64,3 +64,13 @@ def enrich_batches(read_dimension: Callable[[], DataFrame], on: Sequence[str], o
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         write(newest_lookup_join(batch, read_dimension(), on, order, defaults, limit), batch_id)
     return on_batch
+
+
+def without_repeats(stream: DataFrame, ids: Sequence[str], ts: str, bound: str = "0 seconds") -> DataFrame:
+    """Each record once, however often and in what order it was delivered: the reader's side of an at-least-once sink.
+
+    A record is known by `ids` for `bound` after its time, which is as long as a row may be behind the highest event
+    time. A repeat has the time of its first delivery, so one that comes later still is too late and left out as such.
+    State therefore holds the ids of the last `bound` only. NULL ids are equal to each other.
+    """
+    return stream.withWatermark(ts, f"{micros(bound)} microseconds").dropDuplicatesWithinWatermark(list(ids))

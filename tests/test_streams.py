@@ -1,5 +1,8 @@
 """Streams of files: the result must be that of the bounded form."""
 
+import datetime as dt
+import os
+import random
 import time
 
 import pytest
@@ -18,7 +21,7 @@ from flowtables.operators.aggregates import Measure
 from flowtables.sinks import files as fs
 from flowtables.sources import files, records
 from flowtables.plans.chunks import Split
-from flowtables.streaming import runs, running, state
+from flowtables.streaming import runs, running, state, timers
 from flowtables.streaming import windows as sw
 
 
@@ -238,7 +241,7 @@ def test_unpaid_orders_are_cancelled(spark, text_files, tmp_path):
     text_files("o4,u,2022-08-06 15:08:05.000,已付款,4.0")
     stream = records.parse_delimited(files.line_stream(spark, folder, 1), sc.PAY_ORDER)
     stream = stream.withColumn("order_time", F.to_timestamp("order_time"))
-    out = runs.drain_to_files(state.stream_cancel_unpaid(stream), f"{tmp_path}/o", f"{tmp_path}/c")
+    out = runs.drain_to_files(timers.stream_cancel_unpaid(stream), f"{tmp_path}/o", f"{tmp_path}/c")
     assert tuples(out.where(F.col("order_status") == to.CANCELLED), "order_id", "order_amount") == [("o1", 11.2)]
     assert tuples(out.where(F.col("order_status") != to.CANCELLED), "order_id") == [
         ("o1",), ("o2",), ("o2",), ("o3",), ("o4",)]
@@ -284,3 +287,89 @@ def test_windows_fire_before_they_are_complete(spark, text_files, tmp_path):
         query.stop()
     totals = spark.read.parquet(f"{tmp_path}/o").where("total is not null")
     assert sorted(r.total for r in totals.collect()) == [3, 7]
+
+
+START, RECORD = dt.datetime(2024, 1, 1), "id long, k string, at timestamp, open boolean"
+
+
+def recorded(n=120, seed=3):
+    r, at, rows = random.Random(seed), 0, []
+    for i in range(n):
+        at += r.choice([0, 1, 4, 9])
+        rows.append((i, r.choice(["a", "b", "c", "d", None]), START + dt.timedelta(seconds=max(0, at - r.choice([0, 0, 5, 15]))),
+                     r.choice([True, True, False, None])))
+    return rows
+
+
+def in_parts(spark, tmp_path, rows, parts, kind=RECORD):
+    """The rows as a stream of `parts` batches."""
+    folder = f"{tmp_path}/in-{parts}-{len(os.listdir(tmp_path))}"
+    cuts = [len(rows) * i // parts for i in range(parts + 1)]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        spark.createDataFrame(rows[a:b], kind).coalesce(1).write.mode("append").parquet(folder)
+        for name in os.listdir(folder):
+            if os.path.getmtime(f"{folder}/{name}") > START.timestamp() + 100_000:
+                os.utime(f"{folder}/{name}", (START.timestamp() + i, START.timestamp() + i))
+    return spark.readStream.schema(spark.createDataFrame([], kind).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@pytest.mark.parametrize("order", [[], ["id"]])
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_overdue_rows(spark, tmp_path, parts, order):
+    rows, wait, bound = recorded(), dt.timedelta(seconds=10), dt.timedelta(seconds=15)
+    # The last rows are not open and have no key; the clock goes by them all the same.
+    rows += [(len(rows), None, rows[-1][2] + dt.timedelta(seconds=60), False)]
+    out = timers.overdue(in_parts(spark, tmp_path, rows, parts), ["k"], "at", F.col("open"), "10 seconds", "15 seconds", order)
+    got = tuples(runs.drain_to_files(out, f"{tmp_path}/o", f"{tmp_path}/c"), "id")
+    seen = max(x[2] for x in rows) - bound
+
+    def follows(x, y):
+        if y[2] == x[2]:
+            return y[0] > x[0] if order else not y[3]
+        return x[2] < y[2] <= x[2] + wait
+
+    want = [(x[0],) for x in rows if x[3] and x[2] + wait < seen
+            and not (x[1] is not None and any(follows(x, y) for y in rows if y[1] == x[1]))]
+    assert len(want) > 5
+    # At the last watermark itself Spark may wait for one more batch.
+    last = {(x[0],) for x in rows if x[2] + wait == seen}
+    assert [x for x in got if x not in last] == want
+
+
+def test_deadlines_run_no_python(spark, tmp_path, capsys):
+    stream = in_parts(spark, tmp_path, recorded(), 2).withColumn("s", F.when(F.col("open"), to.UNPAID).otherwise("x"))
+    timers.stream_cancel_unpaid(stream, "k", "at", "s").explain()
+    plan = capsys.readouterr().out
+    assert "StreamingSymmetricHashJoin" in plan and "Python" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_left_cogroup_of_streams(spark, tmp_path, parts):
+    rows = recorded()
+    left = spark.createDataFrame([x for x in rows if x[3]], RECORD).select("id", "k", F.col("at").alias("lt"))
+    right = spark.createDataFrame([x for x in rows if x[3] is False], RECORD).select(F.col("id").alias("rid"), "k", F.col("at").alias("rt"))
+    want = jn.window_cogroup(left, right, ["k"], "lt", "rt", "10 seconds", {"rid": -1})
+    a = in_parts(spark, tmp_path, [x for x in rows if x[3]], parts).select("id", "k", F.col("at").alias("lt"))
+    b = in_parts(spark, tmp_path, [x for x in rows if x[3] is False], parts).select(F.col("id").alias("rid"), "k", F.col("at").alias("rt"))
+    # Both inputs are out of order, and cut at different times.
+    out = jn.window_cogroup(a.withWatermark("lt", "200 seconds"), b.withWatermark("rt", "200 seconds"), ["k"], "lt", "rt",
+                            "10 seconds", {"rid": -1})
+    done = runs.drain_to_files(out, f"{tmp_path}/o", f"{tmp_path}/c").select("id", "k", "rid", "window_start").collect()
+    got = sorted(map(tuple, done), key=str)
+    # Rows without a key can't have a partner, and Spark drops them before they move the watermark.
+    ends = min(max(x[2] for x in rows if x[3]), max(x[2] for x in rows if x[3] is False and x[1])) - dt.timedelta(seconds=200)
+    closed = [tuple(r) for r in want.select("id", "k", "rid", "window_start", "window_end").collect()]
+    assert any(x[2] == -1 and x[4] <= ends for x in closed) and any(x[2] == -1 and x[4] > ends for x in closed)
+    assert got == sorted((x[:4] for x in closed if x[2] != -1 or x[4] <= ends), key=str)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_repeated_deliveries(spark, tmp_path, parts):
+    rows = [x for x in recorded() if x[0] % 7]
+    r = random.Random(parts)
+    delivered = sorted([(i, x) for i, x in enumerate(rows)] + [(i + r.randrange(40), x) for i, x in enumerate(rows) if x[0] % 2],
+                       key=lambda p: p[0])
+    stream = in_parts(spark, tmp_path, [x for _, x in delivered], parts)
+    out = sw.without_repeats(stream, ["id", "k"], "at", "500 seconds")
+    got = runs.drain_to_files(out, f"{tmp_path}/o", f"{tmp_path}/c")
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
