@@ -8,13 +8,13 @@ compared with a few lines picked from their bucket, and those which even then ar
 between components that a bucket holds is found.
 One line per component stays, the first by (doc_id, position).
 
-Whole texts are shuffled for three purposes: to hash each distinct line once, to compare candidates, to rebuild the documents.
-Everything between works on 64-bit hashes of lines and on positions.
+Whole texts are shuffled for three purposes: to hash each distinct line once, to cut those that share a bucket into a set of
+shingle hashes, to rebuild the documents. Pairs compare such sets, and only ones of like size; everything else works on 64-bit
+hashes of lines and on positions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -78,21 +78,18 @@ def _shingles(line: str, fuzzy: Fuzzy) -> Column:
     return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line, size of its set)."""
-    left = texts.select(F.col("key").alias("a"), F.col("line").alias("la"), F.col("size").alias("na"))
-    right = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"), F.col("size").alias("nb"))
+def _alike(m: str, n: str, least: float) -> Column:
+    """The smaller set's share of the larger bounds the similarity, so sets that are too unlike in size need not meet."""
+    return F.least(m, n) >= least * F.greatest(m, n) - 1e-9
 
-    def close(p: Column) -> Column:
-        shared, all_ = F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"])
-        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
 
-    # As the item of an array the sets have a name, and are not computed anew for every use.
-    sets = F.array(F.struct(_shingles("la", fuzzy).alias("a"), _shingles("lb", fuzzy).alias("b")))
-    # The smaller set's share of the larger bounds the similarity, so most unlike lines are never cut into shingles.
-    may = F.least("na", "nb") >= fuzzy.least * F.greatest("na", "nb") - 1e-9
-    return pairs.join(left, "a").join(right, "b").where(
-        may & F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
+def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `sets` has (key, hashes)."""
+    left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("hb"))
+    shared, all_ = F.size(F.array_intersect("ha", "hb")), F.size("ha") + F.size("hb")
+    # shared / (all - shared) >= least
+    return pairs.join(left, "a").join(right, "b").where(shared * (1 + least) >= least * all_ - 1e-9).select(*pairs.columns)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -101,11 +98,13 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     members = bucketed(banded)
     discarded(banded)
     needed = written(members.select("key").distinct(), "needed")
-    texts = written(lines.select("key", "line").join(needed.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
-                    .select("key", "line", F.size(_shingles("line", fuzzy)).alias("size")), "texts")
+    # Repeats of a line go before the join, so a common line is a row per task there.
+    texts = lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi")
+    sets = written(texts.select("key", _shingles("line", fuzzy).alias("hashes")).select(
+        "key", F.size("hashes").alias("size"), "hashes"), "sets")
     discarded(needed)
-    roots = linked(members, lambda pairs: _similar(pairs, texts, fuzzy), fuzzy.heads)
-    discarded(texts)
+    roots = linked(members, sets, fuzzy.least, fuzzy.heads)
+    discarded(sets)
     return roots
 
 
@@ -119,28 +118,31 @@ def bucketed(banded: DataFrame) -> DataFrame:
     return members
 
 
-def linked(members: DataFrame, similar: Callable[[DataFrame], DataFrame], heads: int) -> DataFrame:
-    """(node, root) of the keys that `similar` links inside their buckets; `members` is from `bucketed` and is removed.
+def linked(members: DataFrame, sets: DataFrame, least: float, heads: int) -> DataFrame:
+    """(node, root) of the keys whose sets link inside their buckets; `members` is from `bucketed` and is removed.
 
-    `similar` gets pairs (a, b and more) and returns those that are links.
+    `sets` has (key, size, hashes) of every member: its set of hashes and their number.
     """
-    stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    roots = components(similar(stars))
-    # A component is as good as one line from here on, and only buckets that hold several are looked at again.
-    parts = _still_mixed(members.select("band", "key", F.col("key").alias("part")), roots)
+    sizes = sets.select("key", "size")
+    sized = written(members.join(sizes, "key"), "sized")
     discarded(members)
+    stars = sized.where("key <> head").select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("head").alias("b")).distinct()
+    stars = stars.join(sizes.withColumnsRenamed({"key": "b", "size": "nb"}), "b").where(_alike("na", "nb", least))
+    roots = components(_similar(stars.select("a", "b"), sets, least))
+    # A component is as good as one line from here on, and only buckets that hold several are looked at again.
+    parts = _still_mixed(sized.select("band", "key", "size", F.col("key").alias("part")), roots)
+    discarded(sized)
     picked = written(parts.groupBy("band").agg(*[
-        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "part")).alias(f"h{i}") for i in range(heads)])
+        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "size", "part")).alias(f"h{i}") for i in range(heads)])
         .select("band", F.explode(F.array(*[f"h{i}" for i in range(heads)])).alias("h"))
-        .select("band", F.col("h.key").alias("b"), F.col("h.part").alias("pb")).distinct(), "picked")
+        .select("band", F.col("h.key").alias("b"), F.col("h.size").alias("nb"), F.col("h.part").alias("pb")).distinct(), "picked")
     for others in (picked, None):
-        here = parts.withColumnsRenamed({"key": "a", "part": "pa"})
+        here = parts.withColumnsRenamed({"key": "a", "size": "na", "part": "pa"})
+        apart = F.col("pa") != F.col("pb")
         if others is None:  # whatever is still apart is compared in full
-            others = parts.withColumnsRenamed({"key": "b", "part": "pb"}).hint("merge")
-            met = here.join(others, "band").where("pa < pb")
-        else:
-            met = here.join(others, "band").where("pa <> pb")
-        links = similar(met.select("a", "b", "pa", "pb").distinct())
+            others, apart = parts.withColumnsRenamed({"key": "b", "size": "nb", "part": "pb"}).hint("merge"), F.col("pa") < F.col("pb")
+        met = here.join(others, "band").where(apart & _alike("na", "nb", least))
+        links = _similar(met.select("a", "b", "pa", "pb").distinct(), sets, least)
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         older, roots = (parts, roots), _chained(roots, united)
         parts = _still_mixed(parts, united)
@@ -150,9 +152,9 @@ def linked(members: DataFrame, similar: Callable[[DataFrame], DataFrame], heads:
 
 
 def _still_mixed(parts: DataFrame, united: DataFrame) -> DataFrame:
-    """(band, key, part) with parts replaced by their components, of the bands that hold several."""
+    """(band, key, size, part) with parts replaced by their components, of the bands that hold several."""
     moved = written(parts.join(united.select(F.col("node").alias("part"), "root"), "part", "left").select(
-        "band", "key", F.coalesce("root", "part").alias("part")), "parts")
+        "band", "key", "size", F.coalesce("root", "part").alias("part")), "parts")
     mixed = written(moved.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
                     .select("band"), "mixed")
     out = written(moved.join(mixed, "band", "left_semi"), "parts")
