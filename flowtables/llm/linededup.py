@@ -8,13 +8,14 @@ compared with a few lines picked from their bucket, and those which even then ar
 between components that a bucket holds is found.
 One line per component stays, the first by (doc_id, position).
 
-Whole texts are shuffled for three purposes: to hash each distinct line once, to cut those that share a bucket into a set of
-shingle hashes, to rebuild the documents. Pairs compare such sets, and only ones of like size; everything else works on 64-bit
-hashes of lines and on positions.
+Whole texts are shuffled for three purposes: to hash each distinct line once, to cut those that share a bucket into
+shingles, to rebuild the documents. Pairs of like size compare 16-bit codes of their shingles first, an upper bound that loses no
+link, and pairs that pass it their texts; everything else works on 64-bit hashes of lines and on positions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -83,13 +84,34 @@ def _alike(m: str, n: str, least: float) -> Column:
     return F.least(m, n) >= least * F.greatest(m, n) - 1e-9
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `sets` has (key, hashes)."""
-    left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("hb"))
-    shared, all_ = F.size(F.array_intersect("ha", "hb")), F.size("ha") + F.size("hb")
-    # shared / (all - shared) >= least
-    return pairs.join(left, "a").join(right, "b").where(shared * (1 + least) >= least * all_ - 1e-9).select(*pairs.columns)
+def _codes(hashes: str) -> Column:
+    """A set of hashes as a set of 16-bit codes, a quarter of the bytes."""
+    return F.array_distinct(F.transform(hashes, lambda x: (x % 32768).cast("short")))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
+    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line, size, codes).
+
+    Codes give an upper bound of what two sets share: hashes that meet in a code are fewer than either set has more hashes
+    than codes. Only pairs that can be similar by it are cut into shingles and compared exactly.
+    """
+    def reaches(shared: Column, all_: Column) -> Column:
+        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
+
+    left = texts.select(F.col("key").alias("a"), F.col("codes").alias("ca"), F.col("size").alias("na"))
+    right = texts.select(F.col("key").alias("b"), F.col("codes").alias("cb"), F.col("size").alias("nb"))
+    most = F.size(F.array_intersect("ca", "cb")) + F.least(F.col("na") - F.size("ca"), F.col("nb") - F.size("cb"))
+    likely = pairs.join(left, "a").join(right, "b").where(reaches(most, F.col("na") + F.col("nb"))).select(*pairs.columns)
+
+    def close(p: Column) -> Column:
+        return reaches(F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"]))
+
+    # As the item of an array the sets have a name, and are not computed anew for every use.
+    sets = F.array(F.struct(_shingles("la", fuzzy).alias("a"), _shingles("lb", fuzzy).alias("b")))
+    lines = texts.select("key", "line")
+    return likely.join(lines.withColumnsRenamed({"key": "a", "line": "la"}), "a").join(
+        lines.withColumnsRenamed({"key": "b", "line": "lb"}), "b").where(
+        F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -99,12 +121,12 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     discarded(banded)
     needed = written(members.select("key").distinct(), "needed")
     # Repeats of a line go before the join, so a common line is a row per task there.
-    texts = lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi")
-    sets = written(texts.select("key", _shingles("line", fuzzy).alias("hashes")).select(
-        "key", F.size("hashes").alias("size"), "hashes"), "sets")
+    once = lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi")
+    texts = written(once.select("key", "line", _shingles("line", fuzzy).alias("hashes")).select(
+        "key", "line", F.size("hashes").alias("size"), _codes("hashes").alias("codes")), "texts")
     discarded(needed)
-    roots = linked(members, sets, fuzzy.least, fuzzy.heads)
-    discarded(sets)
+    roots = linked(members, texts.select("key", "size"), lambda pairs: _similar(pairs, texts, fuzzy), fuzzy.least, fuzzy.heads)
+    discarded(texts)
     return roots
 
 
@@ -118,17 +140,17 @@ def bucketed(banded: DataFrame) -> DataFrame:
     return members
 
 
-def linked(members: DataFrame, sets: DataFrame, least: float, heads: int) -> DataFrame:
-    """(node, root) of the keys whose sets link inside their buckets; `members` is from `bucketed` and is removed.
+def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame], DataFrame], least: float, heads: int) -> DataFrame:
+    """(node, root) of the keys that `similar` links inside their buckets; `members` is from `bucketed` and is removed.
 
-    `sets` has (key, size, hashes) of every member: its set of hashes and their number.
+    `sizes` has (key, size) of every member's set. `similar` gets pairs (a, b and more) of sizes that allow the similarity
+    `least`, and returns those that are links.
     """
-    sizes = sets.select("key", "size")
     sized = written(members.join(sizes, "key"), "sized")
     discarded(members)
     stars = sized.where("key <> head").select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("head").alias("b")).distinct()
     stars = stars.join(sizes.withColumnsRenamed({"key": "b", "size": "nb"}), "b").where(_alike("na", "nb", least))
-    roots = components(_similar(stars.select("a", "b"), sets, least))
+    roots = components(similar(stars.select("a", "b")))
     # A component is as good as one line from here on, and only buckets that hold several are looked at again.
     parts = _still_mixed(sized.select("band", "key", "size", F.col("key").alias("part")), roots)
     discarded(sized)
@@ -142,7 +164,7 @@ def linked(members: DataFrame, sets: DataFrame, least: float, heads: int) -> Dat
         if others is None:  # whatever is still apart is compared in full
             others, apart = parts.withColumnsRenamed({"key": "b", "size": "nb", "part": "pb"}).hint("merge"), F.col("pa") < F.col("pb")
         met = here.join(others, "band").where(apart & _alike("na", "nb", least))
-        links = _similar(met.select("a", "b", "pa", "pb").distinct(), sets, least)
+        links = similar(met.select("a", "b", "pa", "pb").distinct())
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         older, roots = (parts, roots), _chained(roots, united)
         parts = _still_mixed(parts, united)
