@@ -181,3 +181,54 @@ def test_driver_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) >= 60
     assert os.path.isdir(DATA)
+
+
+def parquet_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_an_upsert_writes_in_proportion_to_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.range(100_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(0).alias("seq"))
+    keyed.upsert(path, base, ["id"], ["seq"], 4)
+    whole = parquet_bytes(f"{path}/data")
+    for n in range(1, 4):
+        before = parquet_bytes(f"{path}/data")
+        keyed.upsert(path, base.where(f"id % 10000 = {n}").withColumn("seq", F.lit(n)), ["id"], ["seq"])
+        assert parquet_bytes(f"{path}/data") - before < whole / 100
+    got = keyed.read_table(spark, path)
+    assert got.count() == got.select("id").distinct().count() == 100_000
+    assert sorted(r.seq for r in got.where("seq > 0").collect()) == [1] * 10 + [2] * 10 + [3] * 10
+
+
+def test_deltas_are_gathered_and_old_lists_go(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, v string, seq int"
+    small = keyed.Compaction(deltas=3, share=0.25)
+    keyed.upsert(path, rows([(i, "a", 0) for i in range(40)], schema), ["id"], ["seq"], 1)
+    want, shapes = {i: ("a", 0) for i in range(40)}, []
+    for n in range(1, 15):
+        batch = [(n % 5, f"b{n}", n), (100 + n, "new", n), (39, "older", -n)]
+        keyed.upsert(path, rows(batch, schema), ["id"], ["seq"], compaction=small)
+        want |= {n % 5: (f"b{n}", n), 100 + n: ("new", n)}
+        parts = keyed._state(spark, path).parts[0]
+        shapes.append((parts[0].rows, len(parts) - 1))
+        assert parts[0].base and not any(p.base for p in parts[1:]) and len(parts) <= 4
+    assert {r.id: (r.v, r.seq) for r in keyed.read_table(spark, path).collect()} == want
+    assert len({b for b, _ in shapes}) > 1 and {d for _, d in shapes} >= {0, 1, 2, 3}  # bases and deltas were merged
+    assert len([f for f in os.listdir(f"{path}/lists") if f.startswith("list=")]) == keyed.KEPT_LISTS
+    assert keyed.vacuum(spark, path) > 0
+    assert {r.id: (r.v, r.seq) for r in keyed.read_table(spark, path).collect()} == want
+    with pytest.raises(ValueError):
+        keyed.upsert(path, rows(batch, schema), ["id"], ["v"])
+    with pytest.raises(ValueError):
+        keyed.rebuild(spark, str(tmp_path / "none"), ["id"], 4)
+
+
+def test_equal_rows_of_the_later_upsert_win_from_deltas_too(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, v string, seq int"
+    keyed.upsert(path, rows([(i, "a", 1) for i in range(40)], schema), ["id"], ["seq"], 1)
+    for v in "bcd":
+        keyed.upsert(path, rows([(1, v, 1)], schema), ["id"], ["seq"])
+    keyed.upsert(path, rows([(2, "wide", 2, 0.5)], schema + ", extra double"), ["id"], ["seq"])
+    got = {r.id: (r.v, r.extra) for r in keyed.read_table(spark, path).collect()}
+    assert (got[1], got[2], got[3]) == (("d", None), ("wide", 0.5), ("a", None))
