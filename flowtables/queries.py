@@ -22,8 +22,8 @@ from flowtables.plans.chunks import Split
 from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables import schemas
-from flowtables.sources import files, records, tables
-from flowtables.streaming import carried as cr, running as sr, runs, state, timers, windows as sw
+from flowtables.sources import files, polled, records, tables
+from flowtables.streaming import carried as cr, handover, running as sr, runs, state, timers, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1067,6 +1067,37 @@ def stream_changelog(spark, folder):
     return keyed.read_table(spark, f"{base}/table", "deleted")
 
 
+@query(ORACLE["changelog_state"])
+def stream_cdc_initial(spark, folder):
+    """The same table from a snapshot at half of the log and the whole log, which repeats what the snapshot holds. It is
+    read in three batches, with a restart after the table was loaded and the first two batches were folded in."""
+    base = new_folder(spark, "cdc_initial")
+    changes = _slim(spark, folder)
+    half = changes.agg(F.floor((F.min("event_id") + F.max("event_id")) / 2)).first()[0]
+
+    def snapshot():
+        return cl.apply_changelog(changes.where(F.col("event_id") <= half), ["user_id"], ["event_id"], "event_type",
+                                  ["error"]), half
+
+    for upto in (BATCHES - 1, BATCHES):
+        log = in_batches(changes.where(thirds(changes, "event_id") < upto), "cdc_log", thirds(changes, "event_id"))
+        handover.snapshot_then_changes(spark, f"{base}/table", snapshot, log, ["user_id"], "event_id",
+                                       f"{base}/checkpoint-{upto}", "event_type", ["error"])
+    return keyed.read_table(spark, f"{base}/table", "deleted")
+
+
+@query("""SELECT event_id, event_type, event_id // 50 AS mark, CASE WHEN event_id <= high // 3 THEN 0
+WHEN event_id <= high * 2 // 3 THEN 1 ELSE 2 END AS poll FROM events, (SELECT max(event_id) AS high FROM events)""")
+def polled_table(spark, folder):
+    """A table that grows, polled three times; fifty rows share a mark and the table is cut inside of one."""
+    path = new_folder(spark, "polled")
+    rows = events(spark, folder).select("event_id", "event_type", F.floor(F.col("event_id") / 50).alias("mark"))
+    high = rows.agg(F.max("event_id")).first()[0]
+    for upto in (high // 3, high * 2 // 3, high, high):
+        polled.poll(rows.where(F.col("event_id") <= upto), path, "mark", ["event_id"])
+    return polled.polled_rows(spark, path, rows.schema).withColumn("poll", F.col("poll").cast("int"))
+
+
 @query(ORACLE["hour_buckets"])
 def stream_hour_buckets(spark, folder):
     """Files in hourly folders."""
