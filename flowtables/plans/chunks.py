@@ -13,6 +13,7 @@ a lost task agrees on it, and no row is left out.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -91,21 +92,61 @@ def _by_tree(row: Sequence[Column], types: Sequence[T.DataType], bounds: Sequenc
     return node(0, len(bounds))
 
 
-def _by_search(row: Sequence[Column], schema: T.StructType, bounds: Sequence[tuple]) -> Column:
-    value = F.struct(*row)
-    array = F.array(*[
-        F.struct(*[F.lit(v) if v is not None else F.lit(None).cast(f.dataType)
-                   for v, f in zip(bound, schema.fields, strict=True)])
-        for bound in bounds]).cast(T.ArrayType(schema))
-    steps = [1]
-    while steps[-1] * 2 <= len(bounds):
-        steps.append(steps[-1] * 2)
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]), F.lit(0),
-        lambda at, s: F.when((at + s <= len(bounds)) & (F.try_element_at(array, at + s) <= value), at + s).otherwise(at))
+def _text(field: T.StructField) -> Column:
+    """A value as text that gives back the same value; instants with their offset, as an hour may come twice in a zone."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSXXXXX")
+    return value.cast("string")
 
 
-def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple]) -> DataFrame:
+def _literal(schema: T.StructType, bounds: list, texts: list, depth: int) -> Column:
+    """Bounds, nested `depth` arrays deep, as one array of structs that is folded to a single literal.
+
+    Values go as text, as a literal per value takes seconds to build for thousands of bounds. Binary columns have no text
+    that gives them back, so they go as literals.
+    """
+    if any(isinstance(f.dataType, T.BinaryType) for f in schema.fields):
+        def built(value, level):
+            if level:
+                return F.array(*[built(v, level - 1) for v in value])
+            return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, schema.fields, strict=True)])
+        return built(bounds, depth)
+
+    def named(value, level):
+        return [named(v, level - 1) for v in value] if level else {f"c{i}": v for i, v in enumerate(value)}
+    read = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema))])
+    wanted = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    for _ in range(depth):
+        read, wanted = T.ArrayType(read), T.ArrayType(wanted)
+    return F.from_json(F.lit(json.dumps(named(texts, depth))), read).cast(wanted)
+
+
+def _counted(df: DataFrame, array: Column, size: int, out: str) -> DataFrame:
+    """How many of the array's sorted values are <= `__row`: one projection per halving, which compile with the scan."""
+    df = df.withColumn(out, F.lit(0))
+    step = 1 << (size.bit_length() - 1)
+    while step:
+        at = F.col(out) + step
+        reached = F.coalesce(F.try_element_at(array, at) <= F.col("__row"), F.lit(False))
+        df = df.withColumn(out, F.when(reached, at).otherwise(F.col(out)))
+        step //= 2
+    return df
+
+
+def _searched(df: DataFrame, schema: T.StructType, bounds: list, texts: list) -> DataFrame:
+    """Search the first bound of every run of bounds, then the run, so that all bounds are in the plan just once."""
+    width = 1 << (len(bounds).bit_length() // 2)
+    heads = _literal(schema, bounds[::width], texts[::width], 1)
+    runs = _literal(schema, *[[v[i:i + width] for i in range(0, len(v), width)] for v in (bounds, texts)], 2)
+    out = _counted(df.withColumn("__row", F.struct(*schema.names)), heads, -(-len(bounds) // width), "__run")
+    out = out.withColumn("__bounds", F.when(F.col("__run") > 0, F.try_element_at(runs, F.col("__run"))))
+    out = _counted(out, F.col("__bounds"), width, "__in_run")
+    chunk = F.greatest(F.col("__run") - 1, F.lit(0)) * width + F.col("__in_run")
+    return out.withColumn(CHUNK, chunk).drop("__row", "__run", "__bounds", "__in_run")
+
+
+def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple], texts: Sequence[tuple]) -> DataFrame:
     """Number of bounds that are <= the row.
 
     Few bounds become one decision tree, which is compiled with the scan. A tree of many bounds would be too
@@ -114,7 +155,7 @@ def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple]) ->
     row = [F.col(c) for c in schema.names]
     if len(bounds) <= TREE:
         return df.withColumn(CHUNK, _by_tree(row, [f.dataType for f in schema.fields], bounds))
-    return df.withColumn(CHUNK, _by_search(row, schema, bounds))
+    return _searched(df, schema, bounds, texts)
 
 
 def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], split: Split = Split()) -> Chunked:
@@ -137,9 +178,11 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
         return whole
 
     fraction = min(1.0, max(8, min(split.samples, MOST // wanted)) * wanted / rows)
-    sample = narrow.sample(fraction, seed=42).orderBy(*columns).collect()
+    sample = narrow.sample(fraction, seed=42).orderBy(*columns)
+    sample = sample.select("*", *[_text(f).alias(f"__t{i}") for i, f in enumerate(narrow.schema.fields)]).collect()
     every = max(1, len(sample) // wanted)
-    bounds = [tuple(row) for row in sample[every::every]]
+    picked = [tuple(row) for row in sample[every::every]]
+    bounds = [row[:len(columns)] for row in picked]
     width = len(keys)
     if width:
         # A group is large when several bounds fall into it; bounds elsewhere would cut small groups for nothing.
@@ -151,5 +194,6 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], spl
     if not bounds:
         return whole
 
-    chunked = _with_chunk(df, narrow.schema, bounds)
+    texts = {row[:len(columns)]: row[len(columns):] for row in picked}
+    chunked = _with_chunk(df, narrow.schema, bounds, [texts[b] for b in bounds])
     return Chunked(chunked, keys, order, rows, len(bounds) + 1, tuple(dict.fromkeys(b[:width] for b in bounds)))

@@ -215,3 +215,20 @@ def test_running_reduce_in_order(rows, split):
         held[k] = held.get(k, "") + (v or "-")
         want.append((seq, held[k]))
     assert tuples(out, "seq", "so_far") == want
+
+
+def test_bounds_of_all_types_are_searched_as_they_are(spark):
+    columns = {"long": "id", "timestamp": "timestamp_seconds(1729990000 + id * 1800)", "timestamp_ntz": "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id)",
+               "date": "date_add(date'1999-12-31', cast(id as int))", "decimal(20,4)": "cast(id as decimal(20,4)) / 7", "double": "id / 3.0D",
+               "string": """concat('"\\'\\n', lpad(id, 5, '0'), 'ö')""", "binary": "cast(lpad(id, 5, '0') as binary)"}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # an hour comes twice in the data
+        for kind, value in columns.items():
+            df = spark.range(600).selectExpr("id", "IF(id % 3 = 0, NULL, 'k') AS k", f"cast({value} as {kind}) AS o")
+            chunked = ordered_chunks(df, ["k"], ["o"], Split(rows=2))
+            assert chunked.chunks > 64 and set(chunked.keys_cut) == {(None,), ("k",)}
+            out = s.scan_chunked(chunked, {"n": s.row_number()}).df
+            assert all(r.n == (r.id // 3 + 1 if r.k is None else r.id - r.id // 3) for r in out.collect()), kind
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
