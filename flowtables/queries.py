@@ -23,7 +23,7 @@ from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables import schemas
 from flowtables.sources import files, polled, records, tables
-from flowtables.streaming import carried as cr, handover, running as sr, runs, state, timers, windows as sw
+from flowtables.streaming import carried as cr, handover, rolling, running as sr, runs, state, timers, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1109,6 +1109,18 @@ def stream_hour_buckets(spark, folder):
     return out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(ORACLE["hour_buckets"])
+def stream_sized_files(spark, folder):
+    """Files in hourly folders, closed by size or after an idle day; what is open at the end is closed then."""
+    base = new_folder(spark, "sized")
+    rows = events(spark, folder).select("event_id", "event_type", "ts")
+    on_batch = rolling.sized_file_batches(f"{base}/out", "ts", ["event_id", "event_type"], f"{base}/state", 64 << 10, "1 day")
+    runs.drain(in_batches(rows, "sized_in", thirds(rows, "event_id")), on_batch, f"{base}/checkpoint")
+    rolling.close_open(spark, f"{base}/out", f"{base}/state")
+    out = spark.read.schema("value string, bucket string, roll string").text(f"{base}/out")
+    return out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT user_id, event_id, event_type, coalesce(signup_value, -1) AS signup_value FROM
 (SELECT * FROM events WHERE event_type <> 'signup') e LEFT JOIN (SELECT user_id AS u, arg_max(value, event_id)
   AS signup_value FROM events WHERE event_type = 'signup' GROUP BY user_id) d ON e.user_id = d.u""")
