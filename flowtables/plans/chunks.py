@@ -143,7 +143,9 @@ def _searched(df: DataFrame, schema: T.StructType, bounds: list, texts: list) ->
     out = out.withColumn("__bounds", F.when(F.col("__run") > 0, F.try_element_at(runs, F.col("__run"))))
     out = _counted(out, F.col("__bounds"), width, "__in_run")
     chunk = F.greatest(F.col("__run") - 1, F.lit(0)) * width + F.col("__in_run")
-    return out.withColumn(CHUNK, chunk).drop("__row", "__run", "__bounds", "__in_run")
+    # Planning joins on the chunk puts projections into each other, and every halving uses the one before several times, so
+    # that thousands of bounds would fill the driver. An explode of one value is as far as planning looks.
+    return out.withColumn(CHUNK, F.explode(F.array(chunk))).drop("__row", "__run", "__bounds", "__in_run")
 
 
 def _with_chunk(df: DataFrame, schema: T.StructType, bounds: Sequence[tuple], texts: Sequence[tuple]) -> DataFrame:

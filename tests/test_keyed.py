@@ -232,3 +232,14 @@ def test_bounds_of_all_types_are_searched_as_they_are(spark):
             assert all(r.n == (r.id // 3 + 1 if r.k is None else r.id - r.id // 3) for r in out.collect()), kind
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_plans_of_thousands_of_bounds_stay_small(spark):
+    # A join on the chunk used to put every halving of the search into the next: thousands of bounds filled any driver.
+    df = spark.range(0, 12_000, 1, 4).selectExpr("id", "IF(id % 3 = 0, 'a', 'b') AS k", "id % 11 AS v")
+    split = Split(rows=3)
+    assert ordered_chunks(df, ["k"], ["id"], split).chunks > 3_000
+    cut = rn.running_sum(df, ["k"], ["id"], "v", split=split)
+    assert len(cut._jdf.queryExecution().optimizedPlan().treeString()) < 5_000_000
+    plain = rn.running_sum(df, ["k"], ["id"], "v")
+    assert cut.exceptAll(plain).isEmpty() and cut.count() == 12_000
