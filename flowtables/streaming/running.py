@@ -73,28 +73,30 @@ def reduce_batches(keys: Sequence[str], order: Sequence[str], value: str, combin
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
+        inside = None
         try:
             inside = running_reduce(batch, keys, order, value, combine, out)
-            last = F.struct(*order)
             kind = inside.schema[out].dataType
             if batch_id:
                 before = spark.read.parquet(f"{state}/batch={batch_id - 1}").select(
                     *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct("__v").alias("__c"))
                 same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)],
                               F.lit(True))
+                merged = F.when(F.col("__c").isNull(), F.col(out)).otherwise(combine(F.col("__c.__v"), F.col(out))).cast(kind)
+                # A left join: adaptive execution can split the rows of a large key, which in a full join it can't.
+                inside = inside.join(before, same, "left").select(*batch.columns, merged.alias(out))
+            inside = inside.persist()  # for the result and the carry
+            write(inside, batch_id)
+            ends = inside.groupBy(*keys).agg(F.max_by(F.struct(F.col(out).alias("__v")), F.struct(*order)).alias("__e"))
+            if batch_id:
                 # Keys without a row in this batch carry on what they had.
-                both = inside.withColumn("__here", F.lit(True)).join(before, same, "full")
-                merged = F.when(F.col("__c").isNull(), F.col(out)).when(F.col("__here").isNull(), F.col("__c.__v")).otherwise(
-                    combine(F.col("__c.__v"), F.col(out))).cast(kind)
-                inside = both.select(*[F.coalesce(k, f"__k{keys.index(k)}").alias(k) if k in keys else F.col(k)
-                                       for k in batch.columns], merged.alias(out), "__here")
-            else:
-                inside = inside.withColumn("__here", F.lit(True))
-            write(inside.where("__here").drop("__here"), batch_id)
-            ends = inside.groupBy(*keys).agg(F.max_by(out, last).alias("__v"))
-            ends.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+                ends = ends.join(before, same, "full").select(
+                    *[F.coalesce(k, f"__k{i}").alias(k) for i, k in enumerate(keys)], F.coalesce("__e", "__c").alias("__e"))
+            ends.select(*keys, "__e.__v").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         finally:
             batch.unpersist()
+            if inside is not None:
+                inside.unpersist()
     return on_batch
 
 

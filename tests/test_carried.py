@@ -15,6 +15,7 @@ from flowtables.operators import running as rn
 from flowtables.operators import windows as wn
 from flowtables.operators.aggregates import Measure
 from flowtables.streaming import carried as cr
+from flowtables.streaming import running as sr
 
 START = dt.datetime(2024, 1, 1)
 KIND = "id long, k string, ts timestamp, v decimal(10,2)"
@@ -117,3 +118,22 @@ def test_late_rows_of_sessions_join_or_go(spark, tmp_path):
         on_batch(spark.createDataFrame([(s, "a", at(s), None) for s in seconds], KIND), i)
     assert [[(r.window_start, r.window_end, r.n) for r in part] for part in out] == [[], [], [(at(0), at(40), 5)], []]
     assert late == [60] and cr.open_sessions(spark, str(tmp_path / "s"), "10 seconds", {"n": Measure("count", "id")}).count() == 2
+
+
+def test_running_folds_of_batches_split_large_keys_and_run_once(spark, tmp_path):
+    got, plans = [], []
+
+    def write(df, _):
+        plans.append(df._jdf.queryExecution().toString())
+        got.extend(map(tuple, df.collect()))
+
+    on_batch = sr.reduce_batches(["k"], ["id"], "v", lambda a, b: (a + b) % 7, write, str(tmp_path / "state"), "out")
+    rows = [(i, ["a", "b", None][i % 3 if i < 20 else 0], i) for i in range(40)]
+    for i, part in enumerate((rows[:20], rows[20:30], rows[30:])):
+        on_batch(spark.createDataFrame(part, "id long, k string, v long"), i)
+    want = [(i, k, sum(v for j, q, v in rows if q == k and j <= i) % 7) for i, k, _ in rows]
+    assert sorted(((i, k, o) for i, k, _, o in got), key=str) == sorted(want, key=str)
+    # A full join can't be split, and without a cache the fold ran for the result and again for the carry.
+    assert not any("FullOuter" in p for p in plans) and all(p.count("InMemoryRelation") for p in plans)
+    ends = spark.read.parquet(str(tmp_path / "state" / "batch=2"))
+    assert ends.count() == 3
