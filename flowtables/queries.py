@@ -23,7 +23,7 @@ from flowtables.session import new_folder
 from flowtables.sinks import external, files as file_sinks, keyed
 from flowtables import schemas
 from flowtables.sources import files, polled, records, tables
-from flowtables.streaming import carried as cr, handover, rolling, running as sr, runs, state, timers, windows as sw
+from flowtables.streaming import carried as cr, handover, paired, rolling, running as sr, runs, state, timers, windows as sw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -944,7 +944,7 @@ DISORDER = 100  # days by which the orders' rows come out of time order
 
 
 def _order_streams(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Orders and details as streams of several micro-batches, out of order by up to DISORDER days, with a bound for it."""
+    """Orders and details as streams of several micro-batches, out of order by up to DISORDER days."""
     o, d = load(spark, folder, "orders"), load(spark, folder, "lineitem")
     main = o.select(F.col("o_orderkey").alias("order_id"), "o_custkey", F.col("o_orderdate").cast("timestamp"), "o_totalprice")
     detail = d.select(
@@ -959,16 +959,24 @@ def _order_streams(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
         part = thirds(df.select(moved.alias("day")), "day")
         placed = df.withColumn("day", moved)
         stream = in_batches(placed, name, part).drop("day")
-        out.append(stream.withWatermark(ts, f"{DISORDER} days"))
+        out.append(stream)
     return out[0], out[1]
 
 
+def _paired(spark: SparkSession, left: DataFrame, right: DataFrame, name: str, make: Callable) -> DataFrame:
+    """What a function for batches of two streams (`streaming.paired`) writes until their input ends."""
+    base = new_folder(spark, name)
+    on_batch = make(runs.keep_updates(f"{base}/out"), f"{base}/state")
+    runs.drain(paired.both(left, right), on_batch, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
 @query(ORACLE["interval_join"])
 def stream_interval_join(spark, folder):
     """Join of two streams that come in several batches and out of order."""
     main, detail = _order_streams(spark, folder)
-    out = jn.interval_join(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "-1 days", "120 days")
-    return _dates(runs.result_table(out, "interval_join"))
+    return _dates(_paired(spark, main, detail, "interval_join", lambda write, state: paired.interval_batches(
+        ["order_id"], "o_orderdate", "l_shipdate", "-1 days", "120 days", write, state, *[f"{DISORDER} days"] * 2)))
 
 
 @query(ORACLE["late_rows"])
@@ -1044,8 +1052,8 @@ def stream_sliding_sum(spark, folder):
 @query(ORACLE["window_join"])
 def stream_window_join(spark, folder):
     main, detail = _order_streams(spark, folder)
-    out = jn.window_join(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "90 days")
-    return plain(_dates(runs.result_table(out, "window_join")))
+    return plain(_dates(_paired(spark, main, detail, "window_join", lambda write, state: paired.window_batches(
+        ["order_id"], "o_orderdate", "l_shipdate", "90 days", write, state, "inner", None, *[f"{DISORDER} days"] * 2))))
 
 
 @query(f"SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type ORDER BY event_id "
@@ -1172,8 +1180,10 @@ def stream_overdue(spark, folder):
         rows = rows.unionByName(paid.withColumns({"placed": tm.shift("placed", f"{days} days"), "state": F.lit("paid")}))
     dealt = rows.withColumn("day", F.unix_date(F.col("placed").cast("date")) + F.pmod(F.xxhash64("o_orderkey", "state"), F.lit(DISORDER)).cast("int"))
     stream = in_batches(dealt, "payments_in", thirds(dealt, "day")).drop("day")
-    out = timers.overdue(stream, ["o_orderkey"], "placed", F.col("state") == "open", "708 hours", f"{DISORDER} days")
-    return runs.result_table(out, "overdue").select("o_orderkey", tm.to_text("placed", "yyyy-MM-dd").alias("placed"))
+    base = new_folder(spark, "overdue")
+    runs.drain(stream, paired.overdue_batches(["o_orderkey"], "placed", F.col("state") == "open", "708 hours",
+                                              runs.keep_updates(f"{base}/out"), f"{base}/state", f"{DISORDER} days"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("o_orderkey", tm.to_text("placed", "yyyy-MM-dd").alias("placed"))
 
 
 @query(f"""WITH {_ORDER_PARTS}, closed AS (SELECT least((SELECT max(o_orderdate) FROM o), (SELECT max(l_shipdate) FROM d))
@@ -1186,9 +1196,9 @@ WHERE d.order_id IS NOT NULL OR make_timestamp({_W_ORDER + f' + {90 * DAY}'}) <=
 def stream_window_cogroup(spark, folder):
     """Left co-group of two streams: pairs at once, orders without a detail when the watermark has closed their window."""
     main, detail = _order_streams(spark, folder)
-    out = jn.window_cogroup(main, detail, ["order_id"], "o_orderdate", "l_shipdate", "90 days",
-                            {"goods_number": 0.0, "detail_money": 0.0})
-    return plain(_dates(runs.result_table(out, "window_cogroup")))
+    return plain(_dates(_paired(spark, main, detail, "window_cogroup", lambda write, state: paired.window_batches(
+        ["order_id"], "o_orderdate", "l_shipdate", "90 days", write, state, "left", {"goods_number": 0.0, "detail_money": 0.0},
+        *[f"{DISORDER} days"] * 2))))
 
 
 REPEATED = 20 * 3600  # seconds within which a record is delivered again
