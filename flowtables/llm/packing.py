@@ -15,12 +15,11 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, field
-from itertools import repeat
 from math import isqrt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -28,37 +27,38 @@ from tokenizers import Tokenizer
 from flowtables.llm.common import mapped, prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
-CACHED = 900_000  # words after which a worker forgets those it has not met again since the last time
+CACHED = 300_000  # units after which a worker forgets those it has not met again since the last time; both halves take some 130 MB
 _workers: dict[str, Encoder] = {}
 
 
-@dataclass
-class Memory:
-    """Ids of words, in two halves: when the recent one is full it becomes the older, so frequent words are kept."""
-
-    recent: dict[str, bytes] = field(default_factory=dict)
-    older: dict[str, bytes] = field(default_factory=dict)
-
-
 class Encoder:
     """Ids of whole texts by a byte-level vocabulary file, as little-endian 32-bit numbers.
 
-    A space or line break between two visible characters always begins a new unit of this kind of vocabulary, so plain
-    text can be encoded word by word and remembered, and so does a punctuation mark after a letter or digit. Other white space,
-    scripts outside Latin, Greek and Cyrillic, and the special token's string go through the tokenizer as a whole.
+    A space or line break between two visible characters always begins a new unit of this kind of vocabulary, and so does a
+    punctuation mark after a letter or digit. So plain texts are cut there, all texts of a batch at once as an array of bytes, and
+    every distinct unit is encoded once and remembered. Other white space, scripts outside Latin, Greek and Cyrillic, and the
+    special token's string go through the tokenizer as a whole.
     """
 
     PLAIN = re.compile("[\\n -~¡-ȳΑ-ΡΣ-ϿА-я‐-‧‰-⁞€]*")
     LATIN = bytes([10, *range(32, 127), *range(161, 256)])
     ODD_SPACE = ("  ", " \n", "\n ", "\n\n")
-    MARKS = ".,;:!?#$%&*|)-"  # never part of the unit that a letter or digit before them belongs to
+    MARKS = b".,;:!?#$%&*|)-"  # never part of the unit that a letter or digit before them belongs to
+    SPACE, MARK, ALNUM, LEAD, TAIL = 1, 2, 4, 8, 16
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.first, self.later = Memory(), Memory()
+        self.recent: dict[bytes, bytes] = {}  # ids of units; when it is full it becomes the older half, so frequent ones are kept
+        self.older: dict[bytes, bytes] = {}
         self.newline = self.whole("\n")
+        self.kinds = np.zeros(256, np.uint8)
+        self.kinds[[10, 32]] = self.SPACE
+        self.kinds[list(self.MARKS)] = self.MARK
+        self.kinds[[c for c in range(128) if chr(c).isalnum()]] = self.ALNUM
+        self.kinds[[0xC3, 0xD0, 0xD1]] = self.LEAD  # with these tails only letters, as the signs for times and division are left out
+        self.kinds[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = self.TAIL
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -71,56 +71,62 @@ class Encoder:
         except UnicodeEncodeError:
             return self.PLAIN.fullmatch(text) is not None
 
-    def _ids(self, words: list[str], prefix: str) -> list[bytes]:
-        """Ids of every prefixed word: one text with a line each, cut at the line breaks' ids."""
+    def _starts(self, data: np.ndarray) -> np.ndarray:
+        """Where the units of UTF-8 bytes begin; a space or line break belongs to the unit after it."""
+        kinds = self.kinds[data]
+        letter = kinds == self.ALNUM
+        letter[1:] |= (kinds[1:] == self.TAIL) & (kinds[:-1] == self.LEAD)
+        starts = kinds == self.SPACE
+        starts[1:] |= (kinds[1:] == self.MARK) & letter[:-1]
+        return np.flatnonzero(starts)
+
+    def _learned(self, units: list[bytes]) -> list[bytes]:
+        """Ids of every unit: one text with a line each, cut at the line breaks' ids."""
         ids = np.asarray(self.tokenizer.encode_batch_fast(
-            ["\n".join([prefix + w for w in words])], add_special_tokens=False)[0].ids, dtype="<u4")
+            [b"\n".join([u.lstrip(b"\n") for u in units]).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
         cuts = np.flatnonzero(ids == int.from_bytes(self.newline, "little")).tolist()
         data = ids.tobytes()
-        return [data[4 * a:4 * b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
-
-    def _learn(self, new: set[str], known: dict[str, bytes], prefix: str) -> None:
-        # After another mark a mark belongs to that one's unit, so only those after a letter or digit stand for themselves.
-        marked = {w: stem for w in new if (stem := w.rstrip(self.MARKS)) != w and stem and stem[-1].isalnum()}
-        bare = list((new - marked.keys()) | (set(marked.values()) - known.keys()))
-        if bare:
-            known.update(zip(bare, self._ids(bare, prefix), strict=True))
-        marks = list({w[len(stem):] for w, stem in marked.items()})
-        ends = dict(zip(marks, self._ids(marks, ""), strict=True)) if marks else {}
-        for word, stem in marked.items():
-            known[word] = known[stem] + ends[word[len(stem):]]
-
-    def _looked_up(self, lists: list[list[str]], memory: Memory, prefix: str) -> list[list[bytes]]:
-        """The ids of every word of the lists; what isn't known yet is learned at once for all of them."""
-        known = memory.recent
-        found = [list(map(known.get, words, repeat(b""))) for words in lists]
-        # No word has no ids; where a list has holes, these are looked at alone.
-        holes = [(words, ids, [i for i, x in enumerate(ids) if not x]) for words, ids in zip(lists, found, strict=True) if not all(ids)]
-        missing = {words[i] for words, _, at in holes for i in at}
-        again = missing & memory.older.keys()
-        known.update(zip(again, map(memory.older.__getitem__, again), strict=True))
-        if missing := missing - again:
-            self._learn(missing, known, prefix)
-        for words, ids, at in holes:
-            for i in at:
-                ids[i] = known[words[i]]
-        if len(known) > CACHED:
-            memory.older, memory.recent = known, {}
+        return [(self.newline if u[0] == 10 else b"") + data[4 * a:4 * b]
+                for u, a, b in zip(units, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
+
+    def _looked_up(self, units: list[bytes]) -> list[bytes]:
+        """The ids of every distinct unit; those not known yet are learned at once."""
+        known = self.recent
+        found = list(map(known.get, units))
+        if holes := [i for i, x in enumerate(found) if x is None]:
+            new = []
+            for i in holes:
+                found[i] = self.older.get(units[i])
+                if found[i] is None:
+                    new.append(i)
+            for i, ids in zip(new, self._learned([units[i] for i in new]) if new else (), strict=True):
+                found[i] = ids
+            known.update((units[i], found[i]) for i in holes)
+            if len(known) > CACHED:
+                self.older, self.recent = known, {}
         return found
 
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts."""
+        data = [b"\n" + t.encode() for t in texts]
+        begins = np.cumsum([0, *map(len, data)])
+        raw = b"".join(data)
+        starts = self._starts(np.frombuffer(raw, np.uint8))
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        units = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+        found = self._looked_up(units.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, codes = np.frombuffer(b"".join(found), "<u4"), units.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        firsts, n = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+        ends = np.cumsum(n)
+        out = ids[np.repeat(firsts - (ends - n), n) + np.arange(ends[-1])]
+        at = np.append((ends - n)[np.searchsorted(starts, begins[:-1])], len(out)).tolist()
+        return [out[a + 1:b].tobytes() for a, b in zip(at, at[1:])]  # without the line break put before each text
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        lines = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
-        split = [line for ls in lines if ls for line in ls]
-        first = self._looked_up([[line[0] for line in split]], self.first, "")[0]
-        later = self._looked_up([line[1:] for line in split], self.later, " ")
-        out, at = [], 0
-        for text, ls in zip(texts, lines, strict=True):
-            if ls:
-                out.append(self.newline.join([first[i] + b"".join(later[i]) for i in range(at, at + len(ls))]))
-                at += len(ls)
-            else:
-                out.append(self.whole(text))
-        return out
+        easy = [self.plain(t) for t in texts]
+        got = iter(self._encoded([t for t, e in zip(texts, easy, strict=True) if e]) if any(easy) else ())
+        return [next(got) if e else self.whole(t) for t, e in zip(texts, easy, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
@@ -129,7 +135,7 @@ def encoder(path: str) -> Encoder:
     return _workers[path]
 
 
-def _batches(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def _batches(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     start, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > chars:

@@ -215,3 +215,23 @@ def test_ids_of_random_marks_and_code_are_the_tokenizers():
     texts += ["".join(r.choices(marks, k=r.randint(1, 20))) for _ in range(6_000)]
     texts += ['He said "yes".', "see [1]: and", "f(x)[0].", '(foo("bar"));', '{"a": 1},', "</div>.", "_a_.", "`code`.", "it's, don't. x²; y³)."]
     assert tokens.encode(texts) == [tokens.whole(t) for t in texts]
+
+
+def test_a_worker_remembers_a_bounded_number_of_units(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED", 100)
+    tokens = packing.Encoder(vocabulary())
+    r = random.Random(11)
+    texts = [" ".join(f"{r.choice(('Mädchen', 'где', 'no', 'x×', 'qué'))}{r.randint(0, 400)}{r.choice(('', ',', '.).', '-a,b'))}" for _ in range(40))
+             + f"\n{i}, été, раз! 3×, ÷." for i in range(60)]
+    for part in (texts, texts[:3], *([t] for t in texts)):
+        assert tokens.encode(part) == [tokens.whole(t) for t in part]
+    sizes = [len(x) for x in vars(tokens).values() if isinstance(x, dict)]
+    assert sum(sizes) <= 2_000  # the last batch's units may go beyond the bound, and no third half stays
+
+
+def test_memory_of_units_fits_a_worker():
+    tokens, r = packing.Encoder(vocabulary()), random.Random(12)
+    for _ in range(3):  # 1.2 million distinct units
+        tokens.encode([" ".join("".join(r.choices("etaoinshrdlu", k=9)) for _ in range(400_000))])
+    held = [x for m in vars(tokens).values() for x in ([m] if isinstance(m, dict) else [v for v in getattr(m, "__dict__", {}).values() if isinstance(v, dict)])]
+    assert sum(map(len, held)) <= 900_000
