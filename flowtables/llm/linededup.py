@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from flowtables.llm.common import discarded, text_of, written
 from flowtables.llm.components import components
 
+PAIRS = 1 << 17  # pairs that are compared at once, if there are fewer lines than that
+
 
 @dataclass(frozen=True)
 class Fuzzy:
@@ -148,9 +151,12 @@ def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame],
     """
     sized = written(members.join(sizes, "key"), "sized")
     discarded(members)
+    at_once = max(PAIRS, sizes.count())
     stars = sized.where("key <> head").select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("head").alias("b")).distinct()
     stars = stars.join(sizes.withColumnsRenamed({"key": "b", "size": "nb"}), "b").where(_alike("na", "nb", least))
-    roots = components(similar(stars.select("a", "b")))
+    links = _in_parts(stars.select("a", "b"), similar, at_once)
+    roots = components(links)
+    discarded(links)
     # A component is as good as one line from here on, and only buckets that hold several are looked at again.
     parts = _still_mixed(sized.select("band", "key", "size", F.col("key").alias("part")), roots)
     discarded(sized)
@@ -164,15 +170,31 @@ def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame],
         if others is None:  # whatever is still apart is compared in full
             others, apart = parts.withColumnsRenamed({"key": "b", "size": "nb", "part": "pb"}).hint("merge"), F.col("pa") < F.col("pb")
         met = here.join(others, "band").where(apart & _alike("na", "nb", least))
-        links = similar(met.select("a", "b", "pa", "pb").distinct())
+        links = _in_parts(met.select("a", "b", "pa", "pb").distinct(), similar, at_once)
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
-        older, roots = (parts, roots), _chained(roots, united)
+        older, roots = (parts, roots, links), _chained(roots, united)
         parts = _still_mixed(parts, united)
         discarded(*older, united)
     discarded(picked, parts)
     return roots
 
 
+def _in_parts(pairs: DataFrame, similar: Callable[[DataFrame], DataFrame], at_once: int) -> DataFrame:
+    """`similar` of all pairs, about `at_once` of them in a job: what pairs carry to be compared takes no more disk at a time,
+    however many lines a bucket holds that are not quite similar."""
+    pairs = written(pairs, "pairs")
+    parts = -(-pairs.count() // at_once)
+    found = [written(similar(pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else pairs), "links")
+             for i in range(max(parts, 1))]
+    if len(found) == 1:
+        out = found[0]
+    else:
+        out = written(reduce(DataFrame.unionByName, found), "links")
+        discarded(*found)
+    discarded(pairs)
+    return out
+
+
 def _still_mixed(parts: DataFrame, united: DataFrame) -> DataFrame:
     """(band, key, size, part) with parts replaced by their components, of the bands that hold several."""
     moved = written(parts.join(united.select(F.col("node").alias("part"), "root"), "part", "left").select(

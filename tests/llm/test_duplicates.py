@@ -197,3 +197,23 @@ def test_near_vectors_recall_and_awkward_rows(spark):
     assert by[None][0].component_id == 5 and not by[None][0].kept
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert lattice.near_vectors(empty).count() == 0
+
+
+def test_pairs_of_a_bucket_are_compared_in_parts(spark, monkeypatch):
+    r = random.Random(13)
+    sets = {i: {r.getrandbits(62) for _ in range(50)} for i in range(80)}
+    for i in range(40, 50):  # some have a near copy: 46 of 54 items
+        sets[1_000 + i] = {*sorted(sets[i])[:46], *(r.getrandbits(62) for _ in range(4))}
+    monkeypatch.setattr(linededup, "PAIRS", 500, raising=False)
+    sizes = spark.createDataFrame([(k, len(v)) for k, v in sets.items()], "key long, size int")
+    banded = linededup.written(spark.createDataFrame([(k, 1) for k in sets], "key long, band long"), "bands")
+    pairs = []
+
+    def similar(met):
+        found = met.collect()
+        pairs.append(len(found))
+        return spark.createDataFrame([p for p in found if len(sets[p.a] & sets[p.b]) >= 0.8 * len(sets[p.a] | sets[p.b])], met.schema)
+
+    got = {x.node: x.root for x in linededup.linked(linededup.bucketed(banded), sizes, similar, 0.8, 2).collect()}
+    assert got == {k: i for i in range(40, 50) for k in (i, 1_000 + i)}
+    assert sum(pairs) > 3_000 and max(pairs) < 800
