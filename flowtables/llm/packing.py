@@ -28,6 +28,7 @@ from flowtables.llm.common import mapped, prepared, text_of, written
 
 SPECIAL = "<|endoftext|>"
 CACHED = 300_000  # units after which a worker forgets those it has not met again since the last time; both halves take some 130 MB
+LEARNED = 10_000  # units in a call of the tokenizer, whose results take many times the memory of the ids
 _workers: dict[str, Encoder] = {}
 
 
@@ -81,13 +82,17 @@ class Encoder:
         return np.flatnonzero(starts)
 
     def _learned(self, units: list[bytes]) -> list[bytes]:
-        """Ids of every unit: one text with a line each, cut at the line breaks' ids."""
-        ids = np.asarray(self.tokenizer.encode_batch_fast(
-            [b"\n".join([u.lstrip(b"\n") for u in units]).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == int.from_bytes(self.newline, "little")).tolist()
-        data = ids.tobytes()
-        return [(self.newline if u[0] == 10 else b"") + data[4 * a:4 * b]
-                for u, a, b in zip(units, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
+        """Ids of every unit: texts with a line each, cut at the line breaks' ids."""
+        out = []
+        for start in range(0, len(units), LEARNED):
+            part = units[start:start + LEARNED]
+            ids = np.asarray(self.tokenizer.encode_batch_fast(
+                [b"\n".join([u.lstrip(b"\n") for u in part]).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == int.from_bytes(self.newline, "little")).tolist()
+            data = ids.tobytes()
+            out += [(self.newline if u[0] == 10 else b"") + data[4 * a:4 * b]
+                    for u, a, b in zip(part, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)], strict=True)]
+        return out
 
     def _looked_up(self, units: list[bytes]) -> list[bytes]:
         """The ids of every distinct unit; those not known yet are learned at once."""
@@ -123,6 +128,11 @@ class Encoder:
         at = np.append((ends - n)[np.searchsorted(starts, begins[:-1])], len(out)).tolist()
         return [out[a + 1:b].tobytes() for a, b in zip(at, at[1:])]  # without the line break put before each text
 
+    def forget(self) -> None:
+        """Give the memory back, as the worker goes on to tasks of other kinds."""
+        self.recent, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         easy = [self.plain(t) for t in texts]
         got = iter(self._encoded([t for t, e in zip(texts, easy, strict=True) if e]) if any(easy) else ())
@@ -157,23 +167,26 @@ def tokenized_pieces(docs: DataFrame, path: str, length: int = 2_048, separator:
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = encoder(path)
-        for frame in frames:
-            keys = frame[doc_id].to_numpy()
-            for at, texts in _batches(frame["__text"].tolist()):
-                owner, rows = [], []
-                for i, ids in enumerate(tokens.encode(texts), at):
-                    ids += end
-                    n = len(ids) // 4
-                    head = n % length or length
-                    view, start = memoryview(ids), 0
-                    for piece in range(-(-n // length)):
-                        size = length if piece else min(head, n)
-                        owner.append(i)
-                        rows.append((piece, start, size, zlib.crc32(view[4 * start:4 * (start + size)])))
-                        start += size
-                out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
-                out.insert(0, doc_id, pd.Series(keys[owner], dtype=frame[doc_id].dtype))
-                yield out
+        try:
+            for frame in frames:
+                keys = frame[doc_id].to_numpy()
+                for at, texts in _batches(frame["__text"].tolist()):
+                    owner, rows = [], []
+                    for i, ids in enumerate(tokens.encode(texts), at):
+                        ids += end
+                        n = len(ids) // 4
+                        head = n % length or length
+                        view, start = memoryview(ids), 0
+                        for piece in range(-(-n // length)):
+                            size = length if piece else min(head, n)
+                            owner.append(i)
+                            rows.append((piece, start, size, zlib.crc32(view[4 * start:4 * (start + size)])))
+                            start += size
+                    out = pd.DataFrame(rows, columns=["piece", "start", "length", "ids_crc32"])
+                    out.insert(0, doc_id, pd.Series(keys[owner], dtype=frame[doc_id].dtype))
+                    yield out
+        finally:
+            tokens.forget()
 
     prepared(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()

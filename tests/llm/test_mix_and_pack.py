@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import DATA
 from llm_data import DOCUMENTS, documents, no_documents
@@ -235,3 +236,16 @@ def test_memory_of_units_fits_a_worker():
         tokens.encode([" ".join("".join(r.choices("etaoinshrdlu", k=9)) for _ in range(400_000))])
     held = [x for m in vars(tokens).values() for x in ([m] if isinstance(m, dict) else [v for v in getattr(m, "__dict__", {}).values() if isinstance(v, dict)])]
     assert sum(map(len, held)) <= 900_000
+
+
+def test_a_worker_keeps_no_units_after_its_task(spark):
+    from pyspark.sql import functions as F
+
+    def held(frames):
+        tokens = packing.encoder(vocabulary())
+        list(frames)
+        yield pd.DataFrame({"n": [len(tokens.recent) + len(tokens.older)]})
+
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id", F.lit(" and more")).alias("text"))
+    assert packing.tokenized_pieces(docs, vocabulary()).count() == 400
+    assert docs.mapInPandas(held, "n long").agg(F.max("n")).first()[0] == 0
