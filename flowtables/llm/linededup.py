@@ -8,14 +8,15 @@ compared with a few lines picked from their bucket, and those which even then ar
 between components that a bucket holds is found.
 One line per component stays, the first by (doc_id, position).
 
-Whole texts are shuffled for three purposes: to hash each distinct line once, to cut those that share a bucket into
-shingles, to rebuild the documents. Pairs of like size compare 16-bit codes of their shingles first, an upper bound that loses no
-link, and pairs that pass it their texts; everything else works on 64-bit hashes of lines and on positions.
+Pairs are joined by their bucket and by marks, a bitmap of each line's shingles by parity: shared shingles cancel, so two lines' marks
+differ in no more bits than the lines in shingles. Only pairs that can be similar by it become rows, and only their texts are
+cut into shingles and compared; the marks lose no link. The lines are written once; everything else works on 64-bit hashes of
+lines and on positions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +27,7 @@ from flowtables.llm.common import discarded, text_of, written
 from flowtables.llm.components import components
 
 PAIRS = 1 << 17  # pairs that are compared at once, if there are fewer lines than that
+MARKS = [f"m{i}" for i in range(16)]  # words of 64 bits
 
 
 @dataclass(frozen=True)
@@ -61,19 +63,14 @@ def _shingled(rows: DataFrame, width: int, *names: str) -> DataFrame:
 def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(key, band) for the bands of each distinct line (key, line); a band none of whose bins holds a shingle is left out."""
     distinct = lines.select("key", "line").dropDuplicates(["key"])
-    hashes = _shingled(distinct.select("key", _units("line").alias("units")), fuzzy.width, "key")
-    bins = fuzzy.bands * fuzzy.rows
-    size = -(-(1 << 63) // bins)
+    size = -(-(1 << 63) // (fuzzy.bands * fuzzy.rows))
+    hashes = _shingled(distinct.select("key", _units("line").alias("units")), fuzzy.width, "key").withColumn(
+        "bin", F.expr(f"cast(hash div {size}L as int)"))
     # All on the partitioning of `distinct`: the minima need no shuffle of their own.
-    minima = hashes.groupBy("key", F.expr(f"cast(hash div {size}L as int)").alias("bin")).agg(F.min("hash").alias("least"))
-    band = [F.bit_xor(F.when(F.col("bin").between(j * fuzzy.rows, (j + 1) * fuzzy.rows - 1), F.xxhash64("least"))).alias(f"b{j}")
-            for j in range(fuzzy.bands)]
-    wide = written(minima.groupBy("key").agg(*band), "bands")
-    out = wide.select("key", F.explode(F.array(*[
-        F.when(F.col(f"b{j}").isNotNull(), F.xxhash64(F.lit(j), f"b{j}")) for j in range(fuzzy.bands)])).alias("band")).where(
-        "band is not null")
-    out.written_to = wide.written_to
-    return out
+    least = [F.min(F.when(F.col("bin") % fuzzy.rows == i, F.col("hash"))).alias(f"l{i}") for i in range(fuzzy.rows)]
+    minima = hashes.groupBy("key", F.expr(f"cast(bin div {fuzzy.rows} as int)").alias("j")).agg(*least)
+    out = minima.select("key", F.xxhash64("j", *[f"l{i}" for i in range(fuzzy.rows)]).alias("band"))
+    return written(out, "bands")
 
 
 def _shingles(line: str, fuzzy: Fuzzy) -> Column:
@@ -82,39 +79,40 @@ def _shingles(line: str, fuzzy: Fuzzy) -> Column:
     return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
 
 
-def _alike(m: str, n: str, least: float) -> Column:
-    """The smaller set's share of the larger bounds the similarity, so sets that are too unlike in size need not meet."""
-    return F.least(m, n) >= least * F.greatest(m, n) - 1e-9
-
-
-def _codes(hashes: str) -> Column:
-    """A set of hashes as a set of 16-bit codes, a quarter of the bytes."""
-    return F.array_distinct(F.transform(hashes, lambda x: (x % 32768).cast("short")))
+def _marked(texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
+    """(key, size, marks): how many different shingles a line of `texts` (key, line) has, and for each bit of the marks whether
+    it is an odd number of them that fall on it."""
+    rows = texts.repartition("key")  # the partitioning of all that follows
+    words = rows.select("key", F.explode(_shingles("line", fuzzy)).alias("hash")).groupBy(
+        "key", F.pmod("hash", F.lit(len(MARKS))).cast("int").alias("i")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.expr("shiftleft(1L, cast(shiftrightunsigned(hash, 32) % 64 as int))")).alias("word"))
+    return words.groupBy("key").agg(F.sum("n").alias("size"), *[
+        F.coalesce(F.max(F.when(F.col("i") == i, F.col("word"))), F.lit(0)).alias(m) for i, m in enumerate(MARKS)])
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line, size, codes).
+def _alike(least: float, marks: Sequence[str]) -> Column:
+    """Can sets of sizes na and nb have the similarity? Only pairs that can't are left out.
 
-    Codes give an upper bound of what two sets share: hashes that meet in a code are fewer than either set has more hashes
-    than codes. Only pairs that can be similar by it are cut into shingles and compared exactly.
+    The smaller set's share of the larger one bounds the similarity. Similar sets differ in (1 - least) / (1 + least) of the sum
+    of their sizes at most; shared shingles cancel in the marks of the two, so these differ in no more bits than that.
     """
-    def reaches(shared: Column, all_: Column) -> Column:
-        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
+    sizes = F.least("na", "nb") >= least * F.greatest("na", "nb") - 1e-9
+    if not marks:
+        return sizes
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in marks])
+    return sizes & (differ * (1 + least) <= (1 - least) * (F.col("na") + F.col("nb")) + 1e-6)
 
-    left = texts.select(F.col("key").alias("a"), F.col("codes").alias("ca"), F.col("size").alias("na"))
-    right = texts.select(F.col("key").alias("b"), F.col("codes").alias("cb"), F.col("size").alias("nb"))
-    most = F.size(F.array_intersect("ca", "cb")) + F.least(F.col("na") - F.size("ca"), F.col("nb") - F.size("cb"))
-    likely = pairs.join(left, "a").join(right, "b").where(reaches(most, F.col("na") + F.col("nb"))).select(*pairs.columns)
 
+def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
+    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line)."""
     def close(p: Column) -> Column:
-        return reaches(F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"]))
+        shared, all_ = F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"])
+        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
 
     # As the item of an array the sets have a name, and are not computed anew for every use.
     sets = F.array(F.struct(_shingles("la", fuzzy).alias("a"), _shingles("lb", fuzzy).alias("b")))
-    lines = texts.select("key", "line")
-    return likely.join(lines.withColumnsRenamed({"key": "a", "line": "la"}), "a").join(
-        lines.withColumnsRenamed({"key": "b", "line": "lb"}), "b").where(
-        F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
+    return pairs.join(texts.withColumnsRenamed({"key": "a", "line": "la"}), "a").join(
+        texts.withColumnsRenamed({"key": "b", "line": "lb"}), "b").where(F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
@@ -124,12 +122,11 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     discarded(banded)
     needed = written(members.select("key").distinct(), "needed")
     # Repeats of a line go before the join, so a common line is a row per task there.
-    once = lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi")
-    texts = written(once.select("key", "line", _shingles("line", fuzzy).alias("hashes")).select(
-        "key", "line", F.size("hashes").alias("size"), _codes("hashes").alias("codes")), "texts")
+    texts = written(lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi"), "texts")
     discarded(needed)
-    roots = linked(members, texts.select("key", "size"), lambda pairs: _similar(pairs, texts, fuzzy), fuzzy.least, fuzzy.heads)
-    discarded(texts)
+    sizes = written(_marked(texts, fuzzy), "sizes")
+    roots = linked(members, sizes, lambda pairs: _similar(pairs, texts, fuzzy), fuzzy.least, fuzzy.heads, MARKS)
+    discarded(texts, sizes)
     return roots
 
 
@@ -143,33 +140,36 @@ def bucketed(banded: DataFrame) -> DataFrame:
     return members
 
 
-def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame], DataFrame], least: float, heads: int) -> DataFrame:
+def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame], DataFrame], least: float, heads: int,
+           marks: Sequence[str] = ()) -> DataFrame:
     """(node, root) of the keys that `similar` links inside their buckets; `members` is from `bucketed` and is removed.
 
-    `sizes` has (key, size) of every member's set. `similar` gets pairs (a, b and more) of sizes that allow the similarity
-    `least`, and returns those that are links.
+    `sizes` has (key, size and `marks`) of every member's set, see `_alike`. `similar` gets pairs (a, b and more) that by it can
+    have the similarity `least`, and returns those that are links.
     """
-    sized = written(members.join(sizes, "key"), "sized")
-    discarded(members)
     at_once = max(PAIRS, sizes.count())
-    stars = sized.where("key <> head").select(F.col("key").alias("a"), F.col("size").alias("na"), F.col("head").alias("b")).distinct()
-    stars = stars.join(sizes.withColumnsRenamed({"key": "b", "size": "nb"}), "b").where(_alike("na", "nb", least))
-    links = _in_parts(stars.select("a", "b"), similar, at_once)
+
+    def of(side: str) -> DataFrame:
+        return sizes.select(F.col("key").alias(side), F.col("size").alias(f"n{side}"), *[F.col(m).alias(f"{side}{m}") for m in marks])
+
+    can_link = _alike(least, marks)
+    stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
+    links = _in_parts(stars.join(of("a"), "a").join(of("b"), "b").where(can_link).select("a", "b"), similar, at_once)
     roots = components(links)
     discarded(links)
     # A component is as good as one line from here on, and only buckets that hold several are looked at again.
-    parts = _still_mixed(sized.select("band", "key", "size", F.col("key").alias("part")), roots)
-    discarded(sized)
+    parts = _still_mixed(members.select("band", "key", F.col("key").alias("part")), roots)
+    discarded(members)
     picked = written(parts.groupBy("band").agg(*[
-        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "size", "part")).alias(f"h{i}") for i in range(heads)])
+        F.min(F.struct(F.xxhash64("key", F.lit(i)).alias("h"), "key", "part")).alias(f"h{i}") for i in range(heads)])
         .select("band", F.explode(F.array(*[f"h{i}" for i in range(heads)])).alias("h"))
-        .select("band", F.col("h.key").alias("b"), F.col("h.size").alias("nb"), F.col("h.part").alias("pb")).distinct(), "picked")
+        .select("band", F.col("h.key").alias("b"), F.col("h.part").alias("pb")).distinct(), "picked")
     for others in (picked, None):
-        here = parts.withColumnsRenamed({"key": "a", "size": "na", "part": "pa"})
+        here = parts.withColumnsRenamed({"key": "a", "part": "pa"}).join(of("a"), "a")
         apart = F.col("pa") != F.col("pb")
         if others is None:  # whatever is still apart is compared in full
-            others, apart = parts.withColumnsRenamed({"key": "b", "size": "nb", "part": "pb"}).hint("merge"), F.col("pa") < F.col("pb")
-        met = here.join(others, "band").where(apart & _alike("na", "nb", least))
+            others, apart = parts.withColumnsRenamed({"key": "b", "part": "pb"}), F.col("pa") < F.col("pb")
+        met = here.join(others.join(of("b"), "b").hint("merge"), "band").where(apart & can_link)
         links = _in_parts(met.select("a", "b", "pa", "pb").distinct(), similar, at_once)
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         older, roots = (parts, roots, links), _chained(roots, united)
@@ -196,9 +196,9 @@ def _in_parts(pairs: DataFrame, similar: Callable[[DataFrame], DataFrame], at_on
 
 
 def _still_mixed(parts: DataFrame, united: DataFrame) -> DataFrame:
-    """(band, key, size, part) with parts replaced by their components, of the bands that hold several."""
+    """(band, key, part) with parts replaced by their components, of the bands that hold several."""
     moved = written(parts.join(united.select(F.col("node").alias("part"), "root"), "part", "left").select(
-        "band", "key", "size", F.coalesce("root", "part").alias("part")), "parts")
+        "band", "key", F.coalesce("root", "part").alias("part")), "parts")
     mixed = written(moved.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
                     .select("band"), "mixed")
     out = written(moved.join(mixed, "band", "left_semi"), "parts")
@@ -221,12 +221,13 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     equal. Lines of white space only always stay, and so does every document, if need be with an empty text. A NULL text has
     no lines and stays NULL. `n_chars`, if present, is counted anew. Columns named n_lines or n_dropped are replaced.
     """
-    lines = lines_of(docs, doc_id, text)
+    lines = written(lines_of(docs, doc_id, text), "lines")
     roots = similar_lines(lines, fuzzy)
     at = F.struct(F.col("doc").isNull().alias("no"), "doc", "copy", "pos").alias("at")
     placed = written(lines.select("key", at).join(
         roots.withColumnRenamed("node", "key").hint("shuffle_hash"), "key", "left").select(
         F.coalesce("root", "key").alias("root"), "at"), "occurrences")
+    discarded(lines)
     heads = written(placed.groupBy("root").agg(F.min("at").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                     .select("root", "head"), "heads")
     drops = placed.join(heads, "root").where("at <> head").groupBy(

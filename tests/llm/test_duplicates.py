@@ -217,3 +217,35 @@ def test_pairs_of_a_bucket_are_compared_in_parts(spark, monkeypatch):
     got = {x.node: x.root for x in linededup.linked(linededup.bucketed(banded), sizes, similar, 0.8, 2).collect()}
     assert got == {k: i for i in range(40, 50) for k in (i, 1_000 + i)}
     assert sum(pairs) > 3_000 and max(pairs) < 800
+
+
+def test_pairs_that_cannot_be_similar_are_left_out_by_marks(spark, monkeypatch):
+    r = random.Random(17)
+    base = [prose(60, 900 + i) for i in range(6)]
+    texts = []
+    for line in base:  # of a group all pairs share much more than half, and few are similar
+        for _ in range(12):
+            words = line.split(" ")
+            for i in r.sample(range(60), r.choice([1, 7, 8, 9])):
+                words[i] = "zq" + str(r.randrange(10 ** 6))
+            texts.append(" ".join(words))
+    texts += ["ab" * 200, "ab" * 201, "a" * 500, "a" * 8, "-" * 3, "--"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "key long, line string")
+    sets = [{t[i:i + 8] for i in range(max(1, len(t) - 7))} for t in texts]
+    alike = {(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    fuzzy = linededup.Fuzzy()
+    sizes = linededup.written(linededup._marked(frame, fuzzy), "sizes")
+    assert {x.key: x.size for x in sizes.collect()} == {i: len(s) for i, s in enumerate(sets)}
+    banded = linededup.written(frame.selectExpr("key", "1L as band"), "bands")
+    pairs = []
+
+    def similar(met):
+        found = met.collect()
+        pairs.extend((max(p.a, p.b), min(p.a, p.b)) for p in found)
+        return spark.createDataFrame([p for p in found if (max(p.a, p.b), min(p.a, p.b)) in alike], met.schema)
+
+    got = {x.node: x.root for x in linededup.linked(
+        linededup.bucketed(banded), sizes, similar, 0.8, 2, linededup.MARKS).collect()}
+    want = roots(range(len(texts)), alike)
+    assert {i: got.get(i, i) for i in want} == want
+    assert len(pairs) < 3 * len(alike) < len(texts) ** 2 / 8
