@@ -20,7 +20,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtables.llm.common import discarded, text_of, written
@@ -28,6 +28,7 @@ from flowtables.llm.components import components
 
 PAIRS = 1 << 17  # pairs that are compared at once, if there are fewer lines than that
 MARKS = [f"m{i}" for i in range(16)]  # words of 64 bits
+BLOCK = 16  # shingles that are hashed in one row
 
 
 @dataclass(frozen=True)
@@ -63,27 +64,40 @@ def _shingled(rows: DataFrame, width: int, *names: str) -> DataFrame:
 def bands(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(key, band) for the bands of each distinct line (key, line); a band none of whose bins holds a shingle is left out."""
     distinct = lines.select("key", "line").dropDuplicates(["key"])
-    size = -(-(1 << 63) // (fuzzy.bands * fuzzy.rows))
+    bins = fuzzy.bands * fuzzy.rows
+    size = -(-(1 << 63) // bins)
+    # A shift where it does; a division checks for more than can be here.
+    bin_ = f"shiftrightunsigned(hash, {63 - bins.bit_length() + 1})" if bins & (bins - 1) == 0 else f"hash div {size}L"
     hashes = _shingled(distinct.select("key", _units("line").alias("units")), fuzzy.width, "key").withColumn(
-        "bin", F.expr(f"cast(hash div {size}L as int)"))
+        "bin", F.expr(f"cast({bin_} as int)"))
     # All on the partitioning of `distinct`: the minima need no shuffle of their own.
     least = [F.min(F.when(F.col("bin") % fuzzy.rows == i, F.col("hash"))).alias(f"l{i}") for i in range(fuzzy.rows)]
     minima = hashes.groupBy("key", F.expr(f"cast(bin div {fuzzy.rows} as int)").alias("j")).agg(*least)
-    out = minima.select("key", F.xxhash64("j", *[f"l{i}" for i in range(fuzzy.rows)]).alias("band"))
-    return written(out, "bands")
+    return minima.select("key", F.xxhash64("j", *[f"l{i}" for i in range(fuzzy.rows)]).alias("band"))
 
 
-def _shingles(line: str, fuzzy: Fuzzy) -> Column:
-    """The line's set of shingle hashes."""
-    runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{fuzzy.width}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(F.when(F.size(runs) > 0, runs).otherwise(F.array(line)), lambda x: F.xxhash64(x)))
+def _blocks(rows: DataFrame, width: int, *names: str) -> DataFrame:
+    """Explode (names, units) to (names, hashes): the hashes of all shingles, BLOCK of them in an array. The last array repeats
+    the last shingle."""
+    last = F.greatest((F.octet_length("units") / 2 - width).cast("int"), F.lit(0))
+    at = rows.select(*names, "units", last.alias("last")).select(
+        *names, "units", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(BLOCK))).alias("i"))
+    starts = [F.least(F.col("i") + k, F.col("last")) * 2 + 1 for k in range(BLOCK)]
+    return at.select(*names, F.array(*[
+        F.shiftrightunsigned(F.xxhash64(F.substring(F.col("units"), start, F.lit(2 * width))), 1) for start in starts]).alias("hashes"))
+
+
+def _sets(rows: DataFrame, width: int, *names: str) -> DataFrame:
+    """(names, set): the different shingle hashes of all lines of a group; `rows` has (names, line) and its partitioning is kept."""
+    blocks = _blocks(rows.select(*names, _units("line").alias("units")), width, *names)
+    return blocks.groupBy(*names).agg(F.array_distinct(F.flatten(F.collect_list("hashes"))).alias("set"))
 
 
 def _marked(texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
     """(key, size, marks): how many different shingles a line of `texts` (key, line) has, and for each bit of the marks whether
     it is an odd number of them that fall on it."""
     rows = texts.repartition("key")  # the partitioning of all that follows
-    words = rows.select("key", F.explode(_shingles("line", fuzzy)).alias("hash")).groupBy(
+    words = _sets(rows, fuzzy.width, "key").select("key", F.explode("set").alias("hash")).groupBy(
         "key", F.pmod("hash", F.lit(len(MARKS))).cast("int").alias("i")).agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.expr("shiftleft(1L, cast(shiftrightunsigned(hash, 32) % 64 as int))")).alias("word"))
     return words.groupBy("key").agg(F.sum("n").alias("size"), *[
@@ -104,22 +118,18 @@ def _alike(least: float, marks: Sequence[str]) -> Column:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, fuzzy: Fuzzy) -> DataFrame:
-    """Those rows of `pairs` (a, b and more) with at least the Jaccard similarity; `texts` has (key, line)."""
-    def close(p: Column) -> Column:
-        shared, all_ = F.size(F.array_intersect(p["a"], p["b"])), F.size(p["a"]) + F.size(p["b"])
-        return shared * (1 + fuzzy.least) >= fuzzy.least * all_ - 1e-9  # shared / (all - shared) >= least
-
-    # As the item of an array the sets have a name, and are not computed anew for every use.
-    sets = F.array(F.struct(_shingles("la", fuzzy).alias("a"), _shingles("lb", fuzzy).alias("b")))
-    return pairs.join(texts.withColumnsRenamed({"key": "a", "line": "la"}), "a").join(
-        texts.withColumnsRenamed({"key": "b", "line": "lb"}), "b").where(F.get(F.transform(sets, close), F.lit(0))).select(*pairs.columns)
+    """Those rows of `pairs` (a, b, their sizes na and nb, and more) with at least the Jaccard similarity; `texts` has (key, line)."""
+    met = pairs.join(texts.withColumnsRenamed({"key": "a", "line": "la"}), "a").join(
+        texts.withColumnsRenamed({"key": "b", "line": "lb"}), "b")
+    names = pairs.columns
+    all_, sizes = F.size("set"), F.col("na") + F.col("nb")  # sizes - all_ are in both
+    return _sets(met.select(*names, F.explode(F.array("la", "lb")).alias("line")), fuzzy.width, *names).where(
+        (sizes - all_) * (1 + fuzzy.least) >= fuzzy.least * sizes - 1e-9).select(*names)
 
 
 def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """(node, root): the keys of lines that are linked to another distinct line, with their component's smallest key."""
-    banded = bands(lines, fuzzy)
-    members = bucketed(banded)
-    discarded(banded)
+    members = bucketed(bands(lines, fuzzy))
     needed = written(members.select("key").distinct(), "needed")
     # Repeats of a line go before the join, so a common line is a row per task there.
     texts = written(lines.select("key", "line").dropDuplicates(["key"]).join(needed.hint("shuffle_hash"), "key", "left_semi"), "texts")
@@ -132,12 +142,9 @@ def similar_lines(lines: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
 
 def bucketed(banded: DataFrame) -> DataFrame:
     """(band, key, head) of the bands that several keys share; the head is the smallest of them."""
-    buckets = written(banded.groupBy("band").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-                      .select("band", "head"), "buckets")
-    # The smaller sides of these joins are hashed, so that lines and bands need no sort.
-    members = written(banded.join(buckets.hint("shuffle_hash"), "band"), "members")
-    discarded(buckets)
-    return members
+    here = Window.partitionBy("band")  # nearly all bands have one key, so there is nothing to aggregate before the shuffle
+    return written(banded.select("band", "key", F.min("key").over(here).alias("head"), F.max("key").over(here).alias("top"))
+                   .where("head <> top").select("band", "key", "head"), "members")
 
 
 def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame], DataFrame], least: float, heads: int,
@@ -145,7 +152,7 @@ def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame],
     """(node, root) of the keys that `similar` links inside their buckets; `members` is from `bucketed` and is removed.
 
     `sizes` has (key, size and `marks`) of every member's set, see `_alike`. `similar` gets pairs (a, b and more) that by it can
-    have the similarity `least`, and returns those that are links.
+    have the similarity `least`, with their sizes na and nb, and returns those that are links.
     """
     at_once = max(PAIRS, sizes.count())
 
@@ -154,7 +161,7 @@ def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame],
 
     can_link = _alike(least, marks)
     stars = members.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    links = _in_parts(stars.join(of("a"), "a").join(of("b"), "b").where(can_link).select("a", "b"), similar, at_once)
+    links = _in_parts(stars.join(of("a"), "a").join(of("b"), "b").where(can_link).select("a", "b", "na", "nb"), similar, at_once)
     roots = components(links)
     discarded(links)
     # A component is as good as one line from here on, and only buckets that hold several are looked at again.
@@ -170,7 +177,7 @@ def linked(members: DataFrame, sizes: DataFrame, similar: Callable[[DataFrame],
         if others is None:  # whatever is still apart is compared in full
             others, apart = parts.withColumnsRenamed({"key": "b", "part": "pb"}), F.col("pa") < F.col("pb")
         met = here.join(others.join(of("b"), "b").hint("merge"), "band").where(apart & can_link)
-        links = _in_parts(met.select("a", "b", "pa", "pb").distinct(), similar, at_once)
+        links = _in_parts(met.select("a", "b", "pa", "pb", "na", "nb").distinct(), similar, at_once)
         united = components(links.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
         older, roots = (parts, roots, links), _chained(roots, united)
         parts = _still_mixed(parts, united)
@@ -230,7 +237,7 @@ def without_repeats(docs: DataFrame, fuzzy: Fuzzy = Fuzzy(), doc_id: str = "doc_
     discarded(lines)
     heads = written(placed.groupBy("root").agg(F.min("at").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
                     .select("root", "head"), "heads")
-    drops = placed.join(heads, "root").where("at <> head").groupBy(
+    drops = placed.join(heads.hint("shuffle_hash"), "root").where("at <> head").groupBy(
         F.col("at.doc").alias("__doc"), F.col("at.copy").alias("__copy")).agg(
         F.collect_set("at.pos").alias("__drops"))  # at most the document's lines
     lost = F.coalesce(F.size("__drops"), F.lit(0))

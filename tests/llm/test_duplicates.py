@@ -249,3 +249,38 @@ def test_pairs_that_cannot_be_similar_are_left_out_by_marks(spark, monkeypatch):
     want = roots(range(len(texts)), alike)
     assert {i: got.get(i, i) for i in want} == want
     assert len(pairs) < 3 * len(alike) < len(texts) ** 2 / 8
+
+
+def test_shingles_are_units_at_every_length(spark):
+    def shingles(line):
+        units = line.encode("utf-16-be")
+        return {units[i:i + 16] for i in range(0, max(1, len(units) - 15), 2)}
+
+    fuzzy, r = linededup.Fuzzy(), random.Random(23)
+    texts = [prose(40, i)[:n] for i in range(2) for n in (1, 7, 8, 9, 22, 23, 24, 25, 38, 39, 40, 41, 150, 160)]
+    texts += ["x\U0001F600yz" * 5 + t[:n] for t in texts[-2:] for n in (60, 70, 90, 120)] + ["\U0001F600" * 30, "ab" * 90, "ab" * 17, "\u00e9" * 24]
+    texts = sorted(set(texts))
+    frame = spark.createDataFrame(list(enumerate(texts)), "key long, line string").repartition(3)
+    sets = [shingles(t) for t in texts]
+    marked = {x.key: x for x in linededup._marked(frame, fuzzy).collect()}
+    assert {k: x["size"] for k, x in marked.items()} == {i: len(s) for i, s in enumerate(sets)}
+    for _ in range(300):  # the marks lose no link
+        i, j = r.sample(range(len(sets)), 2)
+        bits = sum(((marked[i][m] ^ marked[j][m]) & (1 << 64) - 1).bit_count() for m in linededup.MARKS)
+        assert bits <= len(sets[i] ^ sets[j])
+    pairs = [(i, j, len(sets[i]), len(sets[j]), i * j) for i in range(len(sets)) for j in range(i)]
+    got = linededup._similar(spark.createDataFrame(pairs, "a long, b long, na long, nb long, more long"), frame, fuzzy)
+    want = {p for p in pairs if len(sets[p[0]] & sets[p[1]]) >= 0.8 * len(sets[p[0]] | sets[p[1]])}
+    assert got.columns == ["a", "b", "na", "nb", "more"] and 10 < len(want) < len(pairs) / 4
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_buckets_of_several_keys(spark):
+    r = random.Random(29)
+    rows = [(k, b) for k in range(200) for b in {r.randrange(400) for _ in range(3)}] + [(k, 1_000) for k in range(60)]
+    by = defaultdict(list)
+    for k, b in rows:
+        by[b].append(k)
+    got = linededup.bucketed(spark.createDataFrame(rows, "key long, band long").repartition(4))
+    assert sorted((x.band, x.key, x.head) for x in got.select("band", "key", "head").collect()) == sorted(
+        (b, k, min(ks)) for b, ks in by.items() if len(ks) > 1 for k in ks)
