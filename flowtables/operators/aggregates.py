@@ -46,6 +46,13 @@ def exact_money(value: ColumnLike) -> Column:
     return _col(value).cast(T.DecimalType(18, 2))
 
 
+def bigint_if_fits(df: DataFrame, value: str) -> DataFrame:
+    """Whole decimals as BIGINT if each of them fits, else as they are. It runs the frame once to know."""
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    fits = low is None or (low >= -2**63 and high < 2**63)
+    return df.withColumn(value, F.col(value).cast("long")) if fits else df
+
+
 def words(df: DataFrame, text: str, trim: bool = True, word: str = "word") -> DataFrame:
     """One row per word of every line that is not blank."""
     return df.where(~is_blank(text)).select(F.explode(tokens(text, trim=trim)).alias(word))

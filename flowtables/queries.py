@@ -660,13 +660,20 @@ def kafka_json_out(spark, folder):
 CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY ALL
 UNION ALL SELECT 'main', count(*), CAST(sum(CAST(event_id AS HUGEINT) * event_id) AS BIGINT) FROM events""")
 def side_outputs(spark, folder):
-    """Squares as the main output, odd and even numbers as side outputs."""
+    """Squares as the main output, odd and even numbers as side outputs. Totals beyond a BIGINT, where the SQL stops,
+    make `total` a DECIMAL(38,0)."""
     e = events(spark, folder).select("event_id")
     even = F.col("event_id") % 2 == 0
     sides = op.tag_rows(e, {"even": even, "odd": ~even})
-    main = e.select(F.pow("event_id", F.lit(2)).cast("long").alias("event_id"), F.lit("main").alias("tag"))
-    return op.union_all(main, sides).groupBy("tag").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+    exact = F.col("event_id").cast(T.DecimalType(19, 0))
+    n, top = e.agg(F.count("event_id"), F.coalesce(F.max(F.abs(exact)), F.lit(0))).first()
+    # `pow` counts in doubles, which hold the squares of longer numbers no more.
+    square = F.pow("event_id", F.lit(2)).cast("long") if top <= 2**26 else exact * exact
+    main = e.select(square.alias("event_id"), F.lit("main").alias("tag"))
+    fits = n * int(top)**2 < 2**63
+    out = op.union_all(main, sides).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.sum(
+        F.col("event_id").cast(T.LongType() if fits else T.DecimalType(38, 0))).alias("total"))
+    return out if fits else ag.bigint_if_fits(out, "total")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS output FROM events""")

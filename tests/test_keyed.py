@@ -7,6 +7,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from flowtables import queries
 from flowtables.operators import aggregates as ag
 from flowtables.operators import outputs as op
 from flowtables.operators import running as rn
@@ -175,6 +176,24 @@ def test_side_outputs(spark):
     assert tuples(both.where("tag = 'big'"), "id") == [(9,), (10,)]
 
 
+@pytest.mark.parametrize("ids", [
+    [], [0, 1, 2, 3, None], [-5, 2**26, -2**26 - 1, 94_906_267],
+    [2**31 - 1, 2**31 - 1], [2**31, 2**31],  # the squares' total just fits and just doesn't
+    [3_000_000_001], [2**31, 1, 1],  # one fits, by its bound or only when added up
+    [3_000_000_000, 3_000_000_000, 7], [-2**63], [2**63 - 1, 1]])
+def test_totals_of_side_outputs_beyond_a_bigint(spark, tmp_path, ids):
+    spark.createDataFrame([(i,) for i in ids], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    out = queries.side_outputs(spark, str(tmp_path))
+    want = {"main": [i and i * i for i in ids]}
+    for i in ids:
+        if i is not None:
+            want.setdefault("odd" if i % 2 else "even", []).append(i)
+    totals = {tag: sum(i or 0 for i in numbers) for tag, numbers in want.items() if numbers}
+    assert tuples(out, "tag", "n", "total") == sorted((tag, len(want[tag]), total) for tag, total in totals.items())
+    fits = all(-2**63 <= total < 2**63 for total in totals.values())
+    assert out.schema["total"].dataType.simpleString() == ("bigint" if fits else "decimal(38,0)")
+
+
 def test_counted(spark):
     df, seen = ag.counted(spark.range(10), "c", even=F.col("id") % 2 == 0)
     df.write.format("noop").mode("overwrite").save()
